@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from docgrain.llm import chat, decontaminate, mixing, sharding
+from docgrain.llm import chat, decontaminate, mixing, quality, secrets, sharding
 
 
 def queries() -> dict:
     return {
+        "op2_secret_scan": secrets.op2_secret_scan,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op6_pivotal_mixing": mixing.op6_pivotal_mixing,
+        "op7_quality_pu": quality.op7_quality_pu,
         "op8_feistel_sharding": sharding.op8_feistel_sharding,
         "op10_chat_format": chat.op10_chat_format,
     }
