@@ -135,8 +135,10 @@ def mixed_rows(docs: DataFrame, seed: int = 0) -> DataFrame:
     drawn = pivotal_copies(sizes, targets, seed).where("copies > 0")
     drawn = drawn.select(F.col("doc_id").alias("__mix_d"), F.col("source").alias("__mix_s"), F.col("size").alias("__mix_n"), F.col("copy").alias("__mix_c"), F.col("copies").alias("__mix_k"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    sized = docs.withColumn("__mix_size", size)
+    alike = not sizes.groupBy("doc_id", "source", "size").count().where("count > 1").isEmpty()
     same = Window.partitionBy("doc_id", "source", "__mix_size").orderBy(F.xxhash64("text"))
-    numbered = docs.withColumn("__mix_size", size).withColumn("__mix_copy", (F.row_number().over(same) - 1).cast("long"))
+    numbered = sized.withColumn("__mix_copy", (F.row_number().over(same) - 1).cast("long") if alike else F.lit(0).cast("long"))
     on = F.col("doc_id").eqNullSafe(F.col("__mix_d")) & F.col("source").eqNullSafe(F.col("__mix_s")) & (F.col("__mix_size") == F.col("__mix_n")) & (F.col("__mix_copy") == F.col("__mix_c"))
     return numbered.join(drawn, on).withColumn("__mix_i", F.explode(F.sequence(F.lit(1), F.col("__mix_k")))).select(*[F.col(c) for c in docs.columns])
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from docgrain.llm import chat, decontaminate, mixing, quality, secrets, sharding
+from docgrain.llm import chat, decontaminate, jaccard, mixing, quality, secrets, sharding
 
 
 def queries() -> dict:
     return {
         "op2_secret_scan": secrets.op2_secret_scan,
+        "op3_jaccard_join": jaccard.op3_jaccard_join,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op6_pivotal_mixing": mixing.op6_pivotal_mixing,
         "op7_quality_pu": quality.op7_quality_pu,

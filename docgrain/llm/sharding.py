@@ -47,11 +47,12 @@ def permuted(row_number: Column, n: int, seed: int = 0) -> Column:
     return F.when(value < n, value).otherwise(F.raise_error(F.lit("cycle walk did not end")).cast("long"))
 
 
-def global_row_numbers(rows: DataFrame, n: int) -> DataFrame:
-    """``rows`` with ``row_number`` 0..n-1: the same numbers for the same rows, however they are partitioned.
+def row_number_starts(rows: DataFrame, n: int) -> DataFrame:
+    """The distinct rows of ``rows`` with ``_copies`` and ``_start``: their numbers of 0..n-1 are _start, _start + 1, ...
 
-    Only columns that hash and order are allowed. No window spans more than a bucket, and the table of bucket
-    totals has at most ``MAX_BUCKETS`` rows, which bounds the broadcast and the one task that sums it up.
+    The same rows get the same numbers, however they are partitioned. Only columns that hash and order are allowed. No
+    window spans more than a bucket, and the table of bucket totals has at most ``MAX_BUCKETS`` rows, which bounds the
+    broadcast and the one task that sums it up.
     """
     cols = rows.columns
     buckets = max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
@@ -61,8 +62,16 @@ def global_row_numbers(rows: DataFrame, n: int) -> DataFrame:
     offsets = totals.select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy("_bucket").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
     placed = counted.withColumn("_before", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(F.broadcast(offsets), "_bucket")
-    out = expand_counted(placed, "_copies", "_copy")
-    return out.select(*cols, (F.col("_offset") + F.col("_before") + F.col("_copy")).alias("row_number"))
+    return placed.select(*cols, "_copies", (F.col("_offset") + F.col("_before")).alias("_start"))
+
+
+def _narrow(docs: DataFrame) -> DataFrame:
+    text = text_or_empty()
+    return docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+
+
+def _places(at: Column, shards: int) -> tuple[Column, Column]:
+    return F.pmod(at, F.lit(shards)).cast("int").alias("shard"), F.floor(at / shards).cast("long").alias("slot")
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
@@ -72,18 +81,23 @@ def shard_documents(docs: DataFrame, shards: int = 8, seed: int = 0) -> DataFram
     ids are ordinary values; equal rows get numbers of their own; an empty table gives an empty result; other columns
     are ignored. Groups of equal texts are dealt like any other rows, so no group makes a shard larger.
     """
-    text = text_or_empty()
-    narrow = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     n = docs.count()
-    at = permuted(F.col("row_number"), n, seed)
-    return (
-        global_row_numbers(narrow, n)
-        .withColumn("_at", at)
-        .select(
-            "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.pmod("_at", F.lit(shards)).cast("int").alias("shard"),
-            F.floor(F.col("_at") / shards).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "row_number",
-        )
-    )
+    rows = expand_counted(row_number_starts(_narrow(docs), n), "_copies", "_copy").withColumn("row_number", F.col("_start") + F.col("_copy"))
+    placed = rows.withColumn("_at", permuted(F.col("row_number"), n, seed))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), *_places(F.col("_at"), shards), F.lit(None).cast("int").alias("grown_shard"), "row_number")
+
+
+def sharded_rows(docs: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
+    """The rows of ``docs`` with ``shard`` and ``slot``, as ``shard_documents`` deals them."""
+    n = docs.count()
+    starts = row_number_starts(_narrow(docs), n).select(F.struct("doc_id", "size", "text_crc32").alias("__sh_k"), F.col("_start").alias("__sh_start"))
+    text = text_or_empty()
+    key = F.struct(F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    keyed = docs.withColumn("__sh_key", key)
+    same = Window.partitionBy("__sh_key").orderBy(F.lit(0))
+    joined = keyed.join(starts, F.col("__sh_key") == F.col("__sh_k"))
+    placed = joined.withColumn("__sh_at", permuted(F.col("__sh_start") + F.row_number().over(same) - 1, n, seed))
+    return placed.select(*[F.col(c) for c in docs.columns], *_places(F.col("__sh_at"), shards))
 
 
 def op8_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
