@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docgrain.llm import chat, decontaminate, jaccard, mixing, quality, secrets, sharding
+from docgrain.llm import chat, decontaminate, jaccard, mixing, neighbours, quality, secrets, sharding
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op6_pivotal_mixing": mixing.op6_pivotal_mixing,
         "op7_quality_pu": quality.op7_quality_pu,
         "op8_feistel_sharding": sharding.op8_feistel_sharding,
+        "op9_hilbert_neighbours": neighbours.op9_hilbert_neighbours,
         "op10_chat_format": chat.op10_chat_format,
     }
 
