@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from docgrain.llm import chat, decontaminate, jaccard, mixing, neighbours, quality, secrets, sharding
+from docgrain.llm import chat, decontaminate, jaccard, lines, mixing, neighbours, quality, secrets, sharding, substrings
 
 
 def queries() -> dict:
     return {
+        "op1_line_runs": lines.op1_line_runs,
         "op2_secret_scan": secrets.op2_secret_scan,
         "op3_jaccard_join": jaccard.op3_jaccard_join,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op5_repeated_substrings": substrings.op5_repeated_substrings,
         "op6_pivotal_mixing": mixing.op6_pivotal_mixing,
         "op7_quality_pu": quality.op7_quality_pu,
         "op8_feistel_sharding": sharding.op8_feistel_sharding,
@@ -19,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op4_decontaminate": decontaminate.OP4_SQL, "op10_chat_format": chat.OP10_SQL}
+    return {"op1_line_runs": lines.OP1_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op10_chat_format": chat.OP10_SQL}
