@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docgrain.functions.numbers import area_m2, int_of
-from docgrain.functions.text import CJK, clean, clean_literal, strip
+from docgrain.functions.text import CJK, clean, clean_literal, let, strip
 
 
 def _int(s: Column, pattern: str, group: int = 1) -> Column:
@@ -17,7 +17,10 @@ def _int(s: Column, pattern: str, group: int = 1) -> Column:
 
 def floors(c: Column | str) -> Column:
     """struct(above, below); without an above-ground word the first "N floors built" counts, a basement's too."""
-    s = clean(c)
+    return let(clean(c), _floors)
+
+
+def _floors(s: Column) -> Column:
     return F.struct(F.coalesce(_int(s, r"地上\s*(\d+)\s*階"), _int(s, r"(\d+)\s*階建")).alias("above"), _int(s, r"地下\s*(\d+)\s*階").alias("below"))
 
 
@@ -27,7 +30,10 @@ def year(c: Column | str) -> Column:
 
 def period(c: Column | str) -> Column:
     """YYYY-MM; a year alone is its January."""
-    s = clean(c)
+    return let(clean(c), _period)
+
+
+def _period(s: Column) -> Column:
     month = _int(s, r"((?:19|20)\d{2})\s*[年/\-.]\s*(\d{1,2})", 2)
     dated = F.concat(F.regexp_extract(s, r"((?:19|20)\d{2})\s*[年/\-.]\s*(\d{1,2})", 1), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
     return F.coalesce(dated, F.concat(_int(s, r"((?:19|20)\d{2})").cast("string"), F.lit("-01")))
@@ -35,7 +41,10 @@ def period(c: Column | str) -> Column:
 
 def layout(c: Column | str) -> Column:
     """struct(bedrooms, layout_class, has_multipurpose_room) of a room-layout code such as 2LDK+S."""
-    s = F.replace(F.upper(clean(c)), F.lit("ＬＤＫ"), F.lit("LDK"))
+    return let(F.replace(F.upper(clean(c)), F.lit("ＬＤＫ"), F.lit("LDK")), _layout)
+
+
+def _layout(s: Column) -> Column:
     pattern = r"(\d+)\s*(LDK|DK|K|R)\s*(\+?\s*S|\+?\s*N|\+?\s*WIC|\+?\s*SIC)?"
     n, kind, extra = _int(s, pattern), F.regexp_extract(s, pattern, 2), F.trim(F.regexp_extract(s, pattern, 3))
     plus = (extra != "") | F.contains(F.replace(s, F.lit(" "), F.lit("")), F.lit("+S")) | F.contains(s, F.lit(clean_literal("サービスルーム")))
@@ -55,8 +64,7 @@ AREA_BASIS_LABELS = {
 
 
 def area_basis(c: Column | str, label: Column | None = None) -> Column:
-    s = clean(c)
-    known = F.coalesce(*[F.when(F.contains(s, F.lit(w)), F.lit(b)) for w, b in AREA_BASIS_LABELS.items()])
+    known = let(clean(c), lambda s: F.coalesce(*[F.when(F.contains(s, F.lit(w)), F.lit(b)) for w, b in AREA_BASIS_LABELS.items()]))
     return F.coalesce(known, F.when(F.contains(label, F.lit("専有")), F.lit("thong_thuy")) if label is not None else F.lit(None), F.lit("khong_ro"))
 
 
@@ -76,17 +84,15 @@ def companies(c: Column | str, limit: int = 3) -> Column:
 
 
 def status(handover_year: Column, words: Column, as_of_year: Column) -> Column:
-    s = clean(words)
-    building = F.contains(s, F.lit("予定")) | F.contains(s, F.lit("工事中")) | F.contains(s, F.lit("建築中"))
+    building = clean(words).rlike("予定|工事中|建築中")
     return F.when(building, "dang_xay").when(handover_year <= as_of_year, "da_ban_giao")
 
 
 def type_code(c: Column | str, known_labels: tuple[str, ...] = ()) -> Column:
     s = strip(F.replace(F.replace(clean(c), F.lit("Type"), F.lit("")), F.lit("タイプ"), F.lit("")), " ：:")
     s = F.replace(s, F.lit("タイプ"), F.lit(""))
-    first = F.split(F.trim(s), r"\s+")[0]
-    good = first.rlike("[A-Za-z0-9]") & (F.length(first) <= 16) & ~first.isin(*[clean_literal(x) for x in known_labels] or [""])
-    return F.when(good, first)
+    known = [clean_literal(x) for x in known_labels] or [""]
+    return let(F.split(F.trim(s), r"\s+")[0], lambda x: F.when(x.rlike("[A-Za-z0-9]") & (F.length(x) <= 16) & ~x.isin(*known), x))
 
 
 def title_code(c: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docgrain.functions.text import clean, clean_literal
+from docgrain.functions.text import clean, clean_literal, let
 
 NUMBER = r"[-+]?\d[\d,]*(?:\.\d+)?"
 RANGE_MARK = r"[~〜～]|\bto\b|—|–"
@@ -49,16 +49,16 @@ def _area(s: Column) -> Column:
 
 def area_m2(c: Column | str) -> Column:
     """Square metres: the number before the longest unit that has one; without a unit the first number."""
-    return _area(clean(c))
+    return let(clean(c), _area)
 
 
 def _range(parts: Column, parse) -> Column:
     values = F.filter(F.transform(F.filter(parts, lambda p: F.trim(p) != ""), parse), lambda v: v.isNotNull())
-    return F.struct(F.array_min(values).alias("lo"), F.array_max(values).alias("hi"))
+    return let(values, lambda v: F.struct(F.array_min(v).alias("lo"), F.array_max(v).alias("hi")))
 
 
 def area_range_m2(c: Column | str) -> Column:
-    return _range(F.split(clean(c), RANGE_MARK), lambda p: _area(F.trim(p)))
+    return _range(F.split(clean(c), RANGE_MARK), lambda p: let(F.trim(p), _area))
 
 
 def _money(s: Column) -> Column:
@@ -70,7 +70,7 @@ def _money(s: Column) -> Column:
 
 def money_jpy(c: Column | str) -> Column:
     """Yen: hundred millions and ten thousands add up; else the number before 円."""
-    return _money(clean(c))
+    return let(clean(c), _money)
 
 
 def money_range_jpy(c: Column | str) -> Column:
@@ -88,9 +88,12 @@ def per_elevator(units: Column, elevators: Column) -> Column:
 
 def floors_in_range(c: Column) -> Column:
     """``5-20`` has 16 floors, ``7`` one, words none."""
-    s = clean(c)
-    lo, hi = (F.regexp_extract(s, r"^(\d+)\s*[-~]\s*(\d+)$", k).try_cast("int") for k in (1, 2))
-    return F.coalesce(F.abs(hi - lo) + 1, F.when(s.rlike(r"^\d+$"), F.lit(1)))
+
+    def parse(s: Column) -> Column:
+        lo, hi = (F.regexp_extract(s, r"^(\d+)\s*[-~]\s*(\d+)$", k).try_cast("int") for k in (1, 2))
+        return F.coalesce(F.abs(hi - lo) + 1, F.when(s.rlike(r"^\d+$"), F.lit(1)))
+
+    return let(clean(c), parse)
 
 
 def average_price(avg: Column, lo: Column, hi: Column) -> Column:

@@ -16,6 +16,11 @@ def text_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it: keeps plans small where parsers nest."""
+    return F.transform(F.array(value), f)[0]
+
+
 def strip(c: Column, chars: str = r"\s") -> Column:
     return F.regexp_replace(c, f"^[{chars}]+|[{chars}]+$", "")
 
@@ -94,6 +99,10 @@ def tags(html: Column | str) -> Column:
 def sentence_around(text: Column, term: Column | str, limit: int = 140) -> Column:
     """The sentence of cleaned ``text`` that holds the first ``term``; empty if there is none."""
     term = F.lit(clean_literal(term)) if isinstance(term, str) else term
+    return let(text, lambda t: _sentence(t, term, limit))
+
+
+def _sentence(text: Column, term: Column, limit: int) -> Column:
     at = F.position(term, text)
     head = F.regexp_extract(F.substr(text, F.lit(1), at - 1), "([^。｡※]*)$", 1)
     tail = F.split(F.substr(text, at + F.length(term)), "[。｡\n]|※|・{2,}", 2)[0]

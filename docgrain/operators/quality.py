@@ -27,8 +27,8 @@ def key_problems(rows: DataFrame, key: str) -> DataFrame:
 
 
 def repeated_keys(rows: DataFrame, key: str, owner: str = "building_id") -> DataFrame:
-    counted = rows.groupBy(key).agg(F.count("*").alias("n"), F.min(owner).alias(owner))
-    return warning(counted, "V1", F.col(key).isNull() | (F.col("n") > 1), key, "key empty or repeated, rows: ", F.col("n"), key=owner)
+    counted = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("n"), F.min(owner).alias("_owner"))
+    return warning(counted, "V1", F.col("_key").isNull() | (F.col("n") > 1), "_key", "key empty or repeated, rows: ", F.col("n"), key="_owner")
 
 
 def sums_against(parts: DataFrame, key: str, value: Column) -> DataFrame:

@@ -18,6 +18,7 @@ from docgrain.functions.text import clean, clean_literal, slug, squash
 from docgrain.operators import cells as C
 from docgrain.operators import derive, records
 from docgrain.plans import dictionaries as D
+from docgrain.sources.stages import stage
 
 EXTRACTORS: dict[str, list[tuple[int, Callable]]] = {}
 
@@ -64,18 +65,19 @@ def building(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
     wide = best.groupBy("building_id").agg(*[v(f) for f in D.FIELD_LABELS])
     flat = pages.select("building_id", "page_idx", C.trust(F.col("purpose")).alias("trust"), clean("text").alias("flat"))
     order = F.struct("trust", "page_idx")
+    flat = flat.withColumn("h", domain.height_m("flat")).withColumn("c", domain.ceiling_m("flat"))
     scanned = flat.groupBy("building_id").agg(
-        F.min_by(domain.height_m("flat"), F.when(domain.height_m("flat").isNotNull(), order)).alias("height_m"), F.min_by(domain.ceiling_m("flat"), F.when(domain.ceiling_m("flat").isNotNull(), order)).alias("floor_to_ceiling_m"),
+        F.min_by("h", F.when(F.col("h").isNotNull(), order)).alias("height_m"), F.min_by("c", F.when(F.col("c").isNotNull(), order)).alias("floor_to_ceiling_m"),
         *[F.max(F.contains("flat", F.lit(clean_literal(t)))).alias(f"_t{i}") for i, t in enumerate(D.SIGNATURE_TERMS)],
     )
     features = F.array_compact(F.array(*[F.when(F.col(f"_t{i}"), F.lit(t)) for i, t in enumerate(D.SIGNATURE_TERMS)]))
-    handed = F.coalesce(domain.year("_handover"), domain.year("_completion"))
-    units = numbers.int_of("_num_units_total")
+    handed, units, storeys = F.col("handed"), F.col("units"), F.col("storeys")
     ids = pages.select("building_id").distinct()
     rows = ids.join(wide, "building_id", "left").join(scanned, "building_id", "left")
+    rows = rows.withColumn("handed", F.coalesce(domain.year("_handover"), domain.year("_completion"))).withColumn("units", numbers.int_of("_num_units_total")).withColumn("storeys", domain.floors("_structure"))
     return rows.select(
         "building_id", F.trim(F.substring_index("_address", "地図", 1)).alias("address"), domain.district("_address").alias("district"), units.alias("num_units_total"),
-        domain.floors("_structure")["above"].alias("num_floors_above"), domain.floors("_structure")["below"].alias("num_basements"), numbers.area_m2("_land_area_m2").alias("land_area_m2"),
+        storeys["above"].alias("num_floors_above"), storeys["below"].alias("num_basements"), numbers.area_m2("_land_area_m2").alias("land_area_m2"),
         numbers.area_m2("_gfa_m2").alias("gfa_m2"), handed.alias("year_handover"), domain.status(handed, F.coalesce("_completion", "_handover"), F.lit(int(as_of[:4]))).alias("status"),
         domain.year("_launch").alias("year_launch"), domain.companies("_developer").alias("developer"), F.trim(F.substring_index("_architect", "、", 1)).alias("architect_firm"),
         F.when(F.col("_kind").isNotNull(), F.lit("chung_cu")).alias("building_type"), "height_m", "floor_to_ceiling_m", domain.parking_ratio("_parking", units).alias("parking_ratio"),
@@ -106,19 +108,17 @@ def unit_type(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
     slots = type_blocks(cells).withColumn("slot", slot).where("slot IS NOT NULL")
     first = lambda s, c: F.min_by(c, F.when(F.col("slot") == s, F.col("kv_idx"))).alias(f"{s}_{c}")
     per = slots.groupBy("building_id", "page_idx", "block", "block_code", "trust", "purpose", "url").agg(first("layout", "value"), first("area", "value"), first("area", "label"), first("balcony", "value"))
-    lo = numbers.area_range_m2("area_value")["lo"]
-    lo = F.when(lo.between(8, 1000), lo)
-    basis = domain.area_basis(F.concat_ws(" ", "area_label", "area_value"), F.col("area_label"))
-    net, plan = basis == "thong_thuy", domain.layout("layout_value")
-    balcony = numbers.area_m2("balcony_value")
+    per = per.withColumn("lo", numbers.area_range_m2("area_value")["lo"]).withColumn("basis", domain.area_basis(F.concat_ws(" ", "area_label", "area_value"), F.col("area_label")))
+    per = per.withColumn("plan", domain.layout("layout_value")).withColumn("balcony", numbers.area_m2("balcony_value"))
+    lo, basis, plan, balcony = F.when(F.col("lo").between(8, 1000), F.col("lo")), F.col("basis"), F.col("plan"), F.col("balcony")
+    net = basis == "thong_thuy"
     tabled = per.select(
         "building_id", "trust", "page_idx", F.col("block").alias("ord"), F.col("block_code").alias("type_code"), plan["bedrooms"].alias("bedrooms"), plan["layout_class"].alias("layout_class"),
         plan["has_multipurpose_room"].alias("has_multipurpose_room"), F.when(net, lo).alias("area_net_m2"), F.when(~net, lo).alias("area_gross_m2"), F.when(lo.isNotNull(), basis).alias("area_basis_reported"),
         F.when(balcony.between(0.5, 300), balcony).alias("area_balcony_m2"), F.when(F.col("purpose") == "floorplan", F.col("url")).alias("floorplan_url"),
     )
-    texts = text_blocks(pages)
-    plan, area = domain.layout("layout"), numbers.area_m2("area")
-    area = F.when(area.between(8, 1000), area)
+    texts = text_blocks(pages).withColumn("plan", domain.layout("layout")).withColumn("m2", numbers.area_m2("area"))
+    area = F.when(F.col("m2").between(8, 1000), F.col("m2"))
     written = texts.select(
         "building_id", "trust", "page_idx", F.col("line_no").alias("ord"), F.col("code").alias("type_code"), plan["bedrooms"].alias("bedrooms"), plan["layout_class"].alias("layout_class"),
         plan["has_multipurpose_room"].alias("has_multipurpose_room"), area.alias("area_net_m2"), F.when(area.isNotNull(), F.lit("thong_thuy")).alias("area_basis_reported"),
@@ -169,8 +169,7 @@ def price_obs(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
     same = [F.lit("so_cap").alias("market"), F.lit("JPY").alias("currency"), F.lit("per_unit").alias("price_unit"), F.lit("khong_ro").alias("price_basis"), "period", source.alias("source_type"), F.col("url").alias("listing_url")]
     types = dated(usable(text_blocks(pages))).withColumn("price_avg", numbers.money_jpy("price")).where("price_avg >= 1e6")
     typed = types.select("building_id", "trust", "page_idx", F.col("line_no").alias("ord"), F.col("code").alias("unit_type_code"), "price_avg", *same)
-    money = numbers.money_range_jpy("value")
-    ranges = dated(usable(picked.where("field = 'price'"))).withColumn("price_min", money["lo"]).withColumn("hi", money["hi"]).where("price_min >= 1e6")
+    ranges = dated(usable(picked.where("field = 'price'"))).withColumn("money", numbers.money_range_jpy("value")).withColumn("price_min", F.col("money.lo")).withColumn("hi", F.col("money.hi")).where("price_min >= 1e6")
     one = ranges.withColumn("_m", F.row_number().over(Window.partitionBy("building_id").orderBy("trust", "page_idx"))).where("_m = 1")
     ranged = one.select("building_id", "trust", "page_idx", F.lit(-1).alias("ord"), F.lit(None).cast("string").alias("unit_type_code"), "price_min", F.when(F.col("hi") != F.col("price_min"), F.col("hi")).alias("price_max"), *same)
     return typed.unionByName(ranged, allowMissingColumns=True)
@@ -178,7 +177,7 @@ def price_obs(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
 
 def extract(pages: DataFrame, as_of: str) -> dict[str, DataFrame]:
     """Merged records of each table: all extractors, better sources first, duplicates coalesced field by field."""
-    cells = page_cells(pages)
+    cells = stage(page_cells(pages), "cells")
     out = {}
     for table, found in EXTRACTORS.items():
         parts = [f(pages, cells, as_of).withColumn("src_rank", F.lit(rank)) for rank, f in found]
@@ -190,7 +189,7 @@ def extract(pages: DataFrame, as_of: str) -> dict[str, DataFrame]:
         if len(order) > 1:
             firsts = rows.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]}).groupBy(*key).agg(F.min(F.struct(*order)).alias("ord"))
             merged = merged.join(firsts, key)
-        out[table] = merged.withColumns({k: F.nullif(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]})
+        out[table] = stage(merged.withColumns({k: F.nullif(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]}), f"records-{table}")
     return out
 
 
@@ -204,7 +203,8 @@ def assemble(found: dict[str, DataFrame], identity: DataFrame, plans: DataFrame,
     ``plans`` are rows of saved_floorplans, ``verified`` rooms checked by hand (with building_id and type_code).
     """
     coded = found["unit_type"].where("type_code IS NOT NULL")
-    types = _keyed(coded, [slug("type_code")], "unit_type_id").withColumn("ratio_net_gross_pct", numbers.percent(F.col("area_net_m2"), F.col("area_gross_m2")))
+    types = records.project(_keyed(coded, [slug("type_code")], "unit_type_id"), schemas.TABLES["unit_type"] + ", ord struct<src_rank:int,trust:int,page_idx:int,ord:int>")
+    types = stage(types.withColumn("ratio_net_gross_pct", numbers.percent(F.col("area_net_m2"), F.col("area_gross_m2"))), "types")
     resolve = lambda rows, code: records.resolve_foreign_key(rows, code, types, "type_code", "unit_type_id", "ord", ["building_id"])
 
     unit_plans = resolve(plans.where("is_floorplan AND plan_kind = 'unit'"), "matched_type_code")
@@ -220,15 +220,16 @@ def assemble(found: dict[str, DataFrame], identity: DataFrame, plans: DataFrame,
     plates = _keyed(records.project(plates, schemas.TABLES["floor_plate"] + ", ord int").drop("floor_plate_id"), [slug("tower_code", fallback="main"), slug("floor_range", fallback="na")], "floor_plate_id")
     plates = plates.withColumn("efficiency_per_floor_pct", numbers.percent(F.col("nfa_per_floor_m2"), F.col("gfa_per_floor_m2"))).withColumn("units_per_elevator", numbers.per_elevator(F.col("units_per_floor"), F.col("num_elevators")))
 
+    plates = stage(plates, "plates")
     items = _keyed(found["handover_item"], [slug("item_code")], "handover_id")
-    amenities = _keyed(found["amenity"], [F.col("slug")], "amenity_id")
+    amenities = stage(_keyed(found["amenity"], [F.col("slug")], "amenity_id"), "amenities")
     priced = resolve(found["price_obs"].withColumn("price_avg", numbers.average_price(F.col("price_avg"), F.col("price_min"), F.col("price_max"))), "unit_type_code")
     fx = priced.sparkSession.createDataFrame(list(schemas.FX_TO_USD.items()), "currency string, usd_rate double")
     priced = derive.usd_per_m2(priced, fx).withColumn("observed_at", F.lit(as_of))
     prices = _keyed(priced, [F.coalesce("unit_type_id", F.lit("all")), F.coalesce("market", F.lit("na")), F.coalesce("period", F.lit("na"))], "price_id")
 
     share = lambda otherwise: derive.weight("num_units_of_type", "share_of_total_pct", otherwise)
-    wide = records.project(types, schemas.TABLES["unit_type"] + ", ord struct<src_rank:int,trust:int,page_idx:int,ord:int>")
+    wide = types
     area = derive.bounds_with_fallback(wide, "building_id", "area_net_m2", "area_gross_m2").withColumnsRenamed({"lo": "unit_area_min_m2", "hi": "unit_area_max_m2"})
     classes = wide.groupBy("building_id").agg(derive.distinct_list("layout_class").alias("unit_types_summary"))
     mode = derive.weighted_mode(wide, "building_id", "layout_class", share(1.0), "ord").withColumnRenamed("mode", "dominant_layout_class")
