@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docgrain.sources.stages import ranked
+
 
 def lookup(terms: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(terms with their translation, misses with counts). The seed wins over learnt translations (``src_rank``)."""
@@ -50,7 +52,7 @@ def top_pages(pages: DataFrame, host: str, score: str, tie: str, k: int = 3) ->
 
 def systematic_sample(rows: DataFrame, order: str, most: int) -> DataFrame:
     """Every n-th row in order, n being rows div ``most``; at most ``most`` rows: a sample for people to read."""
-    n = F.count("*").over(Window.partitionBy())
-    step = F.greatest(F.lit(1), F.floor(n / most)).cast("int")
-    picked = rows.withColumn("_n", F.row_number().over(Window.orderBy(order)) - 1).withColumn("_step", step).where("_n % _step = 0")
-    return picked.withColumn("pick", (F.col("_n") / F.col("_step")).cast("int")).where(F.col("pick") < most).drop("_n", "_step")
+    numbered = ranked(rows, order)
+    step = F.broadcast(numbered.agg(F.greatest(F.lit(1), F.floor(F.count("*") / most)).cast("int").alias("_step")))  # one row
+    picked = numbered.join(step).where("rank % _step = 0").withColumn("pick", (F.col("rank") / F.col("_step")).cast("int"))
+    return picked.where(F.col("pick") < most).drop("rank", "_step")

@@ -25,7 +25,7 @@ def q_coalesce_merge(spark, sf_dir):
     return merged.select("nationkey", "name", "bal", F.col("bal_from").alias("bal_src"))
 
 
-@query("""WITH t AS (SELECT p_brand AS code, arg_max(p_partkey, p_partkey) AS id FROM part WHERE p_partkey % 2 = 0 GROUP BY p_brand),
+@query("""WITH t AS (SELECT p_brand AS code, max(p_partkey) AS id FROM part GROUP BY p_brand),
 r AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_brand WHEN 1 THEN '  ' || upper(p_brand) ELSE 'none' END AS code FROM part)
 SELECT r.p_partkey, r.code, t.id AS type_id FROM r LEFT JOIN t ON lower(trim(r.code)) = lower(t.code)""")
 def q_fk_resolve(spark, sf_dir):
@@ -33,7 +33,7 @@ def q_fk_resolve(spark, sf_dir):
     part = Tables(spark, sf_dir).part
     form = F.col("p_partkey") % 3
     rows = part.select("p_partkey", F.when(form == 0, F.col("p_brand")).when(form == 1, F.concat(F.lit("  "), F.upper("p_brand"))).otherwise("none").alias("code"))
-    targets = part.where("p_partkey % 2 = 0").select("p_brand", F.col("p_partkey").alias("type_id"))
+    targets = part.select("p_brand", F.col("p_partkey").alias("type_id"))
     return records.resolve_foreign_key(rows, "code", targets, "p_brand", "type_id", "type_id")
 
 
@@ -69,13 +69,13 @@ def q_stack_union(spark, sf_dir):
     return stack.stack(tables, labels, {"region": "R1", "nation": "R2", "supplier": "R3"}, {"region": "r_regionkey", "nation": "n_nationkey", "supplier": "s_suppkey"})
 
 
-@query("""WITH r AS (SELECT c_custkey AS building_id, c_name, c_acctbal + 1 AS bal, NULL AS note FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 <> 0),
+@query("""WITH r AS (SELECT c_custkey AS building_id, c_name, c_acctbal + 1 AS bal, NULL AS note FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0),
 n AS (SELECT *, ((dense_rank() OVER (ORDER BY building_id) - 1) % 4)::INT AS shard FROM r) SELECT building_id, c_name, round(bal, 2) AS bal, note, shard FROM n""")
 def q_append_carry(spark, sf_dir):
-    """Customers of every third id are rebuilt, the other even ones carried over with a column of their own; dealt to four shards."""
+    """Customers of every third id are rebuilt, all others carried over with a column of their own; dealt to four shards."""
     c = Tables(spark, sf_dir).customer.withColumnRenamed("c_custkey", "building_id")
     new = c.where("building_id % 3 = 0").select("building_id", "c_name", F.round(F.col("c_acctbal") + 1, 2).alias("bal"))
-    old = c.where("building_id % 2 = 0").select("building_id", "c_name", F.round("c_acctbal", 2).alias("bal"), F.col("c_mktsegment").alias("note"))
+    old = c.select("building_id", "c_name", F.round("c_acctbal", 2).alias("bal"), F.col("c_mktsegment").alias("note"))
     return sinks.shard_of(stack.carry_over(old, new), 4)
 
 
@@ -86,15 +86,15 @@ def q_benchmark_nonempty_cols(spark, sf_dir):
     return rows.select(*sinks.non_empty_columns(rows))
 
 
-@query("""WITH d AS (SELECT doc_id, source, lang, nullif(trim(split_part(coalesce(text, ''), chr(10), 1)), '') AS head, CASE WHEN doc_id % 2 = 0 THEN n_chars END AS n, lower(coalesce(left(text, 12), '')) AS k FROM documents),
+@query("""WITH d AS (SELECT doc_id, source, lang, nullif(trim(split_part(coalesce(text, ''), chr(10), 1)), '') AS head, CASE WHEN doc_id % 2 = 0 THEN n_chars END AS n, lower(split_part(coalesce(text, ''), chr(10), 1)) AS k FROM documents),
 r AS (SELECT *, rtrim(regexp_replace(trim(k), '[ \\t\\n\\f\\r]+', ' ', 'g'), ' .') AS key, (CASE WHEN head IS NULL THEN 0 ELSE 1 END + CASE WHEN n IS NULL THEN 0 ELSE 1 END) AS rich FROM d),
 o AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY rich DESC, doc_id) AS n_o FROM r)
 SELECT key, arg_min(doc_id, n_o) AS doc_id, arg_min(n, n_o) FILTER (WHERE n IS NOT NULL) AS n, arg_min(source, n_o) AS source, count(*) AS versions, max(rich)::INT AS richness FROM o GROUP BY key""")
 def q_entity_fold(spark, sf_dir):
-    """Documents that begin alike as versions of one: the richest is the base, its blanks are filled from the others."""
+    """Documents of one first line as versions of one: the richest is the base, its blanks are filled from the others."""
     d = Tables(spark, sf_dir).documents
     head = F.nullif(F.trim(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)), F.lit(""))
-    rows = d.select("doc_id", "source", head.alias("head"), F.when(F.col("doc_id") % 2 == 0, F.col("n_chars")).alias("n"), text.name_key(F.coalesce(F.left("text", F.lit(12)), F.lit(""))).alias("key"))
+    rows = d.select("doc_id", "source", head.alias("head"), F.when(F.col("doc_id") % 2 == 0, F.col("n_chars")).alias("n"), text.name_key(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)).alias("key"))
     rows = rows.withColumn("richness", stack.richness(["head", "n"])).withColumn("_r", -F.col("richness"))
     folded = stack.fold(rows, "key", ["doc_id", "n", "source"], ["_r", "doc_id"])
     return folded.join(rows.groupBy("key").agg(F.max("richness").alias("richness")), "key")
@@ -189,10 +189,10 @@ def q_resolve_ids(spark, sf_dir):
     return records.resolve_ids(c.select("query"), given(10, "o"), given(5, "i"), given(1, "s").limit(0), text.slug("query"))
 
 
-@query("""SELECT l_orderkey AS building_id, l_linenumber AS line, CASE WHEN l_partkey % 4 = 0 THEN 'u' || l_suppkey END AS source_url FROM lineitem WHERE l_partkey % 2 = 0""")
+@query("""SELECT l_orderkey AS building_id, l_linenumber AS line, CASE WHEN l_partkey % 4 = 0 THEN 'u' || l_suppkey END AS source_url FROM lineitem""")
 def q_provenance_index(spark, sf_dir):
     """Evidence from files of lines: by path where it is given, else by the file's name; other files have no source."""
-    t = Tables(spark, sf_dir).lineitem.where("l_partkey % 2 = 0")
+    t = Tables(spark, sf_dir).lineitem
     own = F.concat("l_orderkey", F.lit("_"), "l_linenumber", F.lit("_"), "l_partkey", F.lit("_"), "l_suppkey", F.lit(".txt"))
     sources = t.where("l_partkey % 4 = 0").select(F.col("l_orderkey").alias("building_id"), F.concat(F.lit("raw/"), own).alias("text_file"), F.lit("").alias("raw_file"), F.lit(None).cast("string").alias("shot_file"), F.lit(None).cast("array<string>").alias("floorplan_files"), F.concat(F.lit("u"), "l_suppkey").alias("url"), F.lit("2026-01-01").alias("accessed_at"))
     proof = t.select(F.col("l_orderkey").alias("building_id"), F.col("l_linenumber").alias("line"), F.when(F.col("l_partkey") % 8 == 0, F.concat(F.lit("raw/"), own)).otherwise(own).alias("source_file"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docgrain import schemas
+from docgrain.sources.stages import ranked
 
 
 def cell(c: Column, kind: T.DataType) -> Column:
@@ -32,10 +33,9 @@ def write_per_building(stacked: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def shard_of(df: DataFrame, shards: int, key: str = "building_id") -> DataFrame:
-    """Round robin over the sorted ids. Only the table of ids is numbered in one order; rows get their shard by a join."""
-    ids = df.select(key).distinct()
-    numbered = ids.withColumn("shard", ((F.row_number().over(Window.orderBy(key)) - 1) % shards).cast("int"))
-    return df.join(numbered, key)
+    """Round robin over the sorted ids: the distinct ids are ranked, rows get their shard by a join."""
+    ids = ranked(df.select(key).distinct(), key)
+    return df.join(ids.select(key, (F.col("rank") % shards).cast("int").alias("shard")), key)
 
 
 def write_shards(df: DataFrame, path: str, shards: int, stamp: str) -> None:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -23,3 +24,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/docgrain/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ranked(df: DataFrame, key: str, out: str = "rank") -> DataFrame:
+    """``df`` with the place of each row, from 0, in order of a unique ``key``, without gathering it in one task.
+
+    Rows are dealt by ranges of the key and numbered inside each; a range starts where those before it end. The table of
+    ranges has one row a partition, which bounds its broadcast. The dealing is written first, so that all parts see the same.
+    """
+    dealt = stage(df.repartitionByRange(key).withColumn("_part", F.spark_partition_id()), "ranked")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    return dealt.join(F.broadcast(starts), "_part").withColumn(out, F.col("_start") + inside).drop("_part", "_start")
