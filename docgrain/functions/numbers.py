@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgrain.functions.text import clean, clean_literal, let
@@ -98,3 +98,10 @@ def floors_in_range(c: Column) -> Column:
 
 def average_price(avg: Column, lo: Column, hi: Column) -> Column:
     return F.coalesce(avg, (lo + hi) / 2, lo, hi)
+
+
+def with_money_factor(rows: DataFrame, unit: str, amount: str) -> DataFrame:
+    """``currency`` and ``value`` of amounts by their money word: a join with the table of units, one row a word."""
+    units = rows.sparkSession.createDataFrame(MONEY_UNITS, "_unit string, currency string, _factor double")
+    joined = rows.join(units, rows[unit] == units["_unit"], "left")
+    return joined.withColumn("value", F.col(amount) * F.col("_factor")).drop("_unit", "_factor")

@@ -86,3 +86,13 @@ def fold_buildings(buildings: DataFrame, children: dict[str, DataFrame], fields:
 def orphans(rows: DataFrame, buildings: DataFrame, key: str = "building_id") -> DataFrame:
     """Ids that have rows but no building, with the reason why they are rejected."""
     return rows.select(key).distinct().join(buildings.select(key).distinct(), key, "left_anti").select(key, F.lit("no building record").alias("reason"))
+
+
+def report_page(rows: DataFrame, sort: list[Column], page: int = 0, size: int = 50) -> DataFrame:
+    """A page of a report: rows in the wanted order, ties by completeness, then by name."""
+    ordered = rows.orderBy(*sort, F.desc("completeness"), F.lower("building_name"))
+    return ordered.offset(page * size).limit(size)
+
+
+def newest_stamp(rows: DataFrame, column: str = "extracted_at") -> DataFrame:
+    return rows.agg(F.max(column).alias("newest"))

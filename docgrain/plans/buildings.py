@@ -245,6 +245,45 @@ def assemble(found: dict[str, DataFrame], identity: DataFrame, plans: DataFrame,
     return {name: records.project(rows, schemas.TABLES[name]) for name, rows in tables.items()}
 
 
+#: What each labelled cell of a building gives evidence for.
+EVIDENCE_OF = {
+    "address": ["address", "district"], "num_units_total": ["num_units_total"], "structure": ["num_floors_above", "num_basements"], "land_area_m2": ["land_area_m2"], "gfa_m2": ["gfa_m2"],
+    "handover": ["year_handover"], "completion": ["status"], "launch": ["year_launch"], "developer": ["developer"], "architect": ["architect_firm"], "kind": ["building_type"], "parking": ["parking_ratio"],
+}
+
+
+def evidence(pages: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Evidence rows of buildings (the cells that won), equipment and amenities (the sentences found), for filled fields only."""
+    cells = stage(page_cells(pages), "evidence-cells")
+    matches = C.label_matches(cells, _labels(pages.sparkSession))
+    best = C.best_cell(matches.where(_valid(F.col("field"), F.col("value"))), "building_id", ORDER)
+    fields = F.create_map(*[x for k, v in EVIDENCE_OF.items() for x in (F.lit(k), F.array(*[F.lit(f) for f in v]))])
+    shared = lambda table, key: [F.lit(table).alias("table"), F.col(key).alias("record_key")]
+    cell = best.select(*shared("building", "building_id"), "building_id", F.explode(F.try_element_at(fields, F.col("field"))).alias("field"), F.col("url").alias("source_url"), F.col("name").alias("source_file"), squash(F.concat_ws(": ", "label", "value")).alias("snippet"), "confidence", "kv_idx")
+    about = pages.select("building_id", F.col("url").alias("source_url"), F.col("name").alias("source_file"), F.lit("high").alias("confidence"), C.trust(F.col("purpose")).alias("trust"), "page_idx").where("trust = 0")
+    first = about.withColumn("_n", F.row_number().over(Window.partitionBy("building_id").orderBy("page_idx"))).where("_n = 1").drop("_n", "trust", "page_idx")
+    found = [cell]
+    for table, key, said in (("handover_item", "handover_id", "item_spec"), ("amenity", "amenity_id", "amenity_name")):
+        columns = [c.split()[0] for c in schemas.TABLES[table].split(", ") if not c.split()[0].endswith("_id")]
+        filled = records.filled_fields(tables[table].select("building_id", key, *columns), key, columns).join(tables[table].select(key, "building_id", F.col(said).alias("snippet")), key)
+        found.append(filled.join(first, "building_id").select(*shared(table, key), "building_id", "field", "source_url", "source_file", squash("snippet").alias("snippet"), "confidence", F.lit(0).alias("kv_idx")))
+    rows = reduce(lambda a, b: a.unionByName(b), found).withColumn("ord", F.col("kv_idx"))
+    values = records.filled_fields(tables["building"], "building_id", sorted({f for v in EVIDENCE_OF.values() for f in v})).select(F.lit("building").alias("table"), F.col("building_id").alias("record_key"), "field", "value")
+    for table, key in (("handover_item", "handover_id"), ("amenity", "amenity_id")):
+        columns = [c.split()[0] for c in schemas.TABLES[table].split(", ") if not c.split()[0].endswith("_id")]
+        values = values.unionByName(records.filled_fields(tables[table].select(key, *columns), key, columns).select(F.lit(table).alias("table"), F.col(key).alias("record_key"), "field", "value"))
+    one = records.one_provenance(rows, ["table", "record_key"], values)
+    return one.join(values, ["table", "record_key", "field"])
+
+
+def rewritten(rows: DataFrame, dictionary: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """(rows with their texts rewritten, terms still in source script with counts); verbatim fields are left alone."""
+    texts = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string" and not f.name.endswith("_id") and f.name not in schemas.VERBATIM and not f.name.endswith(schemas.VERBATIM_ENDINGS)]
+    done = rows.withColumns({c: F.when(F.col(c).isNotNull(), domain.rewrite_phrase(F.col(c), dictionary)) for c in texts})
+    left = F.flatten(F.array(*[F.coalesce(domain.residual_terms(F.col(c), F.col(c)), F.array().cast("array<string>")) for c in texts]))
+    return done, done.select(F.explode(left).alias("term")).groupBy("term").agg(F.count("*").alias("count"))
+
+
 def benchmark(tables: dict[str, DataFrame], manifest: DataFrame, as_of: str) -> DataFrame:
     """Buildings with counts of their children, price indices and growth."""
     prices = tables["price_obs"].withColumn("year", F.left("period", F.lit(4)).try_cast("int"))

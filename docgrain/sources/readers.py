@@ -100,6 +100,17 @@ def saved_floorplans(spark: SparkSession, raw_dir: str) -> DataFrame:
     return rows.select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("building_id"), F.posexplode("plans").alias("plan_idx", "p")).select("building_id", "plan_idx", "p.*")
 
 
+def saved_records(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Records of a table that were extracted before, with the file they stand in."""
+    return spark.read.schema(schemas.TABLES[table]).json(f"{path}/{table}").withColumn("source_path", F.col("_metadata.file_path"))
+
+
+def earlier_shards(spark: SparkSession, path: str, stamp: str | None = None) -> DataFrame:
+    """Rows of shards written before, with all the columns they have."""
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    return rows if stamp is None else rows.where(F.col("stamp") == stamp)
+
+
 def verified_rooms(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.csv(path, header=True, multiLine=True, escape='"')
     return rows.where(true_word("verified")).withColumns({c: rows[c].try_cast("double") for c in ("area_m2", "width_m", "length_m")} | {c: true_word(c) for c in ("has_window", "is_ensuite")})
@@ -137,6 +148,21 @@ def done_index(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(F.from_json("value", "map<string,string>")).alias("query", "building_id"))
 
 
+def retyped(rows: DataFrame) -> DataFrame:
+    """Text columns of a stacked file by what their names say: counts and years whole, areas, prices, shares numbers, is_/has_/includes_ yes or no."""
+    whole = ("num_", "year_", "bedrooms", "units_per_floor", "amenity_count", "sample_size")
+    number = ("_m2", "_m", "_pct", "_ratio", "price_min", "price_max", "price_avg", "latitude", "longitude", "fx_rate_to_usd")
+
+    def typed(c: str) -> Column:
+        if c.startswith(("is_", "has_", "includes_")):
+            return true_word(c)
+        if c.startswith(whole):
+            return F.round(F.trim(c).try_cast("double")).cast("long")
+        return F.trim(c).try_cast("double") if c.endswith(number) or c in number else blank_to_null(c)
+
+    return rows.select(*[typed(c).alias(c) for c in rows.columns])
+
+
 def infobox(cells: DataFrame, key: str = "page_id") -> DataFrame:
     """Facts of an encyclopaedia infobox from label/value cells: coordinates, height, place, year, architect."""
     pick = lambda words: F.min_by("value", F.when(F.lower("label").rlike(words), F.col("kv_idx")))

@@ -91,6 +91,18 @@ def test_schemas_and_checks(tables):
     assert ("V7", "tower_a") in found and ("V1", "tower_a") not in found
 
 
+def test_evidence_and_rewriting(spark, crawl, tables):
+    pages = readers.load_pages(spark, crawl, readers.manifests(spark, crawl))
+    rows = {(r.table, r.record_key, r.field): r for r in buildings.evidence(pages, tables).collect()}
+    units = rows["building", "tower_a", "num_units_total"]
+    assert (units.value, units.snippet, units.confidence, units.source_file) == ("462", "総戸数: 462戸", "high", "01.txt")
+    assert rows["handover_item", "tower_a__san_suoi", "item_category"].value == "dieu_hoa_thong_gio"
+    assert not any(r.record_key == "tower_b" and r.field == "address" for r in rows.values())
+    done, left = buildings.rewritten(tables["building"].select("building_id", "developer", "address"), [("東京", "Tokyo")])
+    assert {r.developer for r in done.collect()} == {"住友不動産", "Other"}
+    assert {r.term for r in left.collect()} >= {"住友不動産"}
+
+
 def test_benchmark_and_stack(spark, crawl, tables, tmp_path):
     manifest = readers.manifests(spark, crawl)
     bench = {r.building_id: r for r in buildings.benchmark(tables, manifest, "2026-06-01").collect()}

@@ -71,3 +71,21 @@ def test_infobox(spark):
     rows = [(1, 0, "Coordinates", "35.6; 139.7"), (1, 1, "Height", "333 m (1,093 ft)"), (1, 2, "Location", "Minato, Tokyo, Japan"), (1, 3, "Completed", "1958"), (1, 4, "Architect", "T. Naito")]
     r = readers.infobox(spark.createDataFrame(rows, "page_id int, kv_idx int, label string, value string")).first()
     assert (r.latitude, r.longitude, r.height_m, r.height_ft, r.country, r.city, r.year_completed, r.architect) == (35.6, 139.7, 333.0, 1093.0, "Japan", "Tokyo", 1958, "T. Naito")
+
+
+def test_retyped_and_units(spark, tmp_path):
+    rows = spark.createDataFrame([("12", "3.5", "yes", ""), ("x", "y", "z", "n")], "num_units string, gfa_m2 string, is_target string, name string")
+    assert [tuple(r) for r in readers.retyped(rows).collect()] == [(12, 3.5, True, None), (None, None, None, "n")]
+    from docgrain.functions.numbers import with_money_factor
+
+    money = spark.createDataFrame([("万円", 2.0), ("tỷ", 3.0), ("?", 1.0)], "u string, a double")
+    assert {(r.u, r.currency, r.value) for r in with_money_factor(money, "u", "a").collect()} == {("万円", "JPY", 2e4), ("tỷ", "VND", 3e9), ("?", None, None)}
+    sinks.write_records({"amenity": spark.createDataFrame([("k", "b")], "amenity_id string, building_id string")}, str(tmp_path / "r"))
+    assert readers.saved_records(spark, str(tmp_path / "r"), "amenity").first().amenity_id == "k"
+
+
+def test_ranked(spark):
+    from docgrain.sources.stages import ranked
+
+    got = ranked(spark.range(1000).repartition(7), "id")
+    assert got.where("id <> rank").count() == 0
