@@ -97,9 +97,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _settle(rows: DataFrame, keep_first: bool, name: str) -> tuple[DataFrame, DataFrame]:
     """(settled rows whose strings all go, rows to split: those still open and one partner for each content)."""
     own = F.struct("doc_id", "h", "lo")
+    # the classes are written before they are joined: so both sides of the join have a shuffle of their own, and one core
+    # that a third of all rows have is split among tasks
     core = rows.groupBy("core").agg(F.count("*").alias("n_core"), F.max("open").alias("wanted"), *([F.min(own).alias("first_core")] if keep_first else []))
-    live = materialize(rows.join(core.where("n_core > 1 AND wanted").drop("wanted"), "core"), f"{name}-live")
-    whole = live.groupBy("whole").agg(F.count("*").alias("n_whole"), F.min(own).alias("first_whole"))
+    core = materialize(core.where("n_core > 1 AND wanted").drop("wanted"), f"{name}-cores")
+    live = materialize(rows.join(core, "core"), f"{name}-live")
+    whole = materialize(live.groupBy("whole").agg(F.count("*").alias("n_whole"), F.min(own).alias("first_whole")), f"{name}-wholes")
     seen = live.join(whole, "whole")
     leads = own == F.col("first_whole")
     goes = ~leads if keep_first else F.col("n_whole") > 1
