@@ -88,7 +88,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, seed: int = 0) -> DataFram
 
 
 def sharded_rows(docs: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
-    """The rows of ``docs`` with ``shard`` and ``slot``, as ``shard_documents`` deals them."""
+    """The rows of ``docs`` with ``shard`` and ``slot``, as ``shard_documents`` deals them; columns of these names are replaced."""
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
     n = docs.count()
     starts = row_number_starts(_narrow(docs), n).select(F.struct("doc_id", "size", "text_crc32").alias("__sh_k"), F.col("_start").alias("__sh_start"))
     text = text_or_empty()
@@ -97,7 +98,7 @@ def sharded_rows(docs: DataFrame, shards: int = 8, seed: int = 0) -> DataFrame:
     same = Window.partitionBy("__sh_key").orderBy(F.lit(0))
     joined = keyed.join(starts, F.col("__sh_key") == F.col("__sh_k"))
     placed = joined.withColumn("__sh_at", permuted(F.col("__sh_start") + F.row_number().over(same) - 1, n, seed))
-    return placed.select(*[F.col(c) for c in docs.columns], *_places(F.col("__sh_at"), shards))
+    return placed.select(*[F.col(c) for c in kept], *_places(F.col("__sh_at"), shards))
 
 
 def op8_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
