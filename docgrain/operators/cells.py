@@ -90,14 +90,17 @@ def confidence(purpose: Column) -> Column:
     return F.when(purpose.isin(schemas.OFFICIAL), "high").when(purpose.isin(schemas.DOUBTFUL), "low").otherwise("medium")
 
 
-def label_matches(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Cells joined with the (field, label, label_rank) that their label contains; placeholders and labels as values go.
+def label_matches(cells: DataFrame, labels: list[tuple[str, str, int]]) -> DataFrame:
+    """Cells with each (field, label, label_rank) that their label contains; placeholders and labels as values go.
 
-    The label table is a list written by hand, a few hundred rows, so it is the broadcast side of a nested loop.
+    The labels are a list written by hand. As a literal array they are matched where the cells are, and validators that
+    follow see matches only; in a join they would move into its condition and run for every pair.
     """
     bad = [clean_literal(x) for x in (*KNOWN_LABELS, *EMPTY_VALUES)]
     values = cells.withColumn("value", clean("value")).where((F.col("value") != "") & ~F.col("value").isin(bad))
-    return values.join(F.broadcast(labels.withColumnRenamed("label", "pattern")), F.contains(F.col("label"), F.col("pattern")))
+    known = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(clean_literal(p)).alias("pattern"), F.lit(r).alias("label_rank")) for f, p, r in labels])
+    found = values.select("*", F.explode(F.filter(known, lambda k: F.contains(F.col("label"), k["pattern"]))).alias("_k"))
+    return found.select("*", "_k.field", "_k.pattern", "_k.label_rank").drop("_k")
 
 
 def best_cell(matches: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -29,7 +29,7 @@ def written_pages(part: DataFrame) -> DataFrame:
 
 
 def _tables(spark, sf_dir) -> dict[str, DataFrame]:
-    pages = written_pages(Tables(spark, sf_dir).part)
+    pages = written_pages(Tables(spark, sf_dir).part.repartition("p_partkey"))
     found = buildings.extract(pages, "2026-06-01")
     return buildings.assemble(found, spark.createDataFrame([], IDENTITY), spark.createDataFrame([], "building_id string, plan_idx int, " + _plan_fields()), spark.createDataFrame([], VERIFIED), "2026-06-01")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docgrain import schemas
@@ -39,9 +39,7 @@ def page_cells(pages: DataFrame) -> DataFrame:
     return C.html_cells(pages, ["building_id", "page_idx"]).join(about, ["building_id", "page_idx"])
 
 
-def _labels(spark: SparkSession) -> DataFrame:
-    rows = [(f, clean_literal(x), i) for f, words in D.FIELD_LABELS.items() for i, x in enumerate(words)]
-    return spark.createDataFrame(rows, "field string, label string, label_rank int")
+LABELS = [(f, x, i) for f, words in D.FIELD_LABELS.items() for i, x in enumerate(words)]
 
 
 def _valid(field: Column, v: Column) -> Column:
@@ -59,7 +57,7 @@ ORDER = ["label_rank", "trust", "page_idx", "kv_idx"]
 
 @extractor("building")
 def building(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
-    matches = C.label_matches(cells, _labels(pages.sparkSession))
+    matches = C.label_matches(cells, LABELS)
     best = C.best_cell(matches.where(_valid(F.col("field"), F.col("value"))), "building_id", ORDER)
     v = lambda f: F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"_{f}")
     wide = best.groupBy("building_id").agg(*[v(f) for f in D.FIELD_LABELS])
@@ -159,7 +157,7 @@ def amenity(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
 @extractor("price_obs")
 def price_obs(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
     """Prices a unit: those of single types, and one range for the building; under a million yen, or without a period, none."""
-    matches = C.label_matches(cells, _labels(pages.sparkSession)).where(_valid(F.col("field"), F.col("value")))
+    matches = C.label_matches(cells, LABELS).where(_valid(F.col("field"), F.col("value")))
     per_page = Window.partitionBy("building_id", "page_idx", "field").orderBy("label_rank", "kv_idx")
     picked = matches.where(F.col("field").isin("price", "period")).withColumn("_n", F.row_number().over(per_page)).where("_n = 1")
     periods = picked.where("field = 'period'").select("building_id", "page_idx", domain.period("value").alias("period"))
@@ -255,7 +253,7 @@ EVIDENCE_OF = {
 def evidence(pages: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """Evidence rows of buildings (the cells that won), equipment and amenities (the sentences found), for filled fields only."""
     cells = stage(page_cells(pages), "evidence-cells")
-    matches = C.label_matches(cells, _labels(pages.sparkSession))
+    matches = C.label_matches(cells, LABELS)
     best = C.best_cell(matches.where(_valid(F.col("field"), F.col("value"))), "building_id", ORDER)
     fields = F.create_map(*[x for k, v in EVIDENCE_OF.items() for x in (F.lit(k), F.array(*[F.lit(f) for f in v]))])
     shared = lambda table, key: [F.lit(table).alias("table"), F.col(key).alias("record_key")]

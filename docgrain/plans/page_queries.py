@@ -134,7 +134,7 @@ def q_label_priority_pick(spark, sf_dir):
     lines = Tables(spark, sf_dir).pages.select("page_id", text.host("url").alias("host"), F.posexplode(text.visible_lines("html")).alias("kv_idx", "line"))
     label = F.substring_index("line", " ", 1)
     rows = lines.select("page_id", "host", "kv_idx", label.alias("label"), F.trim(F.substr("line", F.length(label) + 1)).alias("value"), F.when(F.col("page_id") % 2 == 0, 0).otherwise(1).alias("trust"))
-    labels = spark.createDataFrame([("first", "The", 0), ("first", "And", 1), ("second", "In", 0), ("second", "Th", 1)], "field string, label string, label_rank int")
+    labels = [("first", "The", 0), ("first", "And", 1), ("second", "In", 0), ("second", "Th", 1)]
     best = cells.best_cell(cells.label_matches(rows, labels), "host", ["label_rank", "trust", "page_id", "kv_idx"])
     return best.select("host", "field", "label", "page_id", "kv_idx")
 
