@@ -22,10 +22,14 @@ from docgrain.llm.common import materialize, read_table, text_or_empty
 LEAST = 2
 
 
-def _repeated(named: DataFrame) -> DataFrame:
-    """Rows whose name more than one position has, with the first of those; names are counted before the shuffle."""
+def _repeated(named: DataFrame, step: str) -> DataFrame:
+    """Rows whose name more than one position has, with the first of those; names are counted before the shuffle.
+
+    The counted names are written before they are joined: both sides then have a shuffle of their own, and the positions of
+    one very common line are split among tasks.
+    """
     own = F.struct("doc_id", "h", "line")
-    classes = named.groupBy("name").agg(F.count("*").alias("n"), F.min(own).alias("first")).where("n > 1").drop("n")
+    classes = materialize(named.groupBy("name").agg(F.count("*").alias("n"), F.min(own).alias("first")).where("n > 1").drop("n"), f"lines-{step}-names")
     return named.join(classes, "name").select("doc_id", "h", "line", "name", (own > F.col("first")).alias("later"))
 
 
@@ -40,12 +44,12 @@ def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """doc_id, h, line: starts of runs of ``least`` lines that have an earlier copy."""
     text = text_or_empty()
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("line", "words"))
-    alive = _repeated(lines.select("doc_id", "h", "line", F.unhex(F.md5("words")).alias("name")))
+    alive = _repeated(lines.select("doc_id", "h", "line", F.unhex(F.md5("words")).alias("name")), "1")
     depth = 1
     while depth < least:
         alive = materialize(alive.select("doc_id", "h", "line", "name"), f"lines-{depth}")
         step = min(depth, least - depth)
-        alive = _repeated(_joined_names(alive, step))
+        alive = _repeated(_joined_names(alive, step), str(depth + step))
         depth += step
     return alive.where("later").select("doc_id", "h", "line")
 
