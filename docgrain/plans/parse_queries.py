@@ -68,7 +68,7 @@ def q_floor_year_period(spark, sf_dir):
 
 
 @query("""SELECT s_suppkey, '株式会社' IS NULL AS unused, 's' || s_suppkey || '株式会社; n' || s_nationkey || '有限会社' AS companies, '第' || (s_suppkey % 23 + 1) || '区' AS district,
-CASE WHEN s_nationkey BETWEEN 3 AND 24 THEN s_nationkey * 10.0 WHEN s_nationkey > 0 THEN s_nationkey * 10.0 END AS height_m, CASE WHEN s_nationkey BETWEEN 2 AND 6 THEN s_nationkey::DOUBLE END AS ceiling_m,
+CASE WHEN s_nationkey BETWEEN 3 AND 24 THEN s_nationkey * 10.0::DOUBLE WHEN s_nationkey > 0 THEN s_nationkey * 10.0::DOUBLE END AS height_m, CASE WHEN s_nationkey BETWEEN 2 AND 6 THEN s_nationkey::DOUBLE END AS ceiling_m,
 round((s_suppkey % 90 + 1) / 30.0, 3) AS parking_ratio FROM supplier""")
 def q_building_facts(spark, sf_dir):
     """Company names, district, heights and parking in notices written from each supplier."""

@@ -85,7 +85,7 @@ def q_child_counts(spark, sf_dir):
 
 
 @query("""WITH e AS (SELECT split_part(event_type || ':' || (user_id % 5), ':', 1) AS step, value, (props->>'k')::BIGINT AS k FROM events)
-SELECT step, count(*) AS calls, sum(k)::BIGINT AS secs, sum(k * 10)::BIGINT AS tokens_in, sum(k * 3)::BIGINT AS tokens_out, round(sum(k * 10 * 0.003 + k * 3 * 0.015), 4) AS cost, grouping(step)::INT AS is_total FROM e GROUP BY ROLLUP (step)""")
+SELECT step, count(*) AS calls, sum(k)::BIGINT AS secs, sum(k * 10)::BIGINT AS tokens_in, sum(k * 3)::BIGINT AS tokens_out, round(sum(k * 10 * 0.003 + k * 3 * 0.015)::DOUBLE, 4) AS cost, grouping(step)::INT AS is_total FROM e GROUP BY ROLLUP (step)""")
 def q_usage_rollup(spark, sf_dir):
     """Events as a ledger of calls: totals of each step, and of all."""
     k = F.get_json_object("props", "$.k").cast("long")
