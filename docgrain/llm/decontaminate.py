@@ -36,11 +36,11 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """window (array of words), item_ids: the distinct windows of all items."""
+    """window (array of words), item_ids (array of struct(id), so that a null id has a place): the distinct windows of all items."""
     words = benchmark.select("item_id", F.transform(words_of(text_or_empty()), lowered).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - window + 1))
     cut = words.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i, window))).alias("window"))
-    return cut.groupBy("window").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+    return cut.groupBy("window").agg(F.array_sort(F.collect_set(F.struct(F.col("item_id").cast("string").alias("id")))).alias("item_ids"))
 
 
 def document_key() -> Column:
@@ -79,14 +79,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     new = F.greatest(F.lit(0), F.col("stop") - F.greatest(F.col("start"), F.coalesce(F.max("stop").over(before), F.lit(0))))
     hits = spans.withColumn("new", new).groupBy("key").agg(F.sum("new").cast("long").alias("n_hit"))
     items = found.select("key", F.explode("item_ids").alias("item")).groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    named = items.select("key", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+    named = items.select("key", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items.id", ","), 256).alias("items_sha256"))
     return hits.join(named, "key")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``docs``.
 
-    Null texts have no words; null ids are ordinary values (a null item_id counts as no item); equal rows get equal
+    Null texts have no words; null ids are ordinary values (items without an id count as one item, which the
+    digest of names leaves out); equal rows get equal
     results; without a benchmark nothing is hit; an empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select("doc_id", document_key().alias("key"), F.size(words_of(text_or_empty())).cast("long").alias("n_words"))

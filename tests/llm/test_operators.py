@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -193,6 +194,24 @@ def test_decontaminate(spark, docs):
     assert decontaminate.decontaminate(empty(spark), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_decontaminate_null_item_ids(spark):
+    """Windows of items without an id hit as others do, in the query as in its SQL and in the pipeline's stage."""
+    p = PASSAGE.split()
+    items = [(None, " ".join(p[5:30])), (None, "only here"), (7, " ".join(p[40:60])), (None, " ".join(p[40:60]))]
+    rows = [(1, "x " + " ".join(p[5:30])), (2, " ".join(p[38:70])), (3, "it is Only Here"), (4, "nothing"), (None, " ".join(p[:70]))]
+    table, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.decontaminate(table, benchmark)
+    c = duckdb.connect()
+    for name, columns, values in (("documents", "doc_id BIGINT, text VARCHAR", rows), ("benchmark", "item_id BIGINT, text VARCHAR", items)):
+        c.execute(f"CREATE TABLE {name} ({columns})")
+        c.executemany(f"INSERT INTO {name} VALUES (?, ?)", values)
+    expected = c.sql(f"SELECT {', '.join(got.columns)} FROM ({decontaminate.OP4_SQL})").fetchall()
+    found = {tuple(r) for r in got.collect()}
+    assert found == set(expected) and len(expected) == len(rows)
+    assert {r[0]: (r[2], r[5]) for r in found} == {1: (25, True), 2: (20, True), 3: (2, True), 4: (0, False), None: (45, True)}
+    assert [r.doc_id for r in decontaminate.clean_rows(table, benchmark).collect()] == [4]
+
+
 # 5 ----------------------------------------------------------------------------------------------------------------------
 def brute_substrings(rows, least, first):
     at = defaultdict(list)
