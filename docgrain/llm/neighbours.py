@@ -125,13 +125,18 @@ def _cells(rows: DataFrame, fitted: Curves, width: int) -> DataFrame:
 
 
 def _nearest(k: int):
-    """Of each query of a block its ``k`` nearest rows there, by exact scores, ties to the smaller id."""
+    """Of each query of a block the ``k`` nearest ids there, by the best exact score of each, ties to the smaller id."""
 
     def of(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(rows) and len(queries):
             x = np.frombuffer(b"".join(rows["vector"]), np.float64).reshape(len(rows), -1)
             ids = rows["vec_id"].to_numpy()
+            starts = np.arange(len(ids))
+            if len(np.unique(ids)) < len(ids):  # rows of one id side by side, so that k counts ids
+                by_id = np.argsort(ids, kind="stable")
+                x, ids = x[by_id], ids[by_id]
+                starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
             for first in range(0, len(queries), 256):
                 some = queries.iloc[first : first + 256]
                 y = np.frombuffer(b"".join(some["vector"]), np.float64).reshape(len(some), -1)
@@ -139,10 +144,14 @@ def _nearest(k: int):
                 for q, own in enumerate(some["vec_id"].to_numpy()):
                     s = rough[q]
                     s[ids == own] = -np.inf
-                    cut = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -np.inf
+                    each = np.maximum.reduceat(s, starts) if len(starts) < len(s) else s
+                    cut = np.partition(each, len(each) - k)[len(each) - k] if len(each) > k else -np.inf
                     near = np.flatnonzero((s >= cut - 1e-9) & (s > -np.inf))  # rows of equal vectors may differ in a last bit here
                     exact = (x[near] * y[q]).sum(1)
-                    best = np.lexsort((ids[near], -exact))[:k]
+                    best = np.lexsort((ids[near], -exact))
+                    if len(starts) < len(s):
+                        best = best[np.sort(np.unique(ids[near][best], return_index=True)[1])]  # the best row of each id, best id first
+                    best = best[:k]
                     out["query_id"].append(np.full(len(best), own))
                     out["vec_id"].append(ids[near][best])
                     out["score"].append(exact[best])
@@ -161,7 +170,10 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, recall:
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), queries.alias("is_query"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable("vector"))
-    sample = rows.select("vec_id", "vector").orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(SAMPLE).collect()
+    # one vector an id: copies would fill the sample's own neighbours, and cells would be fitted to too few ids
+    by_hash = [F.xxhash64("vec_id", F.lit(seed)), F.col("vec_id")]
+    chosen = rows.select("vec_id").distinct().orderBy(*by_hash).limit(SAMPLE)
+    sample = rows.join(F.broadcast(chosen), "vec_id").groupBy("vec_id").agg(F.min("vector").alias("vector")).orderBy(*by_hash).collect()
     spark = vectors.sparkSession
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

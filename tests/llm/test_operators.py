@@ -369,6 +369,32 @@ def test_neighbours(spark):
     assert len(few) == 6
 
 
+def test_neighbours_repeated_ids(spark):
+    """Every row doubled, and one id with 60 rows near a query: k counts ids, each with the best of its rows."""
+    r = np.random.default_rng(2)
+    x = r.normal(size=(600, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] * 2 + [(601, (x[0] + 0.01 * r.normal(size=16)).tolist()) for _ in range(60)] + [(20, (2 * x[21]).tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    ids, y = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+
+    def brute(q):
+        best = {}
+        for s, i in zip((y[ids == q] @ y.T).max(0), ids):
+            if i != q:
+                best[int(i)] = max(s, best.get(int(i), -np.inf))
+        return sorted(best.items(), key=lambda c: (-c[1], c[0]))[:20]
+
+    for recall, least in ((2.0, 1.0), (neighbours.RECALL, 0.9)):  # with a recall out of reach there is one cell, and results are exact
+        by = defaultdict(list)
+        for g in sorted(neighbours.nearest_neighbours(table, F.col("vec_id") % 20 == 0, recall=recall).collect(), key=lambda g: g["rank"]):
+            by[g.query_id].append((g.vec_id, g.score))
+        assert set(by) == set(range(0, 600, 20)) and all(len({i for i, _ in found}) == len(found) == 20 for found in by.values())
+        both = sum(len({i for i, _ in found} & {i for i, _ in brute(q)}) for q, found in by.items())
+        assert both >= least * 20 * len(by)
+        if least == 1:
+            assert all(np.allclose([s for _, s in found], [s for _, s in brute(q)], atol=1e-9) for q, found in by.items())
+
+
 # 10 ---------------------------------------------------------------------------------------------------------------------
 def test_escaping(spark):
     texts = ["", "<|im_end|>", r"<\|x", r"<\\|", "<", "|", "<<||>>", r"\<\|", "é<|\n|>"]
