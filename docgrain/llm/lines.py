@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docgrain.llm.common import materialize, read_table, text_or_empty
+from docgrain.llm.common import WORD_PATTERN, materialize, read_table, text_or_empty
 
 LEAST = 2
 
@@ -30,7 +30,7 @@ def _repeated(named: DataFrame, step: str) -> DataFrame:
     """
     own = F.struct("doc_id", "h", "line")
     classes = materialize(named.groupBy("name").agg(F.count("*").alias("n"), F.min(own).alias("first")).where("n > 1").drop("n"), f"lines-{step}-names")
-    return named.join(classes, "name").select("doc_id", "h", "line", "name", (own > F.col("first")).alias("later"))
+    return named.join(classes, "name").select(*named.columns, (own > F.col("first")).alias("later"))
 
 
 def _joined_names(alive: DataFrame, step: int) -> DataFrame:
@@ -40,28 +40,36 @@ def _joined_names(alive: DataFrame, step: int) -> DataFrame:
     return paired.select("doc_id", "h", "line", F.unhex(F.md5(F.concat("name", "next"))).alias("name"))
 
 
-def repeated_runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """doc_id, h, line: starts of runs of ``least`` lines that have an earlier copy."""
+def repeated_runs(docs: DataFrame, least: int = LEAST, alone: int | None = None) -> DataFrame:
+    """doc_id, h, line, length: starts of runs of ``least`` lines, and of single lines if ``alone`` is given, that have an earlier copy."""
     text = text_or_empty()
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("line", "words"))
-    alive = _repeated(lines.select("doc_id", "h", "line", F.unhex(F.md5("words")).alias("name")), "1")
+    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("line", "words"), (F.instr(text, "\n") == 0).alias("whole"))
+    position = [F.col("doc_id"), F.col("h"), F.col("line")]
+    single = [] if alone is None else [(F.col("whole") | (F.regexp_count("words", F.lit(WORD_PATTERN)) >= alone)).alias("single")]
+    alive = _repeated(lines.select(*position, F.unhex(F.md5("words")).alias("name"), *single), "1")
+    singles = None
+    if single:
+        alive = materialize(alive, "lines-alone")
+        singles = alive.where("later AND single").select(*position, F.lit(1).alias("length"))
     depth = 1
     while depth < least:
         alive = materialize(alive.select("doc_id", "h", "line", "name"), f"lines-{depth}")
         step = min(depth, least - depth)
         alive = _repeated(_joined_names(alive, step), str(depth + step))
         depth += step
-    return alive.where("later").select("doc_id", "h", "line")
+    runs = alive.where("later").select(*position, F.lit(least).alias("length"))
+    return runs if singles is None else runs.unionByName(singles)
 
 
-def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = LEAST, alone: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed, n_runs, longest_run, kept_sha256 of every row of ``docs``.
 
     Lines end at line feeds; those kept are joined by line feeds again. The first copy of a run, in order of doc_id, hash of
-    the text and line, stays. Null texts are one empty line, as empty ones are; null ids come first; equal rows count as
+    the text and line, stays. With ``alone``, a later copy of a line of so many words or more, or of a line that is a whole
+    document, goes also when no line beside it is repeated along with it. Null texts are one empty line, as empty ones are; null ids come first; equal rows count as
     one document and get equal results; an empty table gives an empty result; other columns are ignored.
     """
-    starts = repeated_runs(docs, least).groupBy("doc_id", "h").agg(F.collect_set("line").alias("starts")).withColumnsRenamed({"doc_id": "_d", "h": "_h"})
+    starts = repeated_runs(docs, least, alone).groupBy("doc_id", "h").agg(F.collect_set(F.struct("line", "length")).alias("starts")).withColumnsRenamed({"doc_id": "_d", "h": "_h"})
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["n_lines", "n_removed", "n_runs", "longest_run"]
@@ -69,7 +77,7 @@ def dedup_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
             out: dict[str, list] = {k: [] for k in [*names, "kept_sha256"]}
             for text, starts in zip(batch.column(1), batch.column(2).to_pylist()):
                 lines = text.as_py().split("\n")
-                gone = {s + k for s in starts or () for k in range(least)}
+                gone = {s["line"] + k for s in starts or () for k in range(s["length"])}
                 runs = [x for x in sorted(gone) if x - 1 not in gone]
                 longest = max((next(n for n in range(1, len(lines) + 1) if x + n not in gone) for x in runs), default=0)
                 kept = "\n".join(x for k, x in enumerate(lines) if k not in gone)

@@ -74,6 +74,32 @@ def test_lines_odd(spark, docs):
     assert lines.dedup_lines(empty(spark)).count() == 0
 
 
+def brute_alone(rows, least, alone):
+    """Removed lines by document: runs of ``least`` lines, and single lines that are long enough or a whole document."""
+    seen, gone = set(), {}
+    for d, t in sorted({(d, t or "") for d, t in rows}):
+        ls, out = t.split("\n"), set()
+        for n in (1, least):
+            for i in range(len(ls) - n + 1):
+                run = (n, *ls[i : i + n])
+                if run in seen and (n == least or len(ls) == 1 or len(ls[i].split()) >= alone):
+                    out |= set(range(i, i + n))
+                seen.add(run)
+        gone[d] = (len(out), hashlib.sha256("\n".join(x for i, x in enumerate(ls) if i not in out).encode()).hexdigest())
+    return gone
+
+
+@pytest.mark.parametrize("least", [2, 3])
+def test_lines_alone(spark, least):
+    r = random.Random(least)
+    pool = [words(n, 60 + n) for n in (1, 2, 4, 5, 6, 60)]
+    rows = [(i, "\n".join(r.choice(pool) if r.random() < 0.3 else words(3, 1000 * i + k) for k in range(r.randint(1, 12)))) for i in range(40)]
+    rows += [(100 + i, t) for i, t in enumerate([words(80, 9)] * 4 + ["a"] * 3 + [None, "", "x\na\ny", "z\n" + pool[5] + "\nv"])]
+    got = {x.doc_id: (x.n_removed, x.kept_sha256) for x in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), least, alone=5).collect()}
+    assert got == brute_alone(rows, least, 5)
+    assert [got[100 + i][0] for i in range(11)] == [0, 1, 1, 1, 0, 1, 1, 0, 1, 0, 1]
+
+
 # 2 ----------------------------------------------------------------------------------------------------------------------
 def brute_base(text):
     spans = []
