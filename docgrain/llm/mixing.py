@@ -68,7 +68,7 @@ def _fold(units: DataFrame, seed: int) -> DataFrame:
         pair = F.transform(F.array(F.struct(s["carry"].alias("c"), x.alias("x"))), lambda p: _settle(p["c"], p["x"], seed))[0]
         return F.struct(F.concat(s["done"], F.array(pair["done"])).cast(f"array<{kind}>").alias("done"), pair["carry"].cast(kind).alias("carry"))
 
-    folded = F.aggregate(F.slice("items", 2, FAN_IN * 64), start, meet)
+    folded = F.aggregate(F.slice("items", F.lit(2), F.size("items")), start, meet)
     return blocks.select("source", "block", folded.alias("f")).select("source", "block", "f.done", "f.carry")
 
 

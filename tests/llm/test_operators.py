@@ -317,6 +317,15 @@ def test_mixing_keeps_expectation(spark):
     assert abs(counts.mean() / 8 - 1.3) < 0.05 and counts.min() >= 8 and counts.max() <= 16
 
 
+def test_mixing_large_block(spark):
+    """No document of a block falls out, however many a wrong count of documents puts there."""
+    n = 9000
+    sizes = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit(1).cast("long").alias("size"))
+    table = spark.createDataFrame([("a", n, 1, 1.5 * n)], "source string, source_size long, docs long, target double")
+    out = mixing.pivotal_copies(sizes, table).collect()
+    assert len({r.doc_id for r in out}) == len(out) == n and abs(sum(r.copies for r in out) - 1.5 * n) <= 1
+
+
 # 7 ----------------------------------------------------------------------------------------------------------------------
 def test_quality(spark, docs):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
