@@ -17,11 +17,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; a new local one only where it is unset (tests)."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Where it is unset a session on one machine (tests) gets
+    a new local folder; on a cluster nobody else could read that, so it is an error."""
     held = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not held:
-        jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        held = jvm_dir.get() if jvm_dir.isDefined() else tempfile.mkdtemp(prefix="spark-")
+        known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if known.isEmpty() and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        held = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(held)
     return held
 
