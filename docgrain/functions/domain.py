@@ -152,11 +152,23 @@ COUNTERS = "(?=丁目|番|階|戸|号)"
 
 
 def kanji_numbers(c: Column) -> Column:
-    """Kanji numerals before counters as digits: tens with units, tens alone, then single digits."""
-    digit = {k: str(i + 1) for i, k in enumerate(KANJI)}
-    many = [(f"{t}十{u}", digit.get(t, "1") + digit.get(u, "0")) for t in [*KANJI, ""] for u in [*KANJI, ""]]
-    table = sorted(many, key=lambda x: -len(x[0])) + list(digit.items())
-    return reduce(lambda s, p: F.regexp_replace(s, f"(?<![{KANJI}十]){p[0]}{COUNTERS}", p[1]), table, c)
+    """Kanji numerals before counters as digits: digits before a ten count tens, those after the last ten units.
+
+    The text is cut around its numerals once; texts without any are left as they are.
+    """
+    numeral, counter = f"[{KANJI}十]", COUNTERS.removeprefix("(?=").removesuffix(")")
+    digits = lambda x: F.aggregate(F.split(x, ""), F.lit(0), lambda n, d: n + F.greatest(F.lit(0), F.instr(F.lit(KANJI), d)) * (d != "").cast("int"))
+
+    def number(x: Column) -> Column:
+        tens = F.greatest(F.lit(1), digits(F.substring_index(x, "十", 1)))
+        return F.when(F.contains(x, F.lit("十")), tens * 10 + digits(F.substring_index(x, "十", -1))).otherwise(digits(x)).cast("string")
+
+    def joined(parts: Column) -> Column:
+        counted = lambda i: F.coalesce(F.get(parts, i + 1).rlike(f"^(?:{counter})"), F.lit(False))
+        return F.array_join(F.transform(parts, lambda x, i: F.when(x.rlike(f"^{numeral}+$") & counted(i), number(x)).otherwise(x)), "")
+
+    cut = f"(?<={numeral})(?=(?:{counter}))|(?<!{numeral})(?={numeral}+(?:{counter}))"
+    return F.when(c.rlike(f"{numeral}(?:{counter})"), let(F.split(c, cut), joined)).otherwise(c)
 
 
 #: Rewriting rules in order; $1 and $2 are groups.
@@ -212,14 +224,15 @@ def repair_long_vowels(c: Column) -> Column:
 
 def rewrite_phrase(c: Column, dictionary: list[tuple[str, str]], rules: list[tuple[str, str]] | None = None) -> Column:
     """Exact translation, else rules, else exact again, else known terms longest first (ties by the term)."""
-    s = F.trim(repair_long_vowels(F.coalesce(c, F.lit(""))))
     terms = sorted(dictionary, key=lambda t: (-len(t[0]), t[0]))
-    exact = lambda x: F.coalesce(*[F.when(x == k, F.lit(v)) for k, v in terms], F.lit(None).cast("string"))
-    ruled = apply_rules(s, rules)
     table = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in terms]) if terms else F.array().cast("array<struct<k:string,v:string>>")
-    replaced = strip(_spaced(F.aggregate(table, ruled, lambda a, t: F.replace(a, t["k"], t["v"]))), " ・,")
-    done = F.coalesce(exact(s), exact(ruled), F.coalesce(F.nullif(replaced, F.lit("")), s))
-    return F.when(s.rlike(f"[{CJK}]"), done).otherwise(s)
+    exact = lambda x: F.get(F.transform(F.filter(table, lambda t: t["k"] == x), lambda t: t["v"]), F.lit(0))
+    replaced = lambda x: strip(_spaced(F.aggregate(table, x, lambda a, t: F.replace(a, t["k"], t["v"]))), " ・,")
+
+    def done(s: Column) -> Column:
+        return let(apply_rules(s, rules), lambda ruled: F.coalesce(exact(s), exact(ruled), F.nullif(replaced(ruled), F.lit("")), s))
+
+    return let(F.trim(repair_long_vowels(F.coalesce(c, F.lit("")))), lambda s: F.when(s.rlike(f"[{CJK}]"), done(s)).otherwise(s))
 
 
 def residual_terms(rewritten: Column, source: Column, max_phrase: int = 40, max_sentence: int = 160, max_term: int = 30) -> Column:

@@ -38,13 +38,16 @@ def int_of(c: Column | str, index: int = 0) -> Column:
 
 
 def _area(s: Column) -> Column:
-    found = []
-    for unit in sorted(AREA_UNITS, key=lambda u: -len(u)):
-        word = clean_literal(unit).lower()
-        at = F.instr(F.lower(s), word)
-        last = F.try_element_at(nums(F.substr(s, F.lit(1), at - 1), cleaned=True), F.lit(-1))
-        found.append(F.when(at > 1, F.round(last * F.lit(AREA_UNITS[unit]), 2)))
-    return F.coalesce(*found, F.get(nums(s, cleaned=True), F.lit(0)))
+    units = F.array(*[F.struct(F.lit(clean_literal(u).lower()).alias("word"), F.lit(AREA_UNITS[u]).alias("factor")) for u in sorted(AREA_UNITS, key=lambda u: -len(u))])
+
+    def of(low: Column) -> Column:
+        # units are looked for as plain text; numbers only before those that are there
+        held = F.filter(units, lambda u: F.instr(low, u["word"]) > 1)
+        before = lambda u: F.try_element_at(nums(F.substr(s, F.lit(1), F.instr(low, u["word"]) - 1), cleaned=True), F.lit(-1))
+        found = F.array_compact(F.transform(held, lambda u: F.round(before(u) * u["factor"], 2)))
+        return F.coalesce(F.get(found, F.lit(0)), F.get(nums(s, cleaned=True), F.lit(0)))
+
+    return let(F.lower(s), of)
 
 
 def area_m2(c: Column | str) -> Column:

@@ -126,9 +126,13 @@ def tolerant_json(c: Column | str, schema: str) -> Column:
 
 
 def pairs_to_map(pairs: Column) -> Column:
-    """Array of (key, value) to a map; the last value of a key counts."""
-    last = lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"])
-    return F.map_from_entries(F.transform(F.filter(F.filter(pairs, lambda p, i: last(p, i)), lambda p: p["key"].isNotNull()), lambda p: F.struct(p["key"], p["value"])))
+    """Array of (key, value) to a map; pairs without a key go, the last value of a key counts."""
+
+    def of(held: Column) -> Column:
+        last = lambda p, i: ~F.exists(F.slice(held, i + 2, F.size(held)), lambda q: q["key"] == p["key"])
+        return F.map_from_entries(F.transform(F.filter(held, last), lambda p: F.struct(p["key"], p["value"])))
+
+    return let(F.filter(pairs, lambda p: p["key"].isNotNull()), of)
 
 
 def blank_to_null(c: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame, Window
@@ -170,20 +171,33 @@ def image_candidates(images: DataFrame, words: tuple[str, ...], relevant: list[s
     return good.withColumn("_n", F.row_number().over(Window.partitionBy("page_id").orderBy("img_idx"))).where(F.col("_n") <= most).drop("_n")
 
 
+def _joined_back(rows: DataFrame, decided: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row, equal ones too, with what was decided for its keys; null keys meet null keys."""
+    renamed = decided.withColumnsRenamed({k: f"_d_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in keys])
+    return rows.join(renamed, on, "left").drop(*[f"_d_{k}" for k in keys])
+
+
 def host_gate(urls: DataFrame, policy: DataFrame) -> DataFrame:
     """``allowed`` of each URL by its host's rules (host, http_status, rule_ord, prefix, allow): the first prefix that fits.
 
-    A host that answers 401 or 403 denies everything; no rule allows. Denied URLs stay, as rows to log.
+    A host that answers 401 or 403 denies everything; no rule allows. Denied URLs stay, as rows to log. Decided once for
+    each host and path, so equal rows stay as many.
     """
-    rules = urls.join(policy, "host", "left")
+    rules = urls.select("host", "path").distinct().join(policy, "host", "left")
     denied = F.max(F.col("http_status").isin(401, 403))
     first = F.min_by("allow", F.when(F.col("path").startswith(F.col("prefix")) & (F.col("http_status") == 200), F.col("rule_ord")))
-    keys = urls.columns
-    return rules.groupBy(*keys).agg((~F.coalesce(denied, F.lit(False)) & F.coalesce(first, F.lit(True))).alias("allowed"))
+    decided = rules.groupBy("host", "path").agg((~F.coalesce(denied, F.lit(False)) & F.coalesce(first, F.lit(True))).alias("allowed"))
+    return _joined_back(urls, decided, ["host", "path"])
 
 
 def host_dispatch(urls: DataFrame, sites: DataFrame) -> DataFrame:
-    """The first site (site, pattern, site_ord) whose pattern is the host or ends it after a dot; a hand-written list."""
-    on = (F.col("host") == F.col("pattern")) | F.col("host").endswith(F.concat(F.lit("."), F.col("pattern")))
-    joined = urls.join(F.broadcast(sites), on, "left")
-    return joined.groupBy(*urls.columns).agg(F.min_by("site", "site_ord").alias("site"))
+    """The first site (site, pattern, site_ord) whose pattern is the host or ends it after a dot.
+
+    A host is cut to itself and what follows each of its dots, so patterns meet it in a join on equality.
+    """
+    labels = F.split("host", r"\.")
+    ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    cut = urls.select("host").distinct().select("host", F.explode(ends).alias("pattern"))
+    decided = cut.join(sites, "pattern").groupBy("host").agg(F.min_by("site", "site_ord").alias("site"))
+    return _joined_back(urls, decided, ["host"])

@@ -55,10 +55,11 @@ def total_rules(buildings: DataFrame, types: DataFrame, plates: DataFrame) -> Da
     p = plates.groupBy("building_id").agg(F.sum(floors_in_range(F.col("floor_range")) * F.col("units_per_floor")).alias("by_floor"))
     rows = buildings.join(t, "building_id", "left").join(p, "building_id", "left")
     total = F.nullif(F.col("num_units_total"), F.lit(0))
-    off = lambda c, part: F.abs(F.col(c) - total) / total > part
+    # sums of nothing are no statement
+    off = lambda c, part: F.abs(F.nullif(F.col(c), F.lit(0)) - total) / total > part
     found = [
         warning(rows, "V5", off("units", 0.02), "building_id", "units ", F.col("units"), " of ", F.col("num_units_total")),
-        warning(rows, "V6", F.abs(F.col("share") - 100) > 5, "building_id", "shares sum to ", F.round("share", 1)),
+        warning(rows, "V6", F.abs(F.nullif(F.col("share"), F.lit(0)) - 100) > 5, "building_id", "shares sum to ", F.round("share", 1)),
         warning(rows, "V7", off("by_floor", 0.15), "building_id", "units by floor ", F.col("by_floor"), " of ", F.col("num_units_total")),
     ]
     return reduce(DataFrame.unionByName, found)

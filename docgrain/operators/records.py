@@ -74,13 +74,16 @@ def coalesce_merge(rows: DataFrame, key: list[str], fields: list[str], order: li
 
 
 def unique_keys(rows: DataFrame, base: str, order: list[str], out: str) -> DataFrame:
-    """Repeated keys get _2, _3, ... in order. A made key that is a real one's gets the next free number: conflicts are
-    solved by a second pass over the keys that clash, which count behind the real ones."""
-    n = F.row_number().over(Window.partitionBy(base).orderBy(*order))
-    first = rows.withColumn("_k", n).withColumn(out, F.when(F.col("_k") == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("_"), F.col("_k"))))
-    again = Window.partitionBy(out).orderBy(F.col("_k") > 1, *order)
-    second = first.withColumn("_c", F.row_number().over(again))
-    return second.withColumn(out, F.when(F.col("_c") == 1, F.col(out)).otherwise(F.concat(F.col(out), F.lit("_"), F.col("_c")))).drop("_k", "_c")
+    """Repeated keys get _2, _3, ... in order: the first row of a key keeps it, each further one gets the next number whose
+    name is no real key. Made keys of different bases never meet, as the name before the number tells them apart."""
+    numbered = rows.withColumn("_k", F.row_number().over(Window.partitionBy(base).orderBy(*order)))
+    several = rows.groupBy(base).count().where("count > 1").select(F.col(base).alias("_b"))
+    part = lambda k: F.regexp_extract(base, r"(?s)^(.*)_([1-9]\d{0,8})$", k)
+    real = rows.select(base).distinct().select(part(1).alias("_b"), part(2).try_cast("int").alias("_i")).where("_i >= 2")
+    taken = real.join(several, "_b").groupBy("_b").agg(F.array_sort(F.collect_list("_i")).alias("_taken"))
+    joined = numbered.join(taken, numbered[base] == F.col("_b"), "left")
+    number = F.aggregate(F.coalesce("_taken", F.array().cast("array<int>")), F.col("_k"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
+    return joined.withColumn(out, F.when(F.col("_k") == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("_"), number))).drop("_k", "_b", "_taken")
 
 
 def resolve_foreign_key(rows: DataFrame, code: str, targets: DataFrame, target_code: str, target_id: str, order: str, scope: list[str] | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgrain import schemas
+from docgrain.operators import records
 from docgrain.plans import buildings
 from docgrain.plans.registry import Tables, query
 
@@ -29,11 +30,29 @@ def written_pages(part: DataFrame) -> DataFrame:
 
 
 def _tables(spark, sf_dir) -> dict[str, DataFrame]:
-    pages = written_pages(Tables(spark, sf_dir).part.repartition("p_partkey"))
-    found = buildings.extract(pages, "2026-06-01")
+    """The tables from pages alone."""
+    found = buildings.extract(written_pages(Tables(spark, sf_dir).part.repartition("p_partkey")), "2026-06-01")
     return buildings.assemble(found, spark.createDataFrame([], IDENTITY), spark.createDataFrame([], "building_id string, plan_idx int, " + _plan_fields()), spark.createDataFrame([], VERIFIED), "2026-06-01")
 
 
+def _full_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The seven tables, with plans, rooms checked by hand and names that the parts give."""
+    part = Tables(spark, sf_dir).part
+    found = buildings.extract(written_pages(part.repartition("p_partkey")), "2026-06-01")
+    named = part.select("p_partkey", "p_size", "p_name", F.concat(F.lit("b"), F.col("p_partkey")).alias("building_id"))
+    identity = records.project(named.withColumnsRenamed({"p_name": "building_name_local"}).withColumn("developer", F.concat(F.lit("D"), F.col("p_size"))), IDENTITY)
+    room = lambda code, area: F.struct(F.lit(code).alias("room_code"), area.cast("double").alias("area_m2"))
+    plan = named.withColumn("is_floorplan", F.lit(True)).withColumn("rooms", F.array(room("PN1", F.lit(12)), room("PN2", F.col("p_size"))))
+    unit = plan.where("p_partkey % 2 = 0").withColumn("plan_kind", F.lit("unit")).withColumn("matched_type_code", F.when(F.col("p_partkey") % 10 == 0, "Z-9").otherwise("A-1")).withColumn("plan_idx", F.lit(0))
+    floor = plan.where("p_partkey % 3 = 0").withColumn("plan_kind", F.lit("floor")).withColumn("floor_range", F.lit("5-20")).withColumn("units_on_floor", F.col("p_size") % 7 + 1).withColumn("plan_idx", F.lit(1))
+    schema = "building_id string, plan_idx int, " + _plan_fields()
+    shape = "array<struct<" + schema.split("rooms array<struct<", 1)[1].split(">>", 1)[0] + ">>"
+    with_rooms = lambda df: df.withColumn("rooms", F.from_json(F.to_json("rooms"), shape))
+    plans = records.project(with_rooms(unit), schema).unionByName(records.project(with_rooms(floor), schema))
+    verified = named.where("p_partkey % 4 = 0").select("building_id", F.lit("A-1").alias("type_code"), F.lit("PN1").alias("room_code"), F.lit(9.5).alias("area_m2"))
+    return buildings.assemble(found, identity, plans, verified, "2026-06-01")
+
+
 def _plan_fields() -> str:
     return ", ".join(f.replace(":", " ", 1) for f in _split(schemas.FLOORPLANS.removeprefix("plans array<struct<").removesuffix(">>")))
 
@@ -67,3 +86,16 @@ def q_building_children(spark, sf_dir):
     items = t["handover_item"].select(F.lit("handover_item"), "handover_id", "item_spec", F.col("is_included").cast("int").cast("double"), F.lit(None).cast("double"))
     types = t["unit_type"].select(F.lit("unit_type"), "unit_type_id", "layout_class", "area_net_m2", F.col("bedrooms").cast("double"))
     return prices.union(items).union(types)
+
+
+@query("""SELECT 'room' AS name, 'b' || p_partkey || '__a_1__' || c AS record, CASE WHEN c = 'pn1' AND p_partkey % 4 = 0 THEN 'manual' ELSE 'floorplan_image' END AS a, CASE WHEN c = 'pn1' THEN CASE WHEN p_partkey % 4 = 0 THEN 9.5 ELSE 12.0 END ELSE p_size END::DOUBLE AS lo
+FROM part, (VALUES ('pn1'), ('pn2')) v(c) WHERE p_partkey % 2 = 0 AND (p_partkey % 10 <> 0 OR (c = 'pn1' AND p_partkey % 4 = 0))
+UNION ALL SELECT 'plate', 'b' || p_partkey || '__main__5_20', '5-20', (p_size % 7 + 1)::DOUBLE FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT 'building', 'b' || p_partkey, p_name || ' D' || p_size, NULL FROM part""")
+def q_building_rooms(spark, sf_dir):
+    """Rooms from plans, those checked by hand in their place; plates from plans; names from the identity."""
+    t = _full_tables(spark, sf_dir)
+    rooms = t["unit_room"].select(F.lit("room").alias("name"), F.col("room_id").alias("record"), F.col("source_type").alias("a"), F.col("area_m2").alias("lo"))
+    plates = t["floor_plate"].select(F.lit("plate"), "floor_plate_id", "floor_range", F.col("units_per_floor").cast("double"))
+    named = t["building"].select(F.lit("building"), "building_id", F.concat_ws(" ", "building_name_local", "developer"), F.lit(None).cast("double"))
+    return rooms.union(plates).union(named)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,29 @@ def extractor(table: str, rank: int = 1) -> Callable:
     return register
 
 
+def of_hosts(pages: DataFrame, hosts: tuple[str, ...] | None, host: str = "host") -> DataFrame:
+    """The pages of the hosts, or their subdomains, that a site's extractor is for; all pages without any."""
+    if not hosts:
+        return pages
+    return pages.where(reduce(lambda a, b: a | b, [(F.col(host) == h) | F.col(host).endswith("." + h) for h in hosts]))
+
+
+def run_extractors(pages: DataFrame, extractors: list[tuple[Callable, tuple | None]]) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    """(records of each extractor that works, (name, error) of those whose plan fails): one bad extractor ends no job.
+
+    An extractor is declared over all its pages at once, so what is wrong with it shows when its plan is made.
+    """
+    found, errors = [], []
+    for f, hosts in extractors:
+        try:
+            rows = f(of_hosts(pages, hosts))
+            rows.schema  # noqa: B018  makes the plan
+            found.append(rows)
+        except AnalysisException as e:
+            errors.append((f.__name__, str(e)[:300]))
+    return found, errors
+
+
 def page_cells(pages: DataFrame) -> DataFrame:
     """Cells of all pages with what the pages are trusted for."""
     about = pages.select("building_id", "page_idx", "url", "purpose", "title", "name", C.trust(F.col("purpose")).alias("trust"), C.confidence(F.col("purpose")).alias("confidence"))
@@ -237,7 +261,9 @@ def assemble(found: dict[str, DataFrame], identity: DataFrame, plans: DataFrame,
     top = derive.top_rows(amenities, ["building_id"], ["ord"], 8).groupBy("building_id").agg(derive.highlights("ord", "amenity_name").alias("amenity_highlights"))
     count = amenities.groupBy("building_id").agg(F.count("*").alias("amenity_count"))
     own = found["building"].join(identity.withColumnsRenamed({c: f"_{c}" for c in ("building_name_local", "project_name", "developer") if c in identity.columns}), "building_id", "left")
-    own = own.withColumn("developer", F.coalesce(F.nullif(F.col("developer"), F.lit("")), "_developer")).withColumn("building_name_local", F.col("_building_name_local")).withColumn("project_name", F.col("_project_name"))
+    # what a record says itself comes first
+    said = lambda c: F.nullif(F.col(c), F.lit("")) if c in found["building"].columns else F.lit(None).cast("string")
+    own = own.withColumns({c: F.coalesce(said(c), F.col(f"_{c}")) for c in ("building_name_local", "project_name", "developer")})
     buildings = reduce(lambda a, b: a.join(b, "building_id", "left"), [area, classes, mode, mix, typical, brands, top, count], own)
     tables = {"building": buildings, "unit_type": types, "unit_room": rooms, "floor_plate": plates, "handover_item": items, "amenity": amenities, "price_obs": prices}
     return {name: records.project(rows, schemas.TABLES[name]) for name, rows in tables.items()}

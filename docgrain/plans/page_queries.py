@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +9,8 @@ from pyspark.sql import functions as F
 
 from docgrain.functions import domain, text
 from docgrain.operators import cells, terms
-from docgrain.plans.registry import Tables, query
+from docgrain.plans.registry import Tables, query, spread
+from docgrain.sources.stages import shared_dir
 from docgrain.sources import readers
 from docgrain.streaming import ingest
 
@@ -208,7 +208,7 @@ def q_phrase_rewrite(spark, sf_dir):
     n = lambda expr: expr.cast("string")
     size = F.col("p_size")
     source = F.concat(n(2000 + size % 30), F.lit("年"), n(size % 12 + 1), F.lit("月竣工"), F.lit("地上"), n(size % 60 + 1), F.lit("階地下"), n(size % 4 + 1), F.lit("階建"))
-    rows = Tables(spark, sf_dir).part.select("p_partkey", source.alias("source")).withColumn("phrase", domain.rewrite_phrase(F.col("source"), DICTIONARY))
+    rows = spread(Tables(spark, sf_dir).part.select("p_partkey", "p_size")).select("p_partkey", source.alias("source")).withColumn("phrase", domain.rewrite_phrase(F.col("source"), DICTIONARY))
     return rows.select("p_partkey", "phrase", F.size(domain.residual_terms(F.col("phrase"), F.col("source"))).alias("residual"))
 
 
@@ -224,13 +224,12 @@ def q_cells(spark, sf_dir):
     return cells.html_cells(pages, ["p_partkey"])
 
 
-@query()
+@query(f"WITH {URL_SQL} SELECT DISTINCT curl AS url, lower(regexp_extract(curl, '^https?://([^/?#]+)', 1)) AS host FROM c")
 def q_stream_dedup(spark, sf_dir):
     """The pages as a file stream: one row a canonical URL."""
     pages = Tables(spark, sf_dir).pages
     name = f"pages_{uuid.uuid4().hex}"
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-")
-    source = f"{base}/docgrain/stream-{name}"
+    source = f"{shared_dir(spark)}/docgrain/stream-{name}"
     # a file source reads folders; the table may be a single file
     pages.write.parquet(f"{source}/in")
     stream = ingest.one_per_url(ingest.page_stream(spark, f"{source}/in", pages.schema).select("page_id", "url"))

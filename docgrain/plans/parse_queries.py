@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docgrain.functions import domain, numbers, text
 from docgrain.operators import records
-from docgrain.plans.registry import Tables, query
+from docgrain.plans.registry import Tables, query, spread
 
 S = lambda c: c.cast("string")
 
@@ -22,7 +22,7 @@ def q_number_parse(spark, sf_dir):
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity, 2) AS m2, round(l_quantity * 3.30579, 2) AS tsubo, round(l_quantity * 1.62, 2) AS mats, round(l_quantity * 0.092903, 2) AS feet, round(l_quantity, 2) AS bare FROM lineitem""")
 def q_unit_convert(spark, sf_dir):
-    t = Tables(spark, sf_dir).lineitem
+    t = spread(Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
     area = lambda unit: numbers.area_m2(F.concat(F.lit("約"), S(F.col("l_quantity")), F.lit(unit)))
     return t.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", area("㎡").alias("m2"), area("坪").alias("tsubo"), area(" 帖").alias("mats"), area(" sq ft").alias("feet"), area("").alias("bare"))
 

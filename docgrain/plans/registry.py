@@ -20,6 +20,13 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows for work that is heavy for its bytes: a table in fewer files than there are cores would be read by few tasks, so
+    its rows are dealt out first; tables of more files stay where they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 class Tables:
     """The tables of a folder as attributes."""
 

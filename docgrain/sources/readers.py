@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docgrain import schemas
 from docgrain.functions.text import blank_to_null, canonical_url, clean, strip, true_word
 
+#: Fixed value: names of batch files.
+BATCH_FILE = r"^thread\d+_(\d{8}(?:_\d{6})?)\.csv$"
 NAME_HINTS = ("name", "building", "tên", "project")
 CITY_HINTS = ("city", "thành phố", "location")
 
@@ -31,10 +35,9 @@ def plain_names(lines: DataFrame) -> DataFrame:
 def markdown_names(lines: DataFrame) -> DataFrame:
     """Names from markdown tables: the columns that the header names; the city is added where the name lacks it."""
     cell = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, r"\[([^\]]*)\]\([^)]*\)", "$1"), r"\*\*|__|`", ""))
-    rows = lines.where(F.trim("line").startswith("|") & ~F.trim("line").rlike(r"^\|(\s*:?-+:?\s*\|)+$"))
     order = Window.partitionBy("path").orderBy("line_no")
-    # a table is a stretch of lines without a gap, but for the line of dashes
-    rows = rows.withColumn("gap", (F.col("line_no") - F.lag("line_no", 1, -9).over(order) > 2).cast("int")).withColumn("table", F.sum("gap").over(order))
+    rows = lines.where(F.trim("line").startswith("|")).withColumn("gap", (F.col("line_no") - F.lag("line_no", 1, -9).over(order) > 1).cast("int")).withColumn("table", F.sum("gap").over(order))
+    rows = rows.where(~F.trim("line").rlike(r"^\|(\s*:?-+:?\s*\|)+$"))
     cells = rows.select("path", "table", "line_no", F.transform(F.split(strip(F.trim("line"), "|"), r"\|"), cell).alias("c"))
     inside = Window.partitionBy("path", "table").orderBy("line_no")
     numbered = cells.withColumn("n", F.row_number().over(inside)).withColumn("head", F.first("c").over(inside))
@@ -63,6 +66,11 @@ def source_list(lines: DataFrame, default_purpose: str = "official_overview") ->
     )
 
 
+def by_priority(sources: DataFrame, key: str, ordinal: list[str], out: str = "place") -> DataFrame:
+    """``place`` of each source of a building: by priority, then by its number."""
+    return sources.withColumn(out, F.row_number().over(Window.partitionBy(key).orderBy("priority", *ordinal)))
+
+
 def missing_sources(buildings: DataFrame, sources: DataFrame) -> DataFrame:
     """Buildings without a source file, as error rows."""
     return buildings.join(sources.select("building_id").distinct(), "building_id", "left_anti").select("building_id", F.lit("no source file").alias("error"))
@@ -117,16 +125,27 @@ def verified_rooms(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stacked_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Stacked output files: strings, without a byte-order mark; the id is filled from the row's key or the file's name."""
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"')
-    rows = rows.withColumnsRenamed({c: c.lstrip("﻿") for c in rows.columns})
-    missing = {"bang", "record_key"} - set(rows.columns)
-    if missing:
-        raise ValueError(f"no stacked file: {sorted(missing)} missing")
-    file = F.col("_metadata.file_name")
-    rows = rows.where(~file.startswith("_"))
-    own = blank_to_null("building_id") if "building_id" in rows.columns else F.lit(None).cast("string")
-    return rows.withColumn("building_id", F.coalesce(own, owner_of_key("record_key"), F.regexp_extract(file, r"^(.*)\.csv$", 1)))
+    """Stacked output files: strings, without a byte-order mark; the id is filled from the row's key or the file's name.
+
+    Files are grouped by their own header, so columns of one that stand in another order, or are missing, do not shift; files
+    without the two columns of the stack, of batches and with a leading underscore do not count. The number of different
+    headers is that of versions of the schema.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.substring_index("value", "\n", 1).alias("head"))
+    name = F.element_at(F.split("file", "/"), -1)
+    usable = lines.where(~name.startswith("_") & ~name.rlike(BATCH_FILE)).withColumn("head", strip(F.regexp_replace("head", "^\ufeff", "")))
+    parts = []
+    for head in [r.head for r in usable.select("head").distinct().collect()]:  # one a version of the schema
+        columns = [c.strip().strip('"') for c in head.split(",")]
+        if not {"bang", "record_key"} <= set(columns):
+            continue
+        files = [r.file for r in usable.where(F.col("head") == head).select("file").collect()]
+        rows = spark.read.csv(files, header=True, multiLine=True, escape='"', schema=", ".join(f"`{c}` string" for c in columns), enforceSchema=True)
+        own = blank_to_null("building_id") if "building_id" in columns else F.lit(None).cast("string")
+        parts.append(rows.withColumn("building_id", F.coalesce(own, owner_of_key("record_key"), F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1))))
+    if not parts:
+        raise ValueError("no stacked file: bang and record_key are missing")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def owner_of_key(key: str) -> Column:
@@ -135,16 +154,16 @@ def owner_of_key(key: str) -> Column:
 
 def latest_batch(files: DataFrame, name: str = "file_name", every: bool = False) -> DataFrame:
     """Of batch files ``threadN_YYYYMMDD[_HHMMSS].csv`` those of the newest stamp; without any the other files."""
-    rows = files.withColumn("stamp", F.nullif(F.regexp_extract(name, r"^thread\d+_(\d{8}(?:_\d{6})?)\.csv$", 1), F.lit("")))
+    rows = files.withColumn("stamp", F.nullif(F.regexp_extract(name, BATCH_FILE, 1), F.lit("")))
     if every:
         return rows
     newest = rows.agg(F.max("stamp").alias("newest"))  # one row
     return rows.join(F.broadcast(newest), rows["stamp"].eqNullSafe(F.col("newest"))).drop("newest")
 
 
-def done_index(spark: SparkSession, path: str) -> DataFrame:
-    """query, building_id of a JSON object that maps one to the other."""
-    text = spark.read.text(path, wholetext=True)
+def done_index(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+    """query, building_id of JSON objects that map one to the other: one a file, or one a line."""
+    text = spark.read.text(path, wholetext=whole)
     return text.select(F.explode(F.from_json("value", "map<string,string>")).alias("query", "building_id"))
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,9 +34,10 @@ def write_per_building(stacked: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def shard_of(df: DataFrame, shards: int, key: str = "building_id") -> DataFrame:
-    """Round robin over the sorted ids: the distinct ids are ranked, rows get their shard by a join."""
-    ids = ranked(df.select(key).distinct(), key)
-    return df.join(ids.select(key, (F.col("rank") % shards).cast("int").alias("shard")), key)
+    """Round robin over the sorted ids: the distinct ids are ranked, rows get their shard by a join. Rows without an id are
+    those of one more id, the first."""
+    ids = ranked(df.select(key).distinct(), key).select(F.col(key).alias("_id"), (F.col("rank") % shards).cast("int").alias("shard"))
+    return df.join(ids, F.col(key).eqNullSafe(F.col("_id"))).drop("_id")
 
 
 def write_shards(df: DataFrame, path: str, shards: int, stamp: str) -> None:
@@ -44,6 +46,24 @@ def write_shards(df: DataFrame, path: str, shards: int, stamp: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stamp", "shard").parquet(path)
 
 
+def append_shards(spark: SparkSession, df: DataFrame, path: str, shards: int, day: str) -> None:
+    """Shards written on a day that has some already carry its first stamp on, and those beyond the new number go."""
+    try:
+        seen = spark.read.parquet(path).where(F.col("stamp").cast("string").startswith(day)).agg(F.min(F.col("stamp").cast("string"))).first()[0]
+    except AnalysisException as e:  # nothing has been written yet
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        seen = None
+    rows = shard_of(df, shards).repartition("shard").sortWithinPartitions("building_id", "bang", "record_key")
+    # the folder of one stamp is replaced as a whole, which takes stale shards along
+    rows.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/stamp={seen or day}")
+
+
+def write_features(rows: DataFrame, path: str) -> None:
+    """One flat file of cells, one row a building."""
+    as_cells(rows).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+
+
 def non_empty_columns(df: DataFrame) -> list[str]:
     """Columns that hold something in some row: one pass for all."""
     held = df.agg(*[F.count(F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))).alias(c) for c in df.columns]).first().asDict()

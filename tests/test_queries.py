@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from docgrain.plans import building_queries, page_queries, parse_queries, record_queries, rollup_queries  # noqa: F401
+from docgrain.plans import building_queries, file_queries, page_queries, parse_queries, record_queries, rollup_queries, rule_queries  # noqa: F401
 from docgrain.plans.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"

@@ -84,6 +84,22 @@ def test_retyped_and_units(spark, tmp_path):
     assert readers.saved_records(spark, str(tmp_path / "r"), "amenity").first().amenity_id == "k"
 
 
+def test_keys_gates_and_shards(spark):
+    """Made keys never repeat; equal rows stay; rows without an id get a shard."""
+    from docgrain.operators import cells, records
+
+    base = ["a", "a", "a_2", "a_2", "a", "b", "b_2", "b", "b_3", None]
+    got = [r.key for r in records.unique_keys(spark.createDataFrame([(x, i) for i, x in enumerate(base)], "base string, ord int"), "base", ["ord"], "key").orderBy("ord").collect()]
+    assert got == ["a", "a_3", "a_2", "a_2_2", "a_4", "b", "b_2", "b_4", "b_3", None]
+    urls = spark.createDataFrame([("a.x.jp", "/p"), ("a.x.jp", "/p"), ("y.jp", "/q"), (None, None)], "host string, path string")
+    policy = spark.createDataFrame([("a.x.jp", 200, 0, "/p", False), ("y.jp", 403, 0, "/", True)], "host string, http_status int, rule_ord int, prefix string, allow boolean")
+    assert sorted((r.host or "", r.allowed) for r in cells.host_gate(urls, policy).collect()) == [("", True), ("a.x.jp", False), ("a.x.jp", False), ("y.jp", False)]
+    sites = spark.createDataFrame([("s", "x.jp", 1), ("t", "a.x.jp", 0)], "site string, pattern string, site_ord int")
+    assert sorted((r.host or "", r.site) for r in cells.host_dispatch(urls, sites).collect()) == [("", None), ("a.x.jp", "t"), ("a.x.jp", "t"), ("y.jp", None)]
+    rows = spark.createDataFrame([("a",), (None,), (None,), ("b",)], "building_id string")
+    assert sorted((r.building_id or "", r.shard) for r in sinks.shard_of(rows, 2).collect()) == [("", 0), ("", 0), ("a", 1), ("b", 0)]
+
+
 def test_ranked(spark):
     from docgrain.sources.stages import ranked
 
