@@ -3,9 +3,13 @@
 A source's target over its size is the number of copies that each of its documents should have on average. The whole
 part is kept; the fractional part is rounded by the pivotal method: two documents meet, mass (in words) moves at random
 from one to the other until one of the two fractions is 0 or 1, and the other one goes on. Blocks of bounded size fold
-their documents to one residual each, blocks of residuals fold again, and so on up a reduction tree; only the last
-residual of a source is rounded by a coin. The words taken from a source thus differ from its target by less than the
-size of one document, and each document keeps its expected number of copies.
+their documents to one residual each, blocks of residuals fold again, and so on up a reduction tree.
+
+Documents are rounded by classes of length, the longest first. The residual of a class then meets all shorter documents of
+its source as one partner, whose fractions move together; so a long residual is made whole by shorter documents, and only
+the residual of the class of the shortest tenth is rounded by a coin. The words taken from a source thus differ from its
+target by less than one of its shortest tenth (where these are too few to take up what is left, by less than the document
+that is left), and each document keeps its expected number of copies.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docgrain.llm.common import WORD_PATTERN, expand_counted, materialize, read_table, uniform
+from docgrain.sources.stages import ranked
 
 FAN_IN = 128
 #: Fixed values of the mix: weights repeat over the sources, which share this part of all words, each up to a cap.
@@ -22,24 +27,29 @@ SHARE = 1.5
 CAP = 2.0
 
 
+#: Where the classes of length of a source end, as shares of its documents.
+CLASS_ENDS = (0.1, 0.5, 0.9, 0.99)
+
+
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """source, source_size, docs, target: shares by weight, stopped at ``cap`` times the source, the excess reshared.
 
-    Resharing until none is above its cap is filling to one level: sources in order of cap/weight are full as long as the
-    level that the others would then reach is above theirs. One row a source; sources in order of code points, null last.
+    Sources take their weights in order of code points, null last; they are ranked by ranges. Resharing goes in rounds, each
+    one sum over all sources: those above their cap are full, and the level of the others rises, until none is above.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
-    per = per.withColumn("_w", weight).withColumn("_cap", F.col("source_size") * F.lit(cap))
-    by_cap = Window.orderBy(F.col("_cap") / F.col("_w"), F.col("source").asc_nulls_last())
-    filled = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("source_size").over(everything) * F.lit(share) - F.coalesce(F.sum("_cap").over(filled), F.lit(0.0))
-    level = left / (F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(filled), F.lit(0.0)))
-    per = per.withColumn("_level", level).withColumn("_n", F.row_number().over(by_cap))
-    at = F.min_by("_level", F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.col("_n"))).over(everything)
-    target = F.least(F.col("_cap"), F.coalesce(at * F.col("_w"), F.col("_cap")))
+    per = ranked(per.withColumn("_order", F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1"))), "_order", "_rank")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod("_rank", F.lit(len(weights))) + 1).cast("int"))
+    per = materialize(per.select("source", "source_size", "docs", weight.alias("_w"), (F.col("source_size") * F.lit(cap)).alias("_cap")), "mix-sources")
+    words = per.agg(F.sum("source_size")).first()[0] or 0
+    level, full = None, -1
+    while True:
+        above = F.lit(False) if level is None else F.col("_w") * level > F.col("_cap")
+        now = per.agg(F.count_if(above).alias("n"), F.sum(F.when(above, F.col("_cap")).otherwise(0.0)).alias("given"), F.sum(F.when(above, 0.0).otherwise(F.col("_w"))).alias("left")).first()
+        if now.n == full or not now.left:
+            break
+        full, level = now.n, (share * words - now.given) / now.left
+    target = F.least(F.col("_cap"), F.col("_w") * F.lit(level)) if level is not None else F.col("_cap")
     return per.select("source", "source_size", "docs", target.alias("target"))
 
 
@@ -72,37 +82,79 @@ def _fold(units: DataFrame, seed: int) -> DataFrame:
     return blocks.select("source", "block", folded.alias("f")).select("source", "block", "f.done", "f.carry")
 
 
+def _same(a: str, b: str) -> Column:
+    return F.col(a).eqNullSafe(F.col(b))
+
+
+def _by_class(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``units`` with their class of length, and source, class, docs, mass, rest (the mass of the shorter classes)."""
+    counted = units.groupBy("source", "size").agg(F.count("*").alias("n"))  # one row a length of a source
+    up_to = Window.partitionBy("source").orderBy("size")
+    shares = counted.withColumn("_share", F.sum("n").over(up_to) / F.sum("n").over(Window.partitionBy("source")))
+    ends = shares.groupBy("source").agg(*[F.min(F.when(F.col("_share") >= q, F.col("size"))).alias(f"_e{i}") for i, q in enumerate(CLASS_ENDS)])
+    ends = materialize(ends.withColumnRenamed("source", "_s"), "mix-ends")
+    number = sum(((F.col("size") > F.col(f"_e{i}")).cast("int") for i in range(len(CLASS_ENDS))), F.lit(0))
+    classed = lambda df: df.join(ends, _same("source", "_s")).withColumn("class", number).drop("_s", *[f"_e{i}" for i in range(len(CLASS_ENDS))])
+    per = classed(counted).groupBy("source", "class").agg(F.sum("n").alias("docs"), F.sum(F.col("n") * F.col("size")).alias("mass"))
+    shorter = Window.partitionBy("source").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
+    return classed(units), materialize(per.withColumn("rest", F.coalesce(F.sum("mass").over(shorter), F.lit(0)).cast("double")), "mix-classes")
+
+
+def _fold_class(level: DataFrame, most: int, seed: int, name: str) -> tuple[list[DataFrame], DataFrame]:
+    """(settled documents of each level, one residual a source)."""
+    height, left = 1, -(-most // (FAN_IN // 2))
+    while left > 1:
+        height, left = height + 1, -(-left // FAN_IN)
+    settled = []
+    for k in range(height):
+        folded = materialize(_fold(level, seed + k), f"mix-{name}-{k}")
+        settled.append(folded.select("source", F.explode("done").alias("d")).select("source", "d.*").drop("order"))
+        level = folded.select("source", F.floor(F.col("block") / FAN_IN).cast("long").alias("block"), "carry.*").drop("order")
+    return settled, level.drop("block")
+
+
+def _met(state: DataFrame, residual: DataFrame, rest: DataFrame, seed: int) -> DataFrame:
+    """The residual of a class meets the shorter documents of its source: both fractions after that, q and p."""
+    r = residual.select(F.col("source").alias("_s"), "key", "doc_id", "copy", "size", F.col("p").alias("q"))
+    rows = state.join(r, _same("source", "_s"), "left").drop("_s").join(rest.select(F.col("source").alias("_s"), "rest"), _same("source", "_s"), "left").drop("_s")
+    w, m, p, q = F.col("size").cast("double"), F.coalesce("rest", F.lit(0.0)), F.col("p"), F.col("q")
+    room_q, has_q, room_p, has_p = (1 - q) * w, q * w, (1 - p) * m, p * m
+    up, down = F.least(room_q, has_p), F.least(has_q, room_p)
+    gains = uniform(F.col("key"), F.lit(seed), F.lit("class")) * (up + down) < down
+    bounded = lambda x: F.least(F.lit(1.0), F.greatest(F.lit(0.0), x))
+    new_q = F.when(up + down == 0, q).when(gains, F.when(room_q <= has_p, 1.0).otherwise(q + up / w)).otherwise(F.when(has_q <= room_p, 0.0).otherwise(q - down / w))
+    new_p = F.when(q.isNull() | (up + down == 0), p).when(gains, F.when(has_p <= room_q, 0.0).otherwise(p - up / m)).otherwise(F.when(room_p <= has_q, 1.0).otherwise(p + down / m))
+    return rows.select("source", "base", "key", "doc_id", "copy", "size", bounded(new_q).alias("q"), bounded(new_p).alias("p"))
+
+
 def pivotal_copies(sizes: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
     """source, doc_id, copy, size, copies: how often the mix takes each row of ``sizes`` (doc_id, source, size).
 
     Equal rows are told apart by ``copy``. Rows of size 0 are never taken. The folds depend on the rows alone, so reruns agree.
     """
     counted = sizes.groupBy("source", "doc_id", "size").agg(F.count("*").alias("n"))
-    units = expand_counted(counted, "n", "copy").drop("n")
-    wide = units.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    every = expand_counted(counted, "n", "copy").drop("n")
+    units, classes = _by_class(every.where("size > 0"))
+    units = materialize(units.withColumn("key", F.xxhash64("doc_id", "size", "copy", F.lit(seed))), "mix-units")
     rate = F.col("target") / F.col("source_size")
     base = F.least(F.floor(rate), F.lit(int(CAP))).cast("int")
-    key = F.xxhash64("doc_id", "size", "copy", F.lit(seed))
-    wide = wide.where("size > 0").withColumn("key", key).withColumn("base", base).withColumn("p", F.greatest(F.lit(0.0), rate - F.col("base")))
-    blocks = F.ceil(F.col("docs") / (FAN_IN // 2)).cast("long")
-    level = wide.withColumn("block", F.pmod("key", blocks)).select("source", "block", "key", "doc_id", "copy", "size", "base", "p")
-    most = targets.agg(F.max("docs")).first()[0] or 0
-    height, left = 1, -(-most // (FAN_IN // 2))
-    while left > 1:
-        height, left = height + 1, -(-left // FAN_IN)
+    state = materialize(targets.where("source_size > 0").select("source", base.alias("base"), F.greatest(F.lit(0.0), rate - base).alias("p")), "mix-state")
     settled = []
-    for k in range(height):
-        folded = _fold(level, seed + k)
-        settled.append(folded.select("source", F.explode("done").alias("d")).select("source", "d.*").drop("order"))
-        residual = materialize(folded.select("source", F.floor(F.col("block") / FAN_IN).cast("long").alias("block"), "carry.*").drop("order"), f"mix-level-{k}")
-        level = residual
-    coin = F.when(uniform(F.col("key"), F.lit(seed), F.lit("last")) < F.col("p"), F.lit(1.0)).otherwise(F.lit(0.0))
-    settled.append(level.select("source", "key", "doc_id", "copy", "size", "base", coin.alias("p")))
-    out = settled[0]
-    for more in settled[1:]:
-        out = out.unionByName(more)
-    taken = out.select("source", "doc_id", "copy", "size", (F.col("base") + F.col("p")).cast("int").alias("copies"))
-    return taken.unionByName(units.where("size = 0").select("source", "doc_id", "copy", "size", F.lit(0).alias("copies")))
+    # at most one row a class
+    for c, most in sorted(((r["class"], r.most) for r in classes.groupBy("class").agg(F.max("docs").alias("most")).collect()), reverse=True):
+        here = classes.where(F.col("class") == c)
+        now = state.select(F.col("source").alias("_s"), "base", "p").join(here.select(F.col("source").alias("_t"), "docs"), F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
+        wide = units.where(F.col("class") == c).join(now, _same("source", "_s"))
+        level = wide.withColumn("block", F.pmod("key", F.ceil(F.col("docs") / (FAN_IN // 2)).cast("long"))).select("source", "block", "key", "doc_id", "copy", "size", "base", "p")
+        done, residual = _fold_class(level, most, seed, f"class-{c}")
+        met = materialize(_met(state, residual, here, seed), f"mix-met-{c}")
+        coin = F.when((F.col("q") == 1.0) | ((F.col("q") > 0.0) & (uniform(F.col("key"), F.lit(seed), F.lit("last")) < F.col("q"))), 1.0).otherwise(0.0)
+        settled += [*done, met.where("key IS NOT NULL").select("source", "key", "doc_id", "copy", "size", "base", coin.alias("p"))]
+        state = met.select("source", "base", "p")
+    taken = every.where("size = 0").select("source", "doc_id", "copy", "size", F.lit(0).alias("copies"))
+    for part in settled:
+        taken = taken.unionByName(part.select("source", "doc_id", "copy", "size", (F.col("base") + F.col("p")).cast("int").alias("copies")))
+    return taken
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:

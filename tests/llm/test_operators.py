@@ -317,6 +317,19 @@ def test_mixing_keeps_expectation(spark):
     assert abs(counts.mean() / 8 - 1.3) < 0.05 and counts.min() >= 8 and counts.max() <= 16
 
 
+def test_mixing_misses_by_a_short_document(spark):
+    """One document of 5,000 words a source among short ones: no source misses its target by more than one of its shortest tenth."""
+    r = random.Random(3)
+    rows = [(k * 1000 + i, f"s{k}", 5000 if i == 0 else r.choice([3, 4, 40, 60, 200, 400])) for k in range(6) for i in range(600)]
+    sizes = spark.createDataFrame(rows, "doc_id long, source string, size long").cache()
+    targets = mixing.source_targets(sizes)
+    want = {x.source: x.target for x in targets.collect()}
+    got = defaultdict(int)
+    for x in mixing.pivotal_copies(sizes, targets).collect():
+        got[x.source] += x.copies * x.size
+    assert all(abs(got[s] - want[s]) <= 4 for s in want), (got, want)
+
+
 def test_mixing_large_block(spark):
     """No document of a block falls out, however many a wrong count of documents puts there."""
     n = 9000
