@@ -12,6 +12,7 @@ dimensions leave wide cells, as no ordering then keeps neighbours together.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,7 @@ SAMPLE, SAMPLE_QUERIES = 4096, 256
 RECALL = 0.96
 CELLS = (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 256, 512, 1024)
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 16_384, 4_096
+MOST_LENGTHS = 16
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -141,12 +143,13 @@ def _nearest(k: int):
                 some = queries.iloc[first : first + 256]
                 y = np.frombuffer(b"".join(some["vector"]), np.float64).reshape(len(some), -1)
                 rough = y @ x.T
+                size, longest = np.sqrt((y * y).sum(1)), np.sqrt((x * x).sum(1).max())
                 for q, own in enumerate(some["vec_id"].to_numpy()):
                     s = rough[q]
                     s[ids == own] = -np.inf
                     each = np.maximum.reduceat(s, starts) if len(starts) < len(s) else s
                     cut = np.partition(each, len(each) - k)[len(each) - k] if len(each) > k else -np.inf
-                    near = np.flatnonzero((s >= cut - 1e-9) & (s > -np.inf))  # rows of equal vectors may differ in a last bit here
+                    near = np.flatnonzero((s >= cut - 1e-12 * len(y[q]) * size[q] * longest) & (s > -np.inf))  # rough scores may differ in last bits
                     exact = (x[near] * y[q]).sum(1)
                     best = np.lexsort((ids[near], -exact))
                     if len(starts) < len(s):
@@ -164,23 +167,31 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, recall:
     """query_id, rank, vec_id, score: the ``k`` nearest rows found for each row of ``vectors`` that ``queries`` holds for.
 
     Nearest is the largest inner product in double precision. Null, zero and non-finite vectors, and rows without an id,
-    take no part, nor do vectors whose length differs from the most common one of the sample. Rows that share an id count
+    take no part. Vectors are compared with those of their own length; more than ``MOST_LENGTHS`` lengths in one table are
+    an error. Rows that share an id count
     as one candidate with their best score and never find each other; ties go to the smaller id; fewer candidates give
     fewer rows; an empty table gives an empty result; other columns are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), queries.alias("is_query"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable("vector"))
+    lengths = sorted(r.n for r in rows.select(F.size("vector").alias("n")).distinct().limit(MOST_LENGTHS + 1).collect())
+    if len(lengths) > MOST_LENGTHS:
+        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+    if not lengths:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = reduce(DataFrame.unionByName, [_found(rows.where(F.size("vector") == n), k, recall, seed) for n in lengths])
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(rows: DataFrame, k: int, recall: float, seed: int) -> DataFrame:
+    """query_id, vec_id, score: the best of each block that queries meet, over vectors of one length."""
     # one vector an id: copies would fill the sample's own neighbours, and cells would be fitted to too few ids
     by_hash = [F.xxhash64("vec_id", F.lit(seed)), F.col("vec_id")]
     chosen = rows.select("vec_id").distinct().orderBy(*by_hash).limit(SAMPLE)
     sample = rows.join(F.broadcast(chosen), "vec_id").groupBy("vec_id").agg(F.min("vector").alias("vector")).orderBy(*by_hash).collect()
-    spark = vectors.sparkSession
-    if not sample:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lengths = np.array([len(r.vector) for r in sample])
-    length = int(np.bincount(lengths).argmax())
-    fitted = Curves(np.array([r.vector for r in sample if len(r.vector) == length]), k=k, recall=recall, seed=seed)
-    rows = rows.where(F.size("vector") == length)
+    fitted = Curves(np.array([r.vector for r in sample]), k=k, recall=recall, seed=seed)
     placed = materialize(_cells(rows.select("vec_id", "vector"), fitted, 0), "nn-rows")
     asked = materialize(_cells(rows.where("is_query").select("vec_id", "vector"), fitted, 1), "nn-queries")
     # one row a cell: at most curves x cells, both bounded
@@ -190,10 +201,7 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, recall:
     block = ["curve", "cell", "r", "q"]
     left = spread(placed, "n_r", "n_q", "r", "q").select(*block, "vec_id", "vector")
     right = spread(asked, "n_q", "n_r", "q", "r").select(*block, "vec_id", "vector")
-    met = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(_nearest(k), "query_id long, vec_id long, score double")
-    best = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(_nearest(k), "query_id long, vec_id long, score double")
 
 
 def op9_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

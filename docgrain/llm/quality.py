@@ -1,7 +1,7 @@
 """Quality classifier by positive-unlabelled learning with the non-negative risk.
 
 Trusted positives are documents labelled 1; the unlabelled text is a sample of all training documents, good and bad, of
-which an estimated prior share is positive. The non-negative unbiased risk
+which a prior share, estimated from the two samples alone, is positive. The non-negative unbiased risk
 ``prior * E_p[l(z)] + max(0, E_u[l(-z)] - prior * E_p[l(-z)])`` with the logistic loss is minimised by mini-batches, so the
 score is a probability of label 1. Only the text is an input: shares of bytes, lengths and repetition of words and lines.
 """
@@ -68,10 +68,23 @@ def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     return np.array([np.frombuffer(r.x, np.float32) for r in rows]).reshape(-1, FEATURES)
 
 
-def estimated_prior(labels: DataFrame, default: float = 0.5) -> float:
-    """The share of label 1 among the training labels; ``default`` without any."""
-    share = labels.where(~held_out() & F.col("quality").isNotNull()).agg(F.avg(F.col("quality").cast("double"))).first()[0]
-    return float(np.clip(default if share is None else share, 0.05, 0.95))
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 0, least: float = 0.05) -> float:
+    """The share of positives among the unlabelled, from the two samples alone: no label 0 is used.
+
+    A score fitted on one half of both samples ranks the other half. Above any threshold the unlabelled can hold no fewer
+    than prior times the share of positives there, so the least ratio of the two shares, with its margin of error, over
+    thresholds that leave at least ``least`` of the positives, is the estimate.
+    """
+    half = lambda x: (x[::2], x[1::2]) if len(x) > 1 else (x, x)
+    (p, p_held), (u, u_held) = half(positive), half(unlabelled)
+    pilot = fit(p, u, 0.5, seed=seed)
+    zp, zu = np.sort(score(pilot, p_held)), np.sort(score(pilot, u_held))
+    cuts = zp[: max(1, int(len(zp) * (1 - least)))]
+    share_p = 1 - np.searchsorted(zp, cuts, side="left") / len(zp)
+    share_u = 1 - np.searchsorted(zu, cuts, side="left") / len(zu)
+    margin = np.sqrt(np.log(20) / 2) * (1 / np.sqrt(len(zp)) + 1 / np.sqrt(len(zu)))
+    at = np.argmin((share_u + margin) / share_p)
+    return float(np.clip(share_u[at] / share_p[at], 0.05, 0.95))
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 4000, batch: int = 512, rate: float = 0.01, decay: float = 1e-4, seed: int = 0) -> dict:
@@ -100,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     good = labels.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
     xp = _features_of(docs, _sample(good, positives, seed))
     xu = _features_of(docs, _sample(docs.where(~held_out() & F.col("doc_id").isNotNull()), unlabelled, seed + 1))
-    return fit(xp, xu, estimated_prior(labels), seed=seed) if len(xp) and len(xu) else None
+    return fit(xp, xu, estimated_prior(xp, xu, seed), seed=seed) if len(xp) and len(xu) else None
 
 
 def score(model: dict | None, x: np.ndarray) -> np.ndarray:

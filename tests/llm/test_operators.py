@@ -346,6 +346,8 @@ def test_quality(spark, docs):
     out = quality.score_documents(table, labels).collect()
     assert len(out) == table.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
     truth = {r.doc_id: r.quality for r in labels.collect()}
+    model = quality.train(table, labels)
+    assert abs(model["prior"] - sum(truth.values()) / len(truth)) < 0.15
     held = [(r.predicted, truth[r.doc_id]) for r in out if r.held_out and r.doc_id in truth]
     assert sum(p == q for p, q in held) / len(held) > 0.9
     odd = quality.score_documents(docs, labels).collect()
@@ -443,6 +445,24 @@ def test_neighbours_repeated_ids(spark):
             assert all(np.allclose([s for _, s in found], [s for _, s in brute(q)], atol=1e-9) for q, found in by.items())
 
 
+def test_neighbours_lengths_and_odd_values(spark):
+    """Each length is searched by itself; nulls and infinities inside vectors leave them out; large norms keep ties in order."""
+    r = np.random.default_rng(5)
+    rows = [(i, (1e6 * r.normal(size=8 if i % 3 else 5)).tolist()) for i in range(120)]
+    rows += [(200 + i, rows[1][1]) for i in range(30)] + [(300, [1.0, None] + [0.0] * 6), (320, [float("inf")] + [1.0] * 7)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    by = defaultdict(list)
+    for g in sorted(neighbours.nearest_neighbours(table, F.col("vec_id") % 20 == 0, recall=2.0).collect(), key=lambda g: g["rank"]):
+        by[g.query_id].append((g.vec_id, g.score))
+    good = {i: np.array(v) for i, v in rows if i < 300}
+    for q in (i for i in good if i % 20 == 0):
+        want = sorted(((float((good[q] * v).sum()), i) for i, v in good.items() if i != q and len(v) == len(good[q])), key=lambda c: (-c[0], c[1]))[:20]
+        assert [i for i, _ in by[q]] == [i for _, i in want]
+    assert 300 not in by and 320 not in by
+    with pytest.raises(ValueError):
+        neighbours.nearest_neighbours(spark.createDataFrame([(i, [1.0] * (i + 1)) for i in range(20)], "vec_id long, embedding array<double>"), F.lit(True))
+
+
 # 10 ---------------------------------------------------------------------------------------------------------------------
 def test_escaping(spark):
     texts = ["", "<|im_end|>", r"<\|x", r"<\\|", "<", "|", "<<||>>", r"\<\|", "é<|\n|>"]
