@@ -6,6 +6,10 @@ be reached). Suffixes that agree in so many lines have one name, which is their
 in order inside it, so the first is the copy that stays. A suffix whose name is unique needs no further doubling and
 leaves, so all but repeated lines drop out after the first round. Runs of ``least`` lines or more that begin later than the
 first of their interval overlap to maximal runs, and those are deleted.
+
+Names are digests, not ranks: which positions share an interval decides what is deleted, the order of intervals does not,
+so neither a sorted suffix array nor an array of common prefixes is built. With ``alone`` a single line counts as a run of
+its own if it is long enough or a whole document.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from pyspark.sql import functions as F
 from docgrain.llm.common import WORD_PATTERN, materialize, read_table, text_or_empty
 
 LEAST = 2
+#: Words of a line from which on a later copy of it goes even where the lines beside it are not repeated.
+ALONE = 5
 
 
 def _repeated(named: DataFrame, step: str) -> DataFrame:
@@ -92,15 +98,16 @@ def dedup_lines(docs: DataFrame, least: int = LEAST, alone: int | None = None) -
 
 
 def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(read_table(spark, sf_dir, "documents"))
+    return dedup_lines(read_table(spark, sf_dir, "documents"), alone=ALONE)
 
 
-OP1_SQL = """
+OP1_SQL = r"""
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT r, doc_id, unnest(range(1, len(ls) + 1)) AS i, ls FROM d),
 w AS (SELECT r, i, ls[i] AS a, ls[i + 1] AS b FROM l WHERE i < len(ls)),
 later AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY a, b ORDER BY r, i) AS k FROM w) WHERE k > 1),
-gone AS (SELECT DISTINCT r, i FROM (SELECT r, i FROM later UNION ALL SELECT r, i + 1 FROM later)),
+alone AS (SELECT r, i FROM (SELECT r, i, ls, row_number() OVER (PARTITION BY ls[i] ORDER BY r, i) AS k FROM l) WHERE k > 1 AND (len(ls) = 1 OR len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) >= 5)),
+gone AS (SELECT DISTINCT r, i FROM (SELECT r, i FROM later UNION ALL SELECT r, i + 1 FROM later UNION ALL SELECT r, i FROM alone)),
 islands AS (SELECT r, count(*) AS n FROM (SELECT r, i - row_number() OVER (PARTITION BY r ORDER BY i) AS g FROM gone) GROUP BY r, g),
 runs AS (SELECT r, count(*) AS n_runs, max(n) AS longest_run FROM islands GROUP BY r)
 SELECT any_value(l.doc_id) AS doc_id, count(*) AS n_lines, count(gone.i) AS n_removed, coalesce(any_value(runs.n_runs), 0)::BIGINT AS n_runs,
