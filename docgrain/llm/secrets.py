@@ -1,8 +1,10 @@
 r"""Secret scans: fixed patterns, and character Markov models of random strings and of ordinary identifiers.
 
-The patterns label a bounded sample of documents: what they mark as a value trains the model of random strings, all other
-tokens train the model of identifiers (both order 1, smoothed; the random one half uniform). A token of the whole corpus is
-a secret if its log-likelihood ratio a character passes a threshold. Spans are in code points, end exclusive.
+The patterns label all documents: what they mark as a value trains the model of random strings; tokens too short to be
+candidates train the model of identifiers, so that no unmarked secret teaches it (both order 1, smoothed; the random one half
+uniform). A token outside the marked spans is a secret if its log-likelihood ratio a character passes a threshold; of one
+that does not pass, each piece between slashes and equals signs is judged by itself. Tokens of few different characters never
+are. Spans are in code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -29,14 +31,18 @@ ASSIGN, ACCESS = re.compile(BASE_KINDS[0][1]), re.compile(BASE_KINDS[1][1])
 KINDS = ("assign", "access", "hex", "markov")
 #: Characters of tokens: what random strings are written in.
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Documents that the models are trained on at most (by the order of a hash of their ids).
-SAMPLE = 20_000
+#: What parts tokens into pieces: paths and assignments.
+PARTING = b"/="
 LEAST_LENGTH = 20
+#: Different characters that a candidate has at least: rules of dashes and the like are neither random nor identifiers.
+LEAST_KINDS = 8
 #: Nats a character by which a token must be likelier under the model of random strings.
 LEAST_RATIO = 1.0
 
 CODE = np.full(256, -1, np.int64)
 CODE[list(ALPHABET)] = np.arange(len(ALPHABET))
+IS_PARTING = np.zeros(256, bool)
+IS_PARTING[list(PARTING)] = True
 IS_HEX = np.zeros(256, bool)
 IS_HEX[list(b"0123456789abcdef")] = True
 
@@ -75,9 +81,12 @@ def _block_spans(block) -> list[list[tuple[str, int, int, int]]]:
     return spans
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> np.ndarray:
-    """The table of log-likelihood ratios of character pairs, from a bounded sample; the pair counts are summed by Spark."""
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
+def train(docs: DataFrame) -> np.ndarray:
+    """The table of log-likelihood ratios of character pairs over all rows of ``docs``, null ids included.
+
+    Each task sums its counts, of which there are 2 x 67 x 67 at most, before Spark adds them up. Where the patterns mark
+    nothing the random model is uniform; an empty table leaves both uniform, and no token is then likelier under either.
+    """
     n = len(ALPHABET)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,16 +98,17 @@ def train(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> np.ndarray:
                     for _, _, end, value in spans:
                         label[block.at[t] + value : block.at[t] + end] = True
                 code = CODE[block.data]
+                begins, ends = _runs(code >= 0, block.at, LEAST_LENGTH)
+                long = np.cumsum(np.bincount(begins, minlength=len(code) + 1) - np.bincount(ends, minlength=len(code) + 1))[: len(code)] > 0
                 both = (code[1:] >= 0) & (code[:-1] >= 0)
                 both[block.at[1:-1][(block.at[1:-1] > 0) & (block.at[1:-1] < len(block.data))] - 1] = False
                 pair = code[:-1] * n + code[1:]
                 for kind in (0, 1):
-                    counts[kind] += np.bincount(pair[both & (label[1:] & label[:-1] if kind else ~label[1:] & ~label[:-1])], minlength=n * n)
+                    counts[kind] += np.bincount(pair[both & (label[1:] & label[:-1] if kind else ~(label | long)[1:] & ~(label | long)[:-1])], minlength=n * n)
         kind, pair = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(pair), pa.array(counts[kind, pair])], ["kind", "pair", "n"])
 
-    picked = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-    rows = picked.mapInArrow(pairs, "kind long, pair long, n long").groupBy("kind", "pair").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(text_or_empty().alias("text")).mapInArrow(pairs, "kind long, pair long, n long").groupBy("kind", "pair").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros((2, n, n))
     for r in rows:
         counts[r.kind, r.pair // n, r.pair % n] = r.n
@@ -107,21 +117,31 @@ def train(docs: DataFrame, sample: int = SAMPLE, seed: int = 0) -> np.ndarray:
     return np.log(0.5 * random + 0.5 / n) - np.log(ordinary)
 
 
-def markov_spans(block, ratio: np.ndarray, least: int = LEAST_LENGTH, threshold: float = LEAST_RATIO) -> list[list[tuple[str, int, int, int]]]:
-    """Tokens of each text that are likelier random than ordinary, in bytes."""
+def markov_spans(block, ratio: np.ndarray, base: list[list[tuple[str, int, int, int]]], least: int = LEAST_LENGTH, threshold: float = LEAST_RATIO) -> list[list[tuple[str, int, int, int]]]:
+    """Tokens of each text, outside its base spans, that are likelier random than ordinary, in bytes; if a token is not, its pieces."""
     code = CODE[block.data]
-    begins, ends = _runs(code >= 0, block.at, least)
+    for t, some in enumerate(base):
+        for _, begin, end, _ in some:
+            code[block.at[t] + begin : block.at[t] + end] = -1
     spans: list[list] = [[] for _ in range(block.n)]
+    begins, ends = _runs(code >= 0, block.at, least)
     if not len(begins):
         return spans
     step = np.zeros(len(code) + 1)
     both = (code[1:] >= 0) & (code[:-1] >= 0)
     step[2:] = np.where(both, ratio[code[:-1], code[1:]], 0.0)
     total = np.cumsum(step)  # total[j]: of the pairs that end before j
-    mean = (total[ends] - total[begins + 1]) / (ends - begins - 1)
-    for k in np.flatnonzero(mean >= threshold).tolist():
-        t = int(np.searchsorted(block.at, begins[k], side="right")) - 1
-        spans[t].append(("markov", int(begins[k] - block.at[t]), int(ends[k] - block.at[t]), int(begins[k] - block.at[t])))
+    passes = lambda b, e: (total[e] - total[b + 1]) / (e - b - 1) >= threshold
+    whole = passes(begins, ends)
+    piece, stop = _runs((code >= 0) & ~IS_PARTING[block.data], block.at, least)
+    owner = np.searchsorted(begins, piece, side="right") - 1
+    apart = ~whole[owner] & passes(piece, stop)
+    found = sorted([*zip(begins[whole].tolist(), ends[whole].tolist()), *zip(piece[apart].tolist(), stop[apart].tolist())])
+    for b, e in found:
+        if len(np.unique(block.data[b:e])) < LEAST_KINDS:
+            continue
+        t = int(np.searchsorted(block.at, b, side="right")) - 1
+        spans[t].append(("markov", b - int(block.at[t]), e - int(block.at[t]), b - int(block.at[t])))
     return spans
 
 
@@ -133,7 +153,7 @@ def scan_documents(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov of every row of ``docs``.
 
     Null texts are empty; null ids are ordinary values; equal rows get equal results; an empty table gives an empty
-    result; other columns are ignored. A model span that touches a base span is left out; base spans always stay.
+    result; other columns are ignored. Model spans lie outside base spans: what sticks out of one is judged by itself.
     """
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov"]
 
@@ -141,8 +161,8 @@ def scan_documents(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
         for batch in batches:
             for block in blocks(batch):
                 counts, base_of, all_of = np.zeros((block.n, 4), np.int64), [], []
-                for t, (base, more) in enumerate(zip(_block_spans(block), markov_spans(block, ratio))):
-                    more = [s for s in more if not any(s[1] < b[2] and b[1] < s[2] for b in base)]
+                marked = _block_spans(block)
+                for t, (base, more) in enumerate(zip(marked, markov_spans(block, ratio, marked))):
                     if base or more:
                         own = block.data[block.at[t] : block.at[t + 1]]
                         points = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
