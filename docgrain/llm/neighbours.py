@@ -4,8 +4,9 @@ Several Hilbert orderings of randomly turned, projected and shifted vectors are
 rows. A query meets the rows of its own cell and of the two next to it on each curve; its best rows of each cell merge
 over all cells and curves and are ranked by exact scores. Cells with many rows, and many queries, are cut into blocks.
 
-How many cells a curve gets is fitted on a bounded sample: the most for which the sample's own neighbours are found with
-the wanted recall. Where vectors have structure cells are many and a query meets few rows; vectors spread evenly in many
+How many cells a curve gets is fitted: the exact neighbours of a bounded number of queries are found over the whole table,
+and cells are the most, up to a bound that grows with the table, for which those neighbours lie in the windows with the
+wanted recall. Where vectors have structure cells are many and a query meets few rows; vectors spread evenly in many
 dimensions leave wide cells, as no ordering then keeps neighbours together.
 """
 
@@ -20,13 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docgrain.llm.common import materialize, read_table
+from docgrain.llm.common import materialize, read_table, uniform
 
 CURVES, DIMENSIONS, BITS = 12, 4, 12
-#: Rows that the cells are fitted on at most, and the queries among them.
-SAMPLE, SAMPLE_QUERIES = 4096, 256
+#: Rows that the ranges of the axes are fitted on, queries among them whose exact neighbours are sought, and rows whose keys
+#: place the cuts (about as many at most).
+SAMPLE, SAMPLE_QUERIES, SAMPLE_KEYS = 4096, 256, 1 << 17
 RECALL = 0.96
-CELLS = (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 256, 512, 1024)
+#: Numbers of cells tried: no cell is to hold fewer rows, or sampled keys, than so many on average.
+CELLS = (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768, 1024, 1536, 2048, 3072, 4096, 6144, 8192, 12288, 16384)
+ROWS_PER_CELL, KEYS_PER_CELL = 64, 8
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 16_384, 4_096
 MOST_LENGTHS = 16
 
@@ -60,7 +64,7 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 class Curves:
     """The fitted orderings: turned axes, shifts, ranges and the cuts between cells of each curve."""
 
-    def __init__(self, sample: np.ndarray, curves: int = CURVES, dimensions: int = DIMENSIONS, recall: float = RECALL, k: int = 20, seed: int = 0):
+    def __init__(self, sample: np.ndarray, curves: int = CURVES, dimensions: int = DIMENSIONS, seed: int = 0):
         random = np.random.default_rng(seed)
         dim = sample.shape[1]
         d = min(dimensions, dim)
@@ -68,24 +72,27 @@ class Curves:
         self.shift = [random.random(d) for _ in range(curves)]
         self.low = [(sample @ a).min(0) for a in self.axes]
         self.span = [np.maximum((sample @ a).max(0) - low, 1e-12) for a, low in zip(self.axes, self.low)]
-        keys = [self.keys(c, sample) for c in range(curves)]
-        q = np.linspace(0, len(sample) - 1, min(SAMPLE_QUERIES, len(sample))).astype(int)
-        scores = sample[q] @ sample.T
-        scores[np.arange(len(q)), q] = -np.inf
-        near = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, max(1, len(sample) - 1))]
         self.cells, self.cuts = 1, [np.zeros(0, np.uint64)] * curves
+
+    def cut(self, keys: np.ndarray, asked: np.ndarray, near: np.ndarray, most: float, recall: float) -> None:
+        """Cut curves to as many cells as leave ``recall`` of the pairs (``asked``, ``near``) together; rows of keys, columns of curves."""
+        if not len(near):
+            return
+        ordered = np.sort(keys, axis=0)
         for cells in CELLS:
-            if cells * 4 > len(sample):
+            if cells > most or cells * KEYS_PER_CELL > len(keys):
                 break
-            cuts = [np.quantile(x, np.arange(1, cells) / cells, method="lower") for x in keys]
-            at = [np.searchsorted(b, x, side="right") for b, x in zip(cuts, keys)]
-            found = np.zeros(near.shape, bool)
-            for cell in at:
-                found |= np.abs(cell[near] - cell[q][:, None]) <= 1
+            cuts = list(ordered[np.arange(1, cells) * len(keys) // cells].T)
+            found = np.zeros(len(near), bool)
+            for c, edges in enumerate(cuts):
+                found |= np.abs(np.searchsorted(edges, near[:, c], side="right") - np.searchsorted(edges, asked[:, c], side="right")) <= 1
             if found.mean() < recall:
                 break
             self.cells, self.cuts = cells, cuts
 
+    def all_keys(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([self.keys(c, x) for c in range(len(self.axes))], axis=1)
+
     def keys(self, curve: int, x: np.ndarray) -> np.ndarray:
         unit = np.clip((x @ self.axes[curve] - self.low[curve]) / self.span[curve], 0, 1)
         return hilbert_keys(((unit + self.shift[curve]) / 2 * ((1 << BITS) - 1)).astype(np.int64))
@@ -185,13 +192,69 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, recall:
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _found(rows: DataFrame, k: int, recall: float, seed: int) -> DataFrame:
-    """query_id, vec_id, score: the best of each block that queries meet, over vectors of one length."""
-    # one vector an id: copies would fill the sample's own neighbours, and cells would be fitted to too few ids
+def _exact_neighbours(rows: DataFrame, ids: np.ndarray, asked: np.ndarray, fitted: Curves, k: int) -> DataFrame:
+    """q, vec_id, score, keys: the ``k`` nearest ids of each vector of ``asked`` over all ``rows``; each task keeps its own best."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[dict[int, tuple[float, np.ndarray]]] = [{} for _ in ids]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, own = _vectors(batch), batch.column(0).to_numpy()
+            for first in range(0, len(x), 4096):
+                part = slice(first, first + 4096)
+                scores = asked @ x[part].T
+                scores[ids[:, None] == own[part][None, :]] = -np.inf
+                for q, s in enumerate(scores):
+                    # rows of one id may fill the best places: the floor is the kth id held, not the kth row
+                    floor = min((v for v, _ in best[q].values()), default=-np.inf) if len(best[q]) >= k else -np.inf
+                    for at in np.flatnonzero(s > floor)[np.argsort(-s[s > floor], kind="stable")].tolist():
+                        if len(best[q]) >= k and s[at] <= floor:
+                            break
+                        i = int(own[first + at])
+                        if s[at] > best[q].get(i, (-np.inf, x[0]))[0]:
+                            best[q][i] = (float(s[at]), x[first + at].copy())
+                            if len(best[q]) > k:
+                                del best[q][min(best[q], key=lambda i, held=best[q]: held[i][0])]
+                        if len(best[q]) >= k:
+                            floor = min(v for v, _ in best[q].values())
+        rows_of = [(q, i, v, row) for q, held in enumerate(best) for i, (v, row) in held.items()]
+        keys = fitted.all_keys(np.array([row for *_, row in rows_of])) if rows_of else []
+        flat = [(q, i, v, key.tobytes()) for (q, i, v, _), key in zip(rows_of, keys)]
+        yield pa.RecordBatch.from_arrays([pa.array([f[n] for f in flat], t) for n, t in enumerate((pa.int32(), pa.int64(), pa.float64(), pa.binary()))], ["q", "vec_id", "score", "keys"])
+
+    found = rows.select("vec_id", "vector").mapInArrow(of, "q int, vec_id long, score double, keys binary")
+    merged = found.groupBy("q", "vec_id").agg(F.max(F.struct("score", "keys")).alias("best")).select("q", "vec_id", "best.score", "best.keys")
+    return merged.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
+
+
+def fit(rows: DataFrame, k: int = 20, recall: float = RECALL, seed: int = 0) -> Curves:
+    """Curves for ``rows`` (vec_id, vector of one length), from bounded samples and exact neighbours over all rows."""
+    # one vector an id: copies would fill the sample
     by_hash = [F.xxhash64("vec_id", F.lit(seed)), F.col("vec_id")]
     chosen = rows.select("vec_id").distinct().orderBy(*by_hash).limit(SAMPLE)
     sample = rows.join(F.broadcast(chosen), "vec_id").groupBy("vec_id").agg(F.min("vector").alias("vector")).orderBy(*by_hash).collect()
-    fitted = Curves(np.array([r.vector for r in sample]), k=k, recall=recall, seed=seed)
+    vectors = np.array([r.vector for r in sample])
+    fitted = Curves(vectors, seed=seed)
+    asked, ids = vectors[:SAMPLE_QUERIES], np.array([r.vec_id for r in sample[:SAMPLE_QUERIES]])
+    near = _exact_neighbours(rows, ids, asked, fitted, k).select("q", "keys").collect()
+
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([fitted.all_keys(_vectors(batch)).tobytes()], pa.binary())], ["keys"])
+
+    n = rows.agg(F.approx_count_distinct("vec_id").alias("n")).first().n
+    picked = rows.where(uniform(F.col("vec_id"), F.lit(seed + 1)) < SAMPLE_KEYS / max(n, 1)).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    unpack = lambda parts: np.frombuffer(b"".join(parts), np.uint64).reshape(-1, CURVES)
+    keys = unpack(bytes(r.keys) for r in picked.mapInArrow(keys_of, "keys binary").collect())
+    fitted.cut(keys, fitted.all_keys(asked)[[r.q for r in near]], unpack(bytes(r.keys) for r in near), n / ROWS_PER_CELL, recall)
+    return fitted
+
+
+def _found(rows: DataFrame, k: int, recall: float, seed: int) -> DataFrame:
+    """query_id, vec_id, score: the best of each block that queries meet, over vectors of one length."""
+    fitted = fit(rows, k, recall, seed)
     placed = materialize(_cells(rows.select("vec_id", "vector"), fitted, 0), "nn-rows")
     asked = materialize(_cells(rows.where("is_query").select("vec_id", "vector"), fitted, 1), "nn-queries")
     # one row a cell: at most curves x cells, both bounded

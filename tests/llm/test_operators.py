@@ -524,6 +524,29 @@ def test_neighbours_lengths_and_odd_values(spark):
         neighbours.nearest_neighbours(spark.createDataFrame([(i, [1.0] * (i + 1)) for i in range(20)], "vec_id long, embedding array<double>"), F.lit(True))
 
 
+def test_neighbours_structured(spark):
+    """Vectors near a surface of few dimensions: cells follow the table, and a query meets less than half of it at recall 0.9."""
+    r = np.random.default_rng(6)
+    compared = {}
+    for n in (2000, 16000):
+        x = r.normal(size=(n, 3)) @ r.normal(size=(3, 24))
+        x = x / np.linalg.norm(x, axis=1, keepdims=True) + 0.001 * r.normal(size=(n, 24))
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8).cache()
+        fitted = neighbours.fit(table.withColumnRenamed("embedding", "vector"))
+        q = np.arange(0, n, 20)
+        per = [np.bincount(fitted.cell(c, x) + 1, minlength=fitted.cells + 2) for c in range(neighbours.CURVES)]
+        compared[n] = sum((p[at] + p[at + 1] + p[at + 2]).mean() for p, at in ((p, fitted.cell(c, x[q])) for c, p in enumerate(per)))
+        found = defaultdict(set)
+        for g in neighbours.nearest_neighbours(table, F.col("vec_id") % 20 == 0).collect():
+            found[g.query_id].add(g.vec_id)
+        scores = x[q] @ x.T
+        scores[np.arange(len(q)), q] = -np.inf
+        near = np.argsort(-scores, axis=1, kind="stable")[:, :20]
+        assert sum(len(found[int(i)] & set(row.tolist())) for i, row in zip(q, near)) >= 0.9 * near.size
+    print(compared)
+    assert compared[16000] < 0.5 * 16000 and compared[16000] < 4 * compared[2000]
+
+
 # 10 ---------------------------------------------------------------------------------------------------------------------
 def test_escaping(spark):
     texts = ["", "<|im_end|>", r"<\|x", r"<\\|", "<", "|", "<<||>>", r"\<\|", "é<|\n|>"]
