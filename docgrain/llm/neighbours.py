@@ -30,7 +30,7 @@ SAMPLE, SAMPLE_QUERIES, SAMPLE_KEYS = 4096, 256, 1 << 17
 RECALL = 0.96
 #: Numbers of cells tried: no cell is to hold fewer rows, or sampled keys, than so many on average.
 CELLS = (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768, 1024, 1536, 2048, 3072, 4096, 6144, 8192, 12288, 16384)
-ROWS_PER_CELL, KEYS_PER_CELL = 64, 8
+ROWS_PER_CELL, KEYS_PER_CELL = 32, 8
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 16_384, 4_096
 MOST_LENGTHS = 16
 
