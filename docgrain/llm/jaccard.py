@@ -31,6 +31,8 @@ COORDINATES = 48
 SMALL = 256
 #: Sets of a bucket that one task compares with each other at once.
 BLOCK = 1024
+#: Whole sets that a task holds beside its last part, in bytes, and values of sets that it compares in one pass.
+GROUP_BYTES, VALUES_AT_ONCE = 32 << 20, 2_000_000
 DEPTH, CHILDREN = 8, 2
 #: A bucket in which so many share one more sampled token is not split further: its sets are alike.
 DENSE = 0.6
@@ -115,20 +117,22 @@ def _coordinate_at(c) -> F.Column:
     return F.substring(F.col("sketch"), (F.lit(1) + c * 4).cast("int"), F.lit(4))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], rows: int = 2048) -> Iterator[pa.Table]:
-    """Tables of whole parts, from batches in order of ``part``; at least ``rows`` rows where there are so many."""
+def _groups(batches: Iterator[pa.RecordBatch], rows: int = 2048, limit: int = GROUP_BYTES) -> Iterator[pa.Table]:
+    """Tables of whole parts, from batches in order of ``part``: as soon as ``rows`` rows or ``limit`` bytes are held, all but the last part."""
     held: list[pa.RecordBatch] = []
-    n = 0
+    n = size = 0
     for batch in batches:
         held.append(batch)
         n += batch.num_rows
-        if n >= rows:
+        size += batch.nbytes
+        if n >= rows or size >= limit:
             table = pa.Table.from_batches(held)
             part = table["part"].to_numpy()
             cut = int(np.searchsorted(part, part[-1]))  # the last part may go on
             if cut:
                 yield table.slice(0, cut)
             held, n = table.slice(cut).combine_chunks().to_batches(), len(part) - cut
+            size = sum(x.nbytes for x in held)
     if n:
         yield pa.Table.from_batches(held)
 
@@ -210,8 +214,19 @@ def _verify(members: DataFrame) -> DataFrame:
     return ordered.mapInArrow(of, "th binary, links long, least binary")
 
 
-def _common(sets: list[np.ndarray]) -> np.ndarray:
-    """How many values each two of the sets share: products of 0/1 rows over the values that two or more sets hold."""
+def _common(sets: list[np.ndarray], limit: int = VALUES_AT_ONCE) -> np.ndarray:
+    """How many values each two of the sets share: products of 0/1 rows over the values that two or more sets hold.
+
+    Many values are dealt to passes by their remainder, so that the vectors of a pass hold about ``limit`` values.
+    """
+    passes = 1 + sum(len(v) for v in sets) // limit
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for r in range(passes):
+        common += _common_once(sets if passes == 1 else [v[v % v.dtype.type(passes) == r] for v in sets])
+    return common
+
+
+def _common_once(sets: list[np.ndarray]) -> np.ndarray:
     common = np.zeros((len(sets), len(sets)), np.float32)
     uniq, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = np.flatnonzero(count > 1)

@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,6 +244,25 @@ def test_jaccard(spark, docs):
     assert {tuple(x) for x in got} == brute_join(rows)
 
 
+@pytest.mark.parametrize("limit", [10, 1000, 10**6])
+def test_jaccard_counts_in_passes(limit):
+    r = np.random.default_rng(3)
+    for kind in (np.uint64, np.int64):
+        sets = [np.unique(r.integers(0, 400, n) * 7 - (0 if kind == np.uint64 else 900)).astype(kind) for n in (0, 1, 50, 300, 300)]
+        got, want = jaccard._common(sets, limit), np.array([[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets])
+        assert (got == want)[~np.eye(len(sets), dtype=bool)].all()  # values of one set alone are not counted, so the diagonal is less
+
+
+def test_jaccard_groups_end_by_rows_and_bytes():
+    parts = np.repeat(np.arange(40), 5)
+    batches = [pa.RecordBatch.from_arrays([pa.array(parts[k : k + 7]), pa.array([b"x" * 100] * len(parts[k : k + 7]))], ["part", "tokens"]) for k in range(0, 200, 7)]
+    for rows, limit in ((1000, 10**6), (20, 10**6), (1000, 3000), (1000, 1)):
+        tables = list(jaccard._groups(iter(batches), rows, limit))
+        assert np.concatenate([t["part"].to_numpy() for t in tables]).tolist() == parts.tolist()
+        assert sum(len(set(t["part"].to_pylist())) for t in tables) == 40  # no part is cut
+        assert (len(tables) > 1) == ((rows, limit) != (1000, 10**6))
+
+
 def test_jaccard_stage(spark, docs):
     kept = jaccard.first_of_each_class(docs)
     assert kept.columns == docs.columns
