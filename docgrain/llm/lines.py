@@ -1,24 +1,31 @@
-"""Line dedup: repeated runs of lines, found by prefix doubling over sequences of line names.
-
-Every position of every document is a suffix of lines. Its name at depth 1 is the digest of its line; two names at depth
-k, of the suffix and of the one k lines further on, make its name at depth 2k (the last step may overlap, so any depth can
-be reached). Suffixes that agree in so many lines have one name, which is their interval in suffix order; positions are
-in order inside it, so the first is the copy that stays. A suffix whose name is unique needs no further doubling and
-leaves, so all but repeated lines drop out after the first round. Runs of ``least`` lines or more that begin later than the
-first of their interval overlap to maximal runs, and those are deleted.
-
-Names are digests, not ranks: which positions share an interval decides what is deleted, the order of intervals does not,
-so neither a sorted suffix array nor an array of common prefixes is built. With ``alone`` a single line counts as a run of
-its own if it is long enough or a whole document.
+"""Line dedup: a suffix array over sequences of line ids, by distributed prefix doubling.
+
+A line that occurs once in the corpus can be part of no repeated run: it ends one, as the end of its document does, and its
+position needs no rank. Every other position is a suffix that reaches to the next such end. Ids of lines are their ranks;
+at depth d all positions that agree in d lines have one rank, which is the number of positions that sort before them, so
+it is at once their place in suffix order and the left end of the interval of common prefix d. The ranks of a position and
+of the one up to d lines further on give its rank at the next depth. A position whose rank is its own, or whose suffix ends
+within the depth, is in its final place and leaves; the others go on, so the work shrinks with each round, and the number of
+rounds is the logarithm of the longest repeated run. ``least`` is one of the depths.
+
+Positions that share an interval of depth ``least`` share a run of so many lines; the first, in order of document and line,
+is the copy that stays, and runs that begin later overlap to the stretches that are deleted. Neighbours in suffix order
+that parted after depth d share d lines or more; how many, the ranks of the smaller depths tell, the largest first. Where
+the lines before two neighbours are neighbours as well, they share one line more, so only the first of such a chain is
+looked up.
+
+Ranks are summed over ranges of sorted rows, and neighbours are found inside ranges; what passes from one range to the
+next is one row a range. No rank, interval or document needs to fit in one task but the lines of a document itself.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docgrain.llm.common import WORD_PATTERN, materialize, read_table, text_or_empty
@@ -27,55 +34,137 @@ LEAST = 2
 #: Words of a line from which on a later copy of it goes even where the lines beside it are not repeated.
 ALONE = 5
 
+POSITION = ["doc_id", "h", "line"]
 
-def _repeated(named: DataFrame, step: str) -> DataFrame:
-    """Rows whose name more than one position has, with the first of those; names are counted before the shuffle.
 
-    The counted names are written before they are joined: both sides then have a shuffle of their own, and the positions of
-    one very common line are split among tasks.
-    """
-    own = F.struct("doc_id", "h", "line")
-    classes = materialize(named.groupBy("name").agg(F.count("*").alias("n"), F.min(own).alias("first")).where("n > 1").drop("n"), f"lines-{step}-names")
-    return named.join(classes, "name").select(*named.columns, (own > F.col("first")).alias("later"))
+def _split_intervals(classes: DataFrame, name: str, key: str = "next") -> DataFrame:
+    """``classes`` (rank, ``key``, n positions) with ``place``: the rank of each inside the interval of its old rank.
 
+    Classes are dealt by ranges of (rank, key). A range starts where those before it end; an interval that begins in an
+    earlier range is the last one of that range. Both tables have one row a range, which bounds their broadcast.
+    """
+    dealt = materialize(classes.repartitionByRange("rank", key).withColumn("_part", F.spark_partition_id()), f"lines-{name}-classes")
+    before = Window.partitionBy("_part").orderBy("rank", key).rowsBetween(Window.unboundedPreceding, -1)
+    inside = dealt.withColumn("_c", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("_b", F.min("_c").over(Window.partitionBy("_part", "rank")))
+    ends = dealt.groupBy("_part", "rank").agg(F.sum("n").alias("n")).groupBy("_part").agg(F.sum("n").alias("_n"), F.max(F.struct("rank", "n")).alias("_last"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ends.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    carried = parts.groupBy(F.col("_last.rank").alias("rank")).agg(F.min(F.col("_start") + F.col("_n") - F.col("_last.n")).alias("_carry"))
+    found = inside.join(F.broadcast(parts.select("_part", "_start")), "_part").join(F.broadcast(carried), "rank", "left")
+    begin = F.least(F.col("_start") + F.col("_b"), F.coalesce("_carry", F.lit((1 << 63) - 1)))
+    return found.withColumn("place", F.col("rank") + F.col("_start") + F.col("_c") - begin).drop("_part", "_c", "_b", "_start", "_carry")
+
+
+def _line_ranks(docs: DataFrame, alone: int | None) -> DataFrame:
+    """Positions of repeated lines: rank, first (the first position of the line), single (whether it counts by itself)."""
+    text = text_or_empty()
+    long_enough = F.lit(False) if alone is None else F.col("whole") | (F.regexp_count("words", F.lit(WORD_PATTERN)) >= alone)
+    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("line", "words"), (F.instr(text, "\n") == 0).alias("whole"))
+    named = lines.select(*POSITION, F.unhex(F.md5("words")).alias("name"), long_enough.alias("single"))
+    # names are counted before the shuffle, and written before they are joined: both sides then have a shuffle of their own,
+    # and the positions of one very common line are split among tasks
+    classes = named.groupBy("name").agg(F.count("*").alias("n"), F.min(F.struct(*POSITION)).alias("first")).where("n > 1")
+    ranks = _split_intervals(classes.withColumn("rank", F.lit(0).cast("long")), "1", "name").select("name", "first", F.col("place").alias("rank"))
+    found = named.join(materialize(ranks, "lines-1-ranks"), "name").select(*POSITION, "rank", "first", "single")
+    return materialize(found.repartition("doc_id", "h").dropDuplicates(POSITION), "lines-1")
 
-def _joined_names(alive: DataFrame, step: int) -> DataFrame:
-    """The name of each position with that of the position ``step`` lines further on, where both are repeated."""
-    ahead = Window.partitionBy("doc_id", "h").orderBy("line").rangeBetween(step, step)
-    paired = alive.select("doc_id", "h", "line", "name", F.first("name").over(ahead).alias("next")).where("next IS NOT NULL")
-    return paired.select("doc_id", "h", "line", F.unhex(F.md5(F.concat("name", "next"))).alias("name"))
 
+def suffix_array(docs: DataFrame, least: int = LEAST, alone: int | None = None) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
+    """The levels of the doubling, as (depth, positions that share their rank there), and the final order.
 
-def repeated_runs(docs: DataFrame, least: int = LEAST, alone: int | None = None) -> DataFrame:
-    """doc_id, h, line, length: starts of runs of ``least`` lines, and of single lines if ``alone`` is given, that have an earlier copy."""
-    text = text_or_empty()
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("line", "words"), (F.instr(text, "\n") == 0).alias("whole"))
-    position = [F.col("doc_id"), F.col("h"), F.col("line")]
-    single = [] if alone is None else [(F.col("whole") | (F.regexp_count("words", F.lit(WORD_PATTERN)) >= alone)).alias("single")]
-    alive = _repeated(lines.select(*position, F.unhex(F.md5("words")).alias("name"), *single), "1")
-    singles = None
-    if single:
-        alive = materialize(alive, "lines-alone")
-        singles = alive.where("later AND single").select(*position, F.lit(1).alias("length"))
-    depth = 1
-    while depth < least:
-        alive = materialize(alive.select("doc_id", "h", "line", "name"), f"lines-{depth}")
-        step = min(depth, least - depth)
-        alive = _repeated(_joined_names(alive, step), str(depth + step))
+    A level has doc_id, h, line, rank and first, the first position of the interval (at depths 1 and ``least``, else null). The order has rank, level (the last one that a position shares with its predecessor, null for none) and
+    ends, the lines up to the end of a suffix that ended among equal ones.
+    """
+    base = _line_ranks(docs, alone)
+    alive = base.select(*POSITION, "rank", "first", "single", F.lit(None).cast("int").alias("level"))
+    levels, final, depth = [], [], 1
+    while True:
+        levels.append((depth, alive))
+        step = least - depth if depth < least < 2 * depth else depth
+        ahead = Window.partitionBy("doc_id", "h").orderBy("line").rangeBetween(step, step)
+        known = reduce(DataFrame.unionByName, [x.select(*POSITION, "rank", "ends", F.lit(None).cast("int").alias("level"), F.lit(False).alias("on")) for x in final], alive.select(*POSITION, "rank", F.lit(None).cast("long").alias("ends"), "level", F.lit(True).alias("on")))
+        met = F.first(F.struct("rank", "ends")).over(ahead)
+        ended = F.when(F.col("met").isNull(), F.lit(step)).otherwise(F.col("met.ends") + step).cast("long")
+        paired = known.withColumn("met", met).where("on").select(*POSITION, "rank", "level", F.coalesce("met.rank", F.lit(-1)).alias("next"), ended.alias("ends"))
+        paired = materialize(paired, f"lines-{depth}-pairs")
         depth += step
-    runs = alive.where("later").select(*position, F.lit(least).alias("length"))
-    return runs if singles is None else runs.unionByName(singles)
+        firsts = [F.min(F.struct(*POSITION)).alias("first")] if depth == least else []
+        classes = paired.groupBy("rank", "next").agg(F.count("*").alias("n"), *firsts)
+        placed = _split_intervals(classes, str(depth))
+        shared = (F.col("n") > 1) & F.col("ends").isNull()
+        moved = F.when(F.col("place") == F.col("rank"), F.col("level")).otherwise(F.lit(len(levels) - 1))
+        first = F.col("first") if firsts else F.lit(None).cast(alive.schema["first"].dataType)
+        going_on = Observation()
+        split = materialize(paired.join(placed, ["rank", "next"]).select(*POSITION, F.col("place").alias("rank"), "ends", moved.cast("int").alias("level"), shared.alias("shared"), first.alias("first")).observe(going_on, F.count_if("shared").alias("n")), f"lines-{depth}")
+        final.append(split.where("NOT shared"))
+        alive = split.where("shared").select(*POSITION, "rank", "first", "level")
+        if depth >= least and not going_on.get["n"]:
+            return levels + [(depth, alive)], reduce(DataFrame.unionByName, [x.select(*POSITION, "rank", "level", "ends") for x in final])
+
+
+def common_prefixes(levels: list[tuple[int, DataFrame]], order: DataFrame) -> DataFrame:
+    """doc_id, h, line and other (the position before it in suffix order), lcp (lines that both share), where lcp > 0.
+
+    Of a chain of positions whose neighbours stand side by side as well only the first is returned: its common prefix
+    covers those of the others.
+    """
+    at = ["rank", *POSITION]
+    dealt = materialize(order.repartitionByRange(*at).withColumn("_part", F.spark_partition_id()), "lines-order")
+    entry = F.struct(*at)
+    inner = F.lag(entry).over(Window.partitionBy("_part").orderBy(*at))
+    lasts = dealt.groupBy("_part").agg(F.max(entry).alias("_last")).withColumn("_last", F.lag("_last").over(Window.orderBy("_part")))
+    found = dealt.withColumn("_before", inner).join(F.broadcast(lasts), "_part").withColumn("other", F.coalesce("_before", "_last"))
+    tied = F.col("other.rank") == F.col("rank")
+    pairs = found.where(F.col("other").isNotNull() & (tied | F.col("level").isNotNull()))
+    back = F.first("other").over(Window.partitionBy("doc_id", "h").orderBy("line").rangeBetween(-1, -1))
+    goes_on = F.col("back.doc_id").eqNullSafe(F.col("other.doc_id")) & (F.col("back.h") == F.col("other.h")) & (F.col("back.line") == F.col("other.line") - 1)
+    heads = pairs.withColumn("back", back).where(F.col("back").isNull() | ~goes_on)
+    depths = F.array(*(F.lit(d) for d, _ in levels))
+    known = F.when(tied, F.col("ends")).otherwise(F.element_at(depths, F.col("level") + 1)).cast("long")
+    heads = materialize(heads.select(*POSITION, "other", F.when(~tied, F.col("level")).alias("level"), known.alias("lcp")), "lines-heads")
+    top = heads.agg(F.max("level")).first()[0] or 0
+    done, open_rows = [heads.where("coalesce(level, 0) = 0")], None
+    for k in range(top - 1, -1, -1):
+        new = heads.where(F.col("level") == k + 1)
+        depth, level = levels[k]
+        open_rows = new if open_rows is None else open_rows.unionByName(new)
+        for side, at_line in (("a", F.struct("doc_id", "h", (F.col("line") + F.col("lcp")).alias("line"))), ("b", F.struct("other.doc_id", "other.h", (F.col("other.line") + F.col("lcp")).alias("line")))):
+            ranks = level.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("line").alias("_l"), F.col("rank").alias(side))
+            keyed = open_rows.withColumn("_at", at_line)
+            open_rows = keyed.join(ranks, F.col("_at.doc_id").eqNullSafe(F.col("_d")) & (F.col("_at.h") == F.col("_h")) & (F.col("_at.line") == F.col("_l")), "left").drop("_at", "_d", "_h", "_l")
+        longer = F.col("lcp") + F.when(F.col("a") == F.col("b"), depth).otherwise(0)
+        open_rows = materialize(open_rows.select(*POSITION, "other", "level", longer.alias("lcp")), f"lines-lcp-{k}")
+    if open_rows is not None:
+        done.append(open_rows)
+    return reduce(DataFrame.unionByName, done).select(*POSITION, "other", "lcp")
+
+
+def later_copies(levels: list[tuple[int, DataFrame]], least: int, alone: int | None, base: DataFrame) -> DataFrame:
+    """doc_id, h, line, length: runs of ``least`` lines, and single lines if ``alone`` is given, that have an earlier copy."""
+    later = F.struct(*POSITION) > F.col("first")
+    runs = next(x for depth, x in levels if depth == least).where(later).select(*POSITION, F.lit(least).alias("length"))
+    return runs if alone is None else runs.unionByName(base.where("single").where(later).select(*POSITION, F.lit(1).alias("length")))
 
 
 def dedup_lines(docs: DataFrame, least: int = LEAST, alone: int | None = None) -> DataFrame:
-    """doc_id, n_lines, n_removed, n_runs, longest_run, kept_sha256 of every row of ``docs``.
+    """doc_id, n_lines, n_removed, n_runs, longest_run, longest_match, kept_sha256 of every row of ``docs``.
 
     Lines end at line feeds; those kept are joined by line feeds again. The first copy of a run, in order of doc_id, hash of
     the text and line, stays. With ``alone``, a later copy of a line of so many words or more, or of a line that is a whole
-    document, goes also when no line beside it is repeated along with it. Null texts are one empty line, as empty ones are; null ids come first; equal rows count as
-    one document and get equal results; an empty table gives an empty result; other columns are ignored.
+    document, goes also when no line beside it is repeated along with it. ``n_runs`` and ``longest_run`` count the deleted
+    stretches and the lines of the longest one; ``longest_match`` is the most lines in a row that start anywhere in the document and
+    stand, in that order, at another place, in this document or another. Null texts are one empty line, as empty ones are;
+    null ids come first; equal rows count as one document and get equal results; an empty table gives an empty result; other
+    columns are ignored.
     """
-    starts = repeated_runs(docs, least, alone).groupBy("doc_id", "h").agg(F.collect_set(F.struct("line", "length")).alias("starts")).withColumnsRenamed({"doc_id": "_d", "h": "_h"})
+    levels, order = suffix_array(docs, least, alone)
+    starts = later_copies(levels, least, alone, levels[0][1])
+    shared = common_prefixes(levels, order)
+    ends = shared.select("doc_id", "h", "lcp").unionByName(shared.select("other.doc_id", "other.h", "lcp"))
+    none = F.lit(None)
+    both = starts.withColumn("lcp", none.cast("long")).unionByName(ends.select("doc_id", "h", none.cast("int").alias("line"), none.cast("int").alias("length"), "lcp"))
+    start = F.when(F.col("line").isNotNull(), F.struct("line", "length"))
+    found = both.groupBy("doc_id", "h").agg(F.collect_set(start).alias("starts"), F.max("lcp").alias("longest_match")).withColumnsRenamed({"doc_id": "_d", "h": "_h"})
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["n_lines", "n_removed", "n_runs", "longest_run"]
@@ -89,12 +178,12 @@ def dedup_lines(docs: DataFrame, least: int = LEAST, alone: int | None = None) -
                 kept = "\n".join(x for k, x in enumerate(lines) if k not in gone)
                 for k, v in zip(out, (len(lines), len(gone), len(runs), longest, hashlib.sha256(kept.encode()).hexdigest())):
                     out[k].append(v)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(out[k], pa.int64()) for k in names), pa.array(out["kept_sha256"], pa.string())], ["doc_id", *out])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), *(pa.array(out[k], pa.int64()) for k in names), pa.array(out["kept_sha256"], pa.string())], ["doc_id", "longest_match", *out])
 
     text = text_or_empty()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    joined = keyed.join(starts, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["h"] == F.col("_h")), "left").select("doc_id", "text", "starts")
-    return joined.mapInArrow(of, "doc_id long, n_lines long, n_removed long, n_runs long, longest_run long, kept_sha256 string")
+    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["h"] == F.col("_h")), "left")
+    return joined.select("doc_id", "text", "starts", F.coalesce("longest_match", F.lit(0)).alias("longest_match")).mapInArrow(of, "doc_id long, longest_match long, n_lines long, n_removed long, n_runs long, longest_run long, kept_sha256 string")
 
 
 def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,9 +198,14 @@ later AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY a, b OR
 alone AS (SELECT r, i FROM (SELECT r, i, ls, row_number() OVER (PARTITION BY ls[i] ORDER BY r, i) AS k FROM l) WHERE k > 1 AND (len(ls) = 1 OR len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) >= 5)),
 gone AS (SELECT DISTINCT r, i FROM (SELECT r, i FROM later UNION ALL SELECT r, i + 1 FROM later UNION ALL SELECT r, i FROM alone)),
 islands AS (SELECT r, count(*) AS n FROM (SELECT r, i - row_number() OVER (PARTITION BY r ORDER BY i) AS g FROM gone) GROUP BY r, g),
-runs AS (SELECT r, count(*) AS n_runs, max(n) AS longest_run FROM islands GROUP BY r)
-SELECT any_value(l.doc_id) AS doc_id, count(*) AS n_lines, count(gone.i) AS n_removed, coalesce(any_value(runs.n_runs), 0)::BIGINT AS n_runs,
+runs AS (SELECT r, count(*) AS n_runs, max(n) AS longest_run FROM islands GROUP BY r),
+suffixes AS (SELECT r, i, ls[i:] AS s FROM l),
+neighbours AS (SELECT r, s, coalesce(lag(s) OVER o, []) AS p, coalesce(lead(s) OVER o, []) AS q FROM suffixes WINDOW o AS (ORDER BY s, r, i)),
+common AS (SELECT r, coalesce(list_min(list_filter(range(1, least(len(s), len(p)) + 1), lambda x: s[x] <> p[x])) - 1, least(len(s), len(p)), 0) AS a,
+  coalesce(list_min(list_filter(range(1, least(len(s), len(q)) + 1), lambda x: s[x] <> q[x])) - 1, least(len(s), len(q)), 0) AS b FROM neighbours),
+longest AS (SELECT r, max(greatest(a, b)) AS n FROM common GROUP BY r)
+SELECT any_value(l.doc_id) AS doc_id, any_value(longest.n)::BIGINT AS longest_match, count(*) AS n_lines, count(gone.i) AS n_removed, coalesce(any_value(runs.n_runs), 0)::BIGINT AS n_runs,
   coalesce(any_value(runs.longest_run), 0)::BIGINT AS longest_run,
   sha256(coalesce(string_agg(ls[l.i], chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_sha256
-FROM l LEFT JOIN gone ON l.r = gone.r AND l.i = gone.i LEFT JOIN runs ON l.r = runs.r GROUP BY l.r
+FROM l JOIN longest ON l.r = longest.r LEFT JOIN gone ON l.r = gone.r AND l.i = gone.i LEFT JOIN runs ON l.r = runs.r GROUP BY l.r
 """

@@ -101,6 +101,32 @@ def test_lines_alone(spark, least):
     assert [got[100 + i][0] for i in range(11)] == [0, 1, 1, 1, 0, 1, 1, 0, 1, 0, 1]
 
 
+def brute_matches(rows):
+    """Most lines in a row that start in a document and stand at another place too."""
+    texts = {(d, t or "") for d, t in rows}
+    at = [(k, i, k[1].split("\n")[i:]) for k in texts for i in range(len(k[1].split("\n")))]
+    out = defaultdict(int)
+    for k, i, a in at:
+        for k2, i2, b in at:
+            if (k, i) != (k2, i2):
+                out[k[0]] = max(out[k[0]], next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))))
+    return {k[0]: out[k[0]] for k in texts}
+
+
+@pytest.mark.parametrize("least", [2, 3])
+def test_lines_common_prefixes(spark, least):
+    """Runs of 2 to 50 lines, one inside another, up to the end and not, and a document that repeats itself, with ids that are null."""
+    r = random.Random(least)
+    pool = [f"line {i}" for i in range(50)]
+    cut = [pool[a : a + n] for n in (2, 3, 4, 5, 7, 8, 9, 16, 17, 31, 50) for a in (0, r.randint(0, 50 - n))]
+    rows = [(i, "\n".join([f"own {i}"] * (i % 2) + run + [f"end {i}"] * (i % 3))) for i, run in enumerate(cut)]
+    rows += [(100, "\n".join(["a"] * 9)), (101, "a\nb\na\nb\na"), (None, "\n".join(pool[:20])), (103, "alone"), (104, None), (105, ""), (3, rows[3][1])]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), least).collect()
+    assert {x.doc_id: x.longest_match for x in got} == brute_matches(rows)
+    expected = brute_lines([(-1 if d is None else d, t or "") for d, t in rows], least)
+    assert {(-1 if x.doc_id is None else x.doc_id, x.n_lines, x.n_removed, x.kept_sha256) for x in got} == {(k[0], *v) for k, v in expected.items()}
+
+
 # 2 ----------------------------------------------------------------------------------------------------------------------
 def brute_base(text):
     spans = []
