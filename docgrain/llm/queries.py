@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docgrain.llm import chat, decontaminate, jaccard, lines, mixing, neighbours, quality, secrets, sharding, substrings
+from docgrain.llm import chat, decontaminate, jaccard, lines, mixing, neighbours, quality, repair, secrets, sharding, simhash, substrings, whitening
 
 
 def queries() -> dict:
@@ -17,8 +17,11 @@ def queries() -> dict:
         "op8_feistel_sharding": sharding.op8_feistel_sharding,
         "op9_hilbert_neighbours": neighbours.op9_hilbert_neighbours,
         "op10_chat_format": chat.op10_chat_format,
+        "op11_qdwh_whitening": whitening.op11_qdwh_whitening,
+        "op12_conversation_repair": repair.op12_conversation_repair,
+        "op13_simhash_golay": simhash.op13_simhash_golay,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_line_runs": lines.OP1_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op10_chat_format": chat.OP10_SQL}
+    return {"op1_line_runs": lines.OP1_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op10_chat_format": chat.OP10_SQL, "op12_conversation_repair": repair.OP12_SQL}
