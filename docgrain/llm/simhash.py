@@ -138,16 +138,17 @@ def _stars(homes: pd.DataFrame, seekers: pd.DataFrame) -> pd.DataFrame:
 
 def _dense_links(homes: DataFrame, seekers: DataFrame, dense: DataFrame) -> DataFrame:
     """a, b: what is connected under the keys ``dense`` (key, n_h homes)."""
-    sought = seekers.join(dense, "key").groupBy("key").agg(F.count("*").alias("n_s"))
+    sought = materialize(seekers.join(dense, "key").select("key", "print"), "simhash-sought")  # keys are made anew in each use
+    sizes = sought.groupBy("key").agg(F.count("*").alias("n_s"))
     parts = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    plan = materialize(dense.join(sought, "key").select("key", parts("n_h").alias("p_h"), parts("n_s").alias("p_s")), "simhash-dense")
+    plan = materialize(dense.join(sizes, "key").select("key", parts("n_h").alias("p_h"), parts("n_s").alias("p_s")), "simhash-dense")
 
     def spread(df: DataFrame, own: str, other: str, a: str, b: str) -> DataFrame:
         dealt = df.join(plan, "key").withColumn(a, F.pmod(F.xxhash64("print"), F.col(own)).cast("int"))
         return dealt.withColumn(b, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("key", "h", "s", "print")
 
     block = ["key", "h", "s"]
-    left, right = spread(homes, "p_h", "p_s", "h", "s"), spread(seekers, "p_s", "p_h", "s", "h")
+    left, right = spread(homes, "p_h", "p_s", "h", "s"), spread(sought, "p_s", "p_h", "s", "h")
     return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(lambda x, y: _stars(x, y), "a long, b long")
 
 
