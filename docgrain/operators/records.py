@@ -70,7 +70,7 @@ def coalesce_merge(rows: DataFrame, key: list[str], fields: list[str], order: li
         if provenance:
             pick.append(F.min_by(provenance, ord_).alias(f"{f}_{provenance}"))
     keyed = rows.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k, t in rows.dtypes if k in key and t == "string"})
-    return keyed.groupBy(*key).agg(*pick)
+    return keyed.groupBy(*key).agg(*pick) if pick else keyed.select(*key).distinct()
 
 
 def unique_keys(rows: DataFrame, base: str, order: list[str], out: str) -> DataFrame:
@@ -136,10 +136,21 @@ def resolve_ids(queries: DataFrame, overrides: DataFrame, index: DataFrame, save
     return joined.withColumn("building_id", F.coalesce("_a", "_b", "_c", slug)).drop("_a", "_b", "_c")
 
 
+def run_selection(ids: DataFrame, only: DataFrame | None, done: DataFrame, key: str = "building_id") -> DataFrame:
+    """key, state of every id that is wanted: ``run``, ``done``, or ``absent`` where it was asked for and never crawled.
+
+    The three lists meet in one sum of marks by id; without ``only`` all ids are wanted.
+    """
+    marked = lambda df, n: df.select(key, *[F.lit(i == n).alias(c) for i, c in enumerate(("_known", "_asked", "_done"))])
+    marks = [marked(ids, 0), marked(ids if only is None else only, 1), marked(done, 2)]
+    summed = reduce(DataFrame.unionByName, marks).groupBy(key).agg(*[F.max(c).alias(c) for c in ("_known", "_asked", "_done")])
+    state = F.when(~F.col("_known"), "absent").when(F.col("_done"), "done").otherwise("run")
+    return summed.where("_asked").select(key, state.alias("state"))
+
+
 def select_run(ids: DataFrame, only: DataFrame | None, done: DataFrame, limit: int | None, key: str = "building_id") -> DataFrame:
-    """Wanted ids that are not done, in order, at most ``limit``."""
-    rows = ids if only is None else ids.join(only.select(key).distinct(), key, "left_semi")
-    rows = rows.join(done.select(key).distinct(), key, "left_anti").orderBy(key)
+    """Wanted ids that are not done, in order, at most ``limit``; ``run_selection`` also has those that are done or absent."""
+    rows = run_selection(ids, only, done, key).where("state = 'run'").select(key).orderBy(key)
     return rows if limit is None else rows.limit(limit)
 
 

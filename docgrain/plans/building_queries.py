@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,3 +101,71 @@ def q_building_rooms(spark, sf_dir):
     plates = t["floor_plate"].select(F.lit("plate"), "floor_plate_id", "floor_range", F.col("units_per_floor").cast("double"))
     named = t["building"].select(F.lit("building"), "building_id", F.concat_ws(" ", "building_name_local", "developer"), F.lit(None).cast("double"))
     return rooms.union(plates).union(named)
+
+
+def contested_pages(part: DataFrame) -> DataFrame:
+    """Pages that contradict one another: an official one of each part, on one of four hosts and in some parts without a
+    number of units, and for a third of the parts a resale page with other numbers and a year of its own."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    row = lambda label, *xs: F.concat(F.lit(f"<tr><th>{label}</th><td>"), *[F.lit(x) if isinstance(x, str) else x.cast("string") for x in xs], F.lit("</td></tr>"))
+    host = F.when(key % 4 == 0, "www.site-a.jp").when(key % 4 == 1, "site-b.jp").when(key % 4 == 2, "notsite-a.jp").otherwise("a.jp")
+    units = F.when(key % 5 == 0, "").otherwise(row("総戸数", size * 10 + 20, "戸"))
+    official = F.concat(F.lit("<table>"), units, row("敷地面積", size + 100, "㎡"), F.lit("</table>"))
+    resale = F.concat(F.lit("<table>"), row("総戸数", size * 10 + 21, "戸"), row("敷地面積", size + 900, "㎡"), row("竣工", size + 1990, "年3月"), F.lit("</table>"))
+    page = lambda n, h, purpose, html: part.select(
+        F.concat(F.lit("b"), key).alias("building_id"), F.lit(n).alias("page_idx"), F.lit(f"0{n}.txt").alias("name"), F.concat(F.lit("https://"), h, F.lit("/"), key).alias("url"), F.lit(purpose).alias("purpose"), F.lit("t").alias("title"), html.alias("html"),
+        F.concat(F.lit("units "), size + 5000).alias("text"), "p_size",
+    )
+    return page(1, host, "official_overview", official).unionByName(page(2, F.lit("resale.jp"), "price_secondary", resale).where("p_size % 3 = 0")).drop("p_size")
+
+
+def _own_units(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
+    """A site's extractor: the number of units as its texts say it, where it is even."""
+    said = F.regexp_extract("text", r"units (\d+)", 1).cast("int")
+    return pages.select("building_id", F.lit(0).alias("trust"), "page_idx", F.lit(0).alias("ord"), F.when(said % 2 == 0, said).alias("num_units_total"))
+
+
+def _own_launch(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
+    return cells.groupBy("building_id").agg(F.lit(0).alias("trust"), F.min("page_idx").alias("page_idx"), F.lit(0).alias("ord"), (F.lit(1900) + F.count("*")).cast("int").alias("year_launch"))
+
+
+@query("""SELECT 'b' || p_partkey AS building_id,
+  CASE WHEN p_partkey % 4 = 0 AND p_size % 2 = 0 THEN p_size + 5000 WHEN p_partkey % 5 <> 0 THEN p_size * 10 + 20 WHEN p_size % 3 = 0 THEN p_size * 10 + 21 END AS num_units_total,
+  (p_size + 100)::DOUBLE AS land_area_m2, CASE WHEN p_size % 3 = 0 THEN p_size + 1990 END AS year_handover, CASE WHEN p_partkey % 4 = 1 THEN 1901 + CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE 1 END END AS year_launch FROM part""")
+def q_site_building(spark, sf_dir):
+    """Buildings from pages that contradict one another: a site's own values win on its hosts only, official pages before resale
+    pages, and what one page lacks another one gives; the second site names the first one's host too, in vain."""
+    registry = {"building": list(buildings.EXTRACTORS["building"])}
+    buildings.extractor("building", 0, ("site-a.jp",), registry)(_own_units)
+    buildings.extractor("building", 0, ("site-b.jp", "site-a.jp"), registry)(_own_launch)
+    rows = buildings.extract(contested_pages(Tables(spark, sf_dir).part.repartition("p_partkey")), "2026-06-01", registry)["building"]
+    return rows.select("building_id", "num_units_total", "land_area_m2", "year_handover", "year_launch")
+
+
+def _fails_in_a_task(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
+    return pages.select("building_id", F.lit(0).alias("trust"), "page_idx", F.lit(0).alias("ord"), F.raise_error(F.concat(F.lit("no such page: "), "url")).cast("string").alias("slug"))
+
+
+def _fails_in_its_plan(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
+    return pages.select("building_id", "no_such_column")
+
+
+def _fails_at_once(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
+    return pages.select("building_id", {}["no such key"])
+
+
+@query("""SELECT 'amenity' AS name, '_fails_in_a_task' AS extractor, 'site-b.jp' AS hosts, NULL::BIGINT AS n UNION ALL SELECT 'handover_item', '_fails_in_its_plan', '', NULL UNION ALL SELECT 'unit_type', '_fails_at_once', '', NULL
+UNION ALL SELECT 'amenity', NULL, NULL, sum(CASE WHEN p_partkey % 3 = 0 THEN 2 ELSE 1 END)::BIGINT FROM part UNION ALL SELECT 'handover_item', NULL, NULL, sum(CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 1 END)::BIGINT FROM part
+UNION ALL SELECT 'unit_type', NULL, NULL, 0::BIGINT""")
+def q_failed_extractor(spark, sf_dir):
+    """Extractors that fail in a task, in their plan and at once: an error row each, and whole tables from all others."""
+    registry = {t: list(buildings.EXTRACTORS[t]) for t in ("amenity", "handover_item")} | {"unit_type": []}
+    buildings.extractor("amenity", 0, ("site-b.jp",), registry)(_fails_in_a_task)
+    buildings.extractor("handover_item", 0, None, registry)(_fails_in_its_plan)
+    buildings.extractor("unit_type", 0, None, registry)(_fails_at_once)
+    pages = written_pages(Tables(spark, sf_dir).part.repartition("p_partkey")).withColumn("url", F.when(F.col("building_id").endswith("7"), "https://x.site-b.jp/a").otherwise(F.col("url")))
+    tables, errors = buildings.extract_guarded(pages, "2026-06-01", registry)
+    none = F.lit(None).cast("string")
+    counts = [rows.agg(F.count("*").alias("n")).select(F.lit(t).alias("name"), none.alias("extractor"), none.alias("hosts"), "n") for t, rows in tables.items()]
+    told = errors.select(F.col("table").alias("name"), "extractor", "hosts", F.lit(None).cast("long").alias("n"))
+    return reduce(DataFrame.unionByName, counts, told)

@@ -1,34 +1,48 @@
 """From crawled pages to the seven tables of buildings: one job graph for all buildings, keyed by building_id.
 
 Extractors are functions from DataFrames to DataFrames, registered by table; a site can register its own with a higher
-priority (``src_rank`` 0), and the coalescing merge decides field by field.
+priority (``src_rank`` 0) for its hosts, whose pages alone it sees, and the coalescing merge decides field by field. An
+extractor that fails, when it is planned or in a task, leaves a row of errors and no gap in what the others find.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docgrain import schemas
 from docgrain.functions import domain, numbers
 from docgrain.functions.text import clean, clean_literal, slug, squash
+from docgrain.functions.text import host as host_of
 from docgrain.operators import cells as C
 from docgrain.operators import derive, records
 from docgrain.plans import dictionaries as D
 from docgrain.sources.stages import stage
 
-EXTRACTORS: dict[str, list[tuple[int, Callable]]] = {}
+class Extractor(NamedTuple):
+    """What finds records of a table; with hosts it sees the pages of these hosts and their subdomains only."""
 
+    rank: int
+    run: Callable
+    hosts: tuple[str, ...] | None = None
 
-def extractor(table: str, rank: int = 1) -> Callable:
-    """Register a function (pages, cells, as_of) -> rows as an extractor of ``table``."""
+
+EXTRACTORS: dict[str, list[Extractor]] = {}
+ERRORS = "table string, extractor string, hosts string, error string"
+
+
+def extractor(table: str, rank: int = 1, hosts: tuple[str, ...] | None = None, registry: dict[str, list[Extractor]] | None = None) -> Callable:
+    """Register a function (pages, cells, as_of) -> rows as an extractor of ``table``; a site's has rank 0 and its hosts."""
+    into = EXTRACTORS if registry is None else registry
 
     def register(f: Callable) -> Callable:
-        EXTRACTORS.setdefault(table, []).append((rank, f))
+        into.setdefault(table, []).append(Extractor(rank, f, hosts))
         return f
 
     return register
@@ -197,22 +211,84 @@ def price_obs(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
     return typed.unionByName(ranged, allowMissingColumns=True)
 
 
-def extract(pages: DataFrame, as_of: str) -> dict[str, DataFrame]:
-    """Merged records of each table: all extractors, better sources first, duplicates coalesced field by field."""
-    cells = stage(page_cells(pages), "cells")
-    out = {}
-    for table, found in EXTRACTORS.items():
-        parts = [f(pages, cells, as_of).withColumn("src_rank", F.lit(rank)) for rank, f in found]
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        order = [c for c in ("src_rank", "trust", "page_idx", "ord") if c in rows.columns]
-        key = ["building_id", *schemas.DEDUP_KEYS[table]]
-        fields = [c for c in rows.columns if c not in {*key, *order}]
-        merged = records.coalesce_merge(rows, key, fields, order)
-        if len(order) > 1:
-            firsts = rows.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]}).groupBy(*key).agg(F.min(F.struct(*order)).alias("ord"))
-            merged = merged.join(firsts, key)
-        out[table] = stage(merged.withColumns({k: F.nullif(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]}), f"records-{table}")
-    return out
+def _sites(registered: dict[str, list[Extractor]]) -> list[tuple[str, ...]]:
+    """The sites in the order in which they were registered; a site is what its extractors give as hosts."""
+    return list(dict.fromkeys(x.hosts for found in registered.values() for x in found if x.hosts))
+
+
+def site_number(host: Column, sites: list[tuple[str, ...]]) -> Column:
+    """The number of the first site that has the host or a domain above it; null for a page of no site."""
+    fits = lambda hosts: reduce(lambda a, b: a | b, [(host == h) | host.endswith("." + h) for h in hosts])
+    return F.coalesce(F.lit(None).cast("int"), *[F.when(fits(hosts), F.lit(i)) for i, hosts in enumerate(sites)])
+
+
+def _empty(pages: DataFrame, table: str) -> DataFrame:
+    """No records, with all columns that any may have: what is left of a table whose extractors all failed."""
+    columns = schemas.TABLES[table]
+    more = [f"{k} string" for k in schemas.DEDUP_KEYS[table] if f"{k} " not in columns]
+    return pages.sparkSession.createDataFrame([], ", ".join([columns, *more, "ord struct<src_rank:int,trust:int,page_idx:int,ord:int>"]))
+
+
+def _merged(table: str, rows: DataFrame) -> DataFrame:
+    """One record a key: better sources first, duplicates coalesced field by field."""
+    order = [c for c in ("src_rank", "trust", "page_idx", "ord") if c in rows.columns]
+    key = ["building_id", *schemas.DEDUP_KEYS[table]]
+    fields = [c for c in rows.columns if c not in {*key, *order}]
+    merged = records.coalesce_merge(rows, key, fields, order)
+    if len(order) > 1:
+        firsts = rows.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]}).groupBy(*key).agg(F.min(F.struct(*order)).alias("ord"))
+        merged = merged.join(firsts, key)
+    return merged.withColumns({k: F.nullif(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]})
+
+
+def extract_guarded(pages: DataFrame, as_of: str, extractors: dict[str, list[Extractor]] | None = None, cells: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Merged records of each table, and an error row (table, extractor, hosts, error) for each extractor that failed.
+
+    A page belongs to the first site registered for its host, and only that site's extractors see it, beside the general
+    ones, which see all. Plans are made one by one, so one that can't be made is left out at once. All extractors of a table
+    run together; if that fails in a task, the rows of each are written as a stage of their own, and those that can be
+    written are merged. A failure that none of them has alone is raised.
+    """
+    registered = EXTRACTORS if extractors is None else extractors
+    cells = stage(page_cells(pages), "cells") if cells is None else cells
+    sites, errors, out = _sites(registered), [], {}
+    placed = lambda df: df.withColumn("_site", site_number(host_of("url"), sites))
+    seen = lambda df, x: df if not x.hosts else placed(df).where(F.col("_site") == sites.index(x.hosts)).drop("_site")
+
+    def failed(table: str, x: Extractor, e: Exception) -> None:
+        errors.append((table, x.run.__name__, ", ".join(x.hosts or ()), str(e)[:1000]))
+
+    for table, found in registered.items():
+        parts, union = [], None
+        for x in found:
+            try:
+                rows = x.run(seen(pages, x), seen(cells, x), as_of).withColumn("src_rank", F.lit(x.rank))
+                together = rows if union is None else union.unionByName(rows, allowMissingColumns=True)
+                together.schema  # noqa: B018  makes the plan
+            except Exception as e:  # whatever an extractor does wrong, it does not end the job
+                failed(table, x, e)
+                continue
+            parts.append((x, rows))
+            union = together
+        try:
+            out[table] = _empty(pages, table) if union is None else stage(_merged(table, union), f"records-{table}")
+        except (PySparkException, Py4JError):
+            written = []
+            for x, rows in parts:
+                try:
+                    written.append(stage(rows, f"rows-{table}"))
+                except (PySparkException, Py4JError) as e:
+                    failed(table, x, e)
+            if len(written) == len(parts):
+                raise
+            union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), written) if written else None
+            out[table] = _empty(pages, table) if union is None else stage(_merged(table, union), f"records-{table}")
+    return out, pages.sparkSession.createDataFrame(errors, ERRORS)
+
+
+def extract(pages: DataFrame, as_of: str, extractors: dict[str, list[Extractor]] | None = None, cells: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The tables of ``extract_guarded``."""
+    return extract_guarded(pages, as_of, extractors, cells)[0]
 
 
 def _keyed(rows: DataFrame, parts: list[Column], out: str, scope: str = "building_id") -> DataFrame:
@@ -276,9 +352,12 @@ EVIDENCE_OF = {
 }
 
 
-def evidence(pages: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Evidence rows of buildings (the cells that won), equipment and amenities (the sentences found), for filled fields only."""
-    cells = stage(page_cells(pages), "evidence-cells")
+def evidence(pages: DataFrame, tables: dict[str, DataFrame], cells: DataFrame | None = None) -> DataFrame:
+    """Evidence rows of buildings (the cells that won), equipment and amenities (the sentences found), for filled fields only.
+
+    ``cells`` are those that the tables were extracted from, where they are at hand.
+    """
+    cells = stage(page_cells(pages), "evidence-cells") if cells is None else cells
     matches = C.label_matches(cells, LABELS)
     best = C.best_cell(matches.where(_valid(F.col("field"), F.col("value"))), "building_id", ORDER)
     fields = F.create_map(*[x for k, v in EVIDENCE_OF.items() for x in (F.lit(k), F.array(*[F.lit(f) for f in v]))])

@@ -105,8 +105,8 @@ def nested_payload(parent: DataFrame, key: str, children: dict[str, DataFrame])
     return reduce(with_child, children.items(), parent)
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
-    """The newest row of each key; write it to a new path and switch over."""
+def upsert(old: DataFrame, new: DataFrame, key: str | list[str], order: str) -> DataFrame:
+    """The newest row of each key. ``versions.VersionedTable.upsert`` writes it and switches readers over."""
     every = old.unionByName(new)
     return every.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).where("_n = 1").drop("_n")
 

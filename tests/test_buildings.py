@@ -145,3 +145,25 @@ def test_folding(spark):
     assert {(r.building_id, r.city) for r in folded.collect()} == {("b", "x"), ("c", "y")}
     assert {(r.building_id, r.slug) for r in kids["amenity"].collect()} == {("b", "gym"), ("c", "pool")}
     assert stack.orphans(children["amenity"], rows.where("building_id <> 'c'")).count() == 1
+
+
+def test_sites_and_failures(spark, crawl):
+    """A page belongs to the first site of its host; whatever fails leaves a row, and a table without records if nothing is left."""
+    registry = {"building": list(buildings.EXTRACTORS["building"])}
+    told = lambda n: lambda pages, cells, as_of: pages.select("building_id", F.lit(0).alias("trust"), "page_idx", F.lit(0).alias("ord"), F.lit(n).alias("num_units_total"))
+    buildings.extractor("building", 0, ("tower_a.jp",), registry)(told(7))
+    buildings.extractor("building", 0, ("jp", "tower_a.jp"), registry)(told(8))
+    slow = F.udf(lambda x: 1 // 0, "int")
+    buildings.extractor("amenity", 1, None, registry)(lambda pages, cells, as_of: pages.select("building_id", slow("url").cast("string").alias("slug")))
+    pages = readers.load_pages(spark, crawl, readers.manifests(spark, crawl))
+    tables, errors = buildings.extract_guarded(pages, "2026-06-01", registry)
+    rows = {r.building_id: r for r in tables["building"].collect()}
+    assert (rows["tower_a"].num_units_total, rows["tower_b"].num_units_total, rows["tower_a"].land_area_m2) == (7, 8, 1200.5)
+    assert tables["amenity"].count() == 0 and [(r.table, "ZeroDivisionError" in r.error) for r in errors.collect()] == [("amenity", True)]
+
+
+def test_cells_are_shared(spark, crawl, tables):
+    pages = readers.load_pages(spark, crawl, readers.manifests(spark, crawl))
+    cells_of = buildings.page_cells(pages)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(buildings.evidence(pages, tables, cells_of)) == key(buildings.evidence(pages, tables))

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from docgrain.operators import terms
@@ -105,3 +106,29 @@ def test_ranked(spark):
 
     got = ranked(spark.range(1000).repartition(7), "id")
     assert got.where("id <> rank").count() == 0
+
+
+def test_versions(spark, tmp_path):
+    from docgrain.sources.versions import VersionedTable
+
+    schema = "k string, at int, v string"
+    table = VersionedTable(spark, str(tmp_path / "t"), ["k"], 8)
+    assert table.read(schema=spark.createDataFrame([], schema).schema).count() == 0
+    rows = lambda *xs: spark.createDataFrame(list(xs), schema)
+    state = lambda **how: sorted(map(str, map(tuple, table.read(**how).collect())))
+    table.upsert(rows(("a", 1, "x"), ("b", 1, "x"), (None, 1, "x")), "at")
+    held = state()
+    bad = rows(("a", 2, "y"), ("b", 2, "y")).withColumn("v", F.when(F.col("k") == "b", F.raise_error(F.lit("dies half-way"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="dies half-way"):
+        table.upsert(bad, "at")
+    assert state() == held and table.versions() == [1]
+    table.upsert(rows(("a", 2, "y"), ("b", 0, "late"), ("c", 1, "x")), "at", {"batch": 7})
+    assert state() == sorted(map(str, [("a", 2, "y"), ("b", 1, "x"), ("c", 1, "x"), (None, 1, "x")]))
+    assert state(version=1) == held and table.mark("batch") == 7
+    table.append(rows(("a", 3, "z")))
+    table.compact(1)
+    assert table.read().where("k = 'a'").count() == 2 and all(len(v) == 1 for v in table.manifest()["buckets"].values())
+    table.replace(table.read().where("k = 'c'"))
+    assert [r.k for r in table.read().collect()] == ["c"]
+    table.vacuum(1)
+    assert [r.k for r in table.read().collect()] == ["c"] and len(table.versions()) == 1
