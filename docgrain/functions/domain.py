@@ -206,7 +206,7 @@ RULES = [
 ]
 
 
-def _spaced(c: Column) -> Column:
+def spaced(c: Column) -> Column:
     c = F.regexp_replace(c, rf"(?<=[A-Za-zÀ-ỹ0-9])(?=[{CJK}])", " ")
     c = F.regexp_replace(c, rf"(?<=[{CJK}])(?=[A-Za-zÀ-ỹ0-9])", " ")
     return F.regexp_replace(F.regexp_replace(c, r"\s{2,}", " "), r"\s+([,.);])", "$1")
@@ -215,7 +215,7 @@ def _spaced(c: Column) -> Column:
 def apply_rules(c: Column, rules: list[tuple[str, str]] | None = None) -> Column:
     """Each rule in order, set off by blanks; blanks are then made single."""
     padded = reduce(lambda s, r: F.regexp_replace(s, r[0], f" {r[1]} " if r[1] else " "), RULES if rules is None else rules, kanji_numbers(c))
-    return strip(_spaced(padded), " ・,")
+    return strip(spaced(padded), " ・,")
 
 
 def repair_long_vowels(c: Column) -> Column:
@@ -227,7 +227,7 @@ def rewrite_phrase(c: Column, dictionary: list[tuple[str, str]], rules: list[tup
     terms = sorted(dictionary, key=lambda t: (-len(t[0]), t[0]))
     table = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in terms]) if terms else F.array().cast("array<struct<k:string,v:string>>")
     exact = lambda x: F.get(F.transform(F.filter(table, lambda t: t["k"] == x), lambda t: t["v"]), F.lit(0))
-    replaced = lambda x: strip(_spaced(F.aggregate(table, x, lambda a, t: F.replace(a, t["k"], t["v"]))), " ・,")
+    replaced = lambda x: strip(spaced(F.aggregate(table, x, lambda a, t: F.replace(a, t["k"], t["v"]))), " ・,")
 
     def done(s: Column) -> Column:
         return let(apply_rules(s, rules), lambda ruled: F.coalesce(exact(s), exact(ruled), F.nullif(replaced(ruled), F.lit("")), s))

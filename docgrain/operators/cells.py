@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from html.parser import HTMLParser
 
@@ -46,40 +47,92 @@ def html_cells(pages: DataFrame, key: list[str], html: str = "html") -> DataFram
 
 
 class _Cells(HTMLParser):
+    """Rows of tables in the order in which they begin; a row's cells are its own, with the text of tables inside them. Terms
+    and facts of lists, and the lines of text between tags."""
+
+    UNSEEN = ("script", "style", "noscript", "template")
+
     def __init__(self):
         super().__init__()
-        self.rows, self.open = [], []
+        self.rows, self.open, self.unseen = [], [], 0
+        self.listed, self.into, self.lines = {"dt": [], "dd": []}, None, []
 
     def handle_starttag(self, tag, attrs):
-        if tag == "tr":
-            self.open.append([])
+        if tag in self.UNSEEN:
+            self.unseen += 1
+        elif tag == "tr":
+            self.rows.append([])
+            self.open.append([self.rows[-1], False])
         elif tag in ("td", "th") and self.open:
-            self.open[-1].append("")
+            self.open[-1][0].append([])
+            self.open[-1][1] = True
+        elif tag in self.listed:
+            self.into = []
+            self.listed[tag].append(self.into)
 
     def handle_endtag(self, tag):
-        if tag == "tr" and self.open:
-            self.rows.append(self.open.pop())
+        if tag in self.UNSEEN:
+            self.unseen = max(0, self.unseen - 1)
+        elif tag == "tr" and self.open:
+            self.open.pop()
+        elif tag in ("td", "th") and self.open:
+            self.open[-1][1] = False
+        elif tag in self.listed:
+            self.into = None
 
     def handle_data(self, data):
-        for row in self.open:
-            if row:
-                row[-1] += data
-
-
-@F.udtf(returnType="label string, value string, error string")
+        if self.unseen or not data.strip():
+            return
+        self.lines += data.split("\n")
+        for row, inside in self.open:
+            if inside:
+                row[-1].append(data.strip())
+        if self.into is not None:
+            self.into.append(data.strip())
+
+    def pairs(self):
+        for row in self.rows:
+            yield from zip(row[::2], row[1::2])
+        yield from zip(self.listed["dt"], self.listed["dd"])
+        for line in self.lines:
+            said = re.match(rf"([^:：]{{1,{MAX_LABEL}}})[:：]\s*(.+)$", line.strip())
+            if said and not re.match("https?:", line.strip()):
+                yield [said[1]], [said[2]]
+
+
+@F.udtf(returnType="kv_idx int, label string, value string, error string")
 class NestedCells:
-    """The fallback for nested tables: a lateral table function over the HTML of one page; errors are rows, not failures."""
+    """For pages with nested tables: a lateral table function over the HTML of one page; errors are rows, not failures."""
 
     def eval(self, html: str):
+        parser = _Cells()
         try:
-            parser = _Cells()
             parser.feed(html or "")
+            parser.close()
         except Exception as e:  # a broken page must not end the job
-            yield "", "", str(e)
+            yield -1, "", "", f"{type(e).__name__}: {e}"[:300]
             return
-        for row in parser.rows:
-            for label, value in zip(row[::2], row[1::2]):
-                yield " ".join(label.split()), " ".join(value.split()), None
+        for n, (label, value) in enumerate(dict.fromkeys((" ".join(a), " ".join(b)) for a, b in parser.pairs())):
+            yield n, label, value, None
+
+
+def has_nested_table(html: str) -> Column:
+    """Whether a table opens before the one before it is closed."""
+    parts = F.split(F.lower(F.coalesce(html, F.lit(""))), r"<table[\s>]")
+    inner = F.when(F.size(parts) > 2, F.slice(parts, F.lit(2), F.size(parts) - 2)).otherwise(F.array().cast("array<string>"))
+    return F.exists(inner, lambda p: ~F.contains(p, F.lit("</table")))
+
+
+def page_cells(pages: DataFrame, key: list[str], html: str = "html") -> DataFrame:
+    """key, kv_idx, label, value, error: the cells of all pages, those with nested tables by ``NestedCells``.
+
+    Pages without nested tables, nearly all, stay native. Where tables are nested an outer row's cell has the text of what is
+    inside, and inner rows follow it. A page that can't be parsed has one row, with an error.
+    """
+    flat = html_cells(pages.where(~has_nested_table(html)), key, html).select(*key, "kv_idx", "label", "value", F.lit(None).cast("string").alias("error"))
+    nested = pages.where(has_nested_table(html)).select(*key, F.col(html).alias("html"))
+    rows = nested.lateralJoin(NestedCells(F.col("html").outer())).select(*key, "kv_idx", clean("label").alias("label"), clean("value").alias("value"), "error")
+    return flat.unionByName(rows.where(F.col("error").isNotNull() | ((F.col("label") != "") & (F.col("value") != "") & (F.length("label") <= MAX_LABEL))))
 
 
 def trust(purpose: Column) -> Column:

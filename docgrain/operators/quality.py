@@ -133,9 +133,20 @@ def drift(observed: DataFrame, declared: DataFrame, key: list[str]) -> DataFrame
     return o.join(d, key, "full_outer").where("_o IS NULL OR _d IS NULL").select(*key, F.when(F.col("_d").isNull(), "extra").otherwise("missing").alias("side"))
 
 
+KEYS = (("building", "building_id"), ("unit_type", "unit_type_id"), ("unit_room", "room_id"), ("floor_plate", "floor_plate_id"), ("handover_item", "handover_id"), ("amenity", "amenity_id"), ("price_obs", "price_id"))
+
+
 def check(tables: dict[str, DataFrame]) -> DataFrame:
-    """All rules over the assembled tables."""
-    keyed = [repeated_keys(tables[t], k) for t, k in (("building", "building_id"), ("unit_type", "unit_type_id"), ("floor_plate", "floor_plate_id"), ("handover_item", "handover_id"), ("amenity", "amenity_id"), ("price_obs", "price_id"))]
+    """All rules over the assembled tables, as one plan.
+
+    A table that is no file yet is read once for each rule that it has a part in; write it first. Keys of all tables are
+    counted in one shuffle; rooms, which have no building of their own, are told without one.
+    """
+    owner = lambda t: "building_id" if "building_id" in tables[t].columns else None
+    keys = reduce(DataFrame.unionByName, [tables[t].select(F.lit(t).alias("_table"), F.col(k).alias("_key"), (F.col(owner(t)) if owner(t) else F.lit(None).cast("string")).alias("building_id")) for t, k in KEYS])
+    counted = keys.groupBy("_table", "_key").agg(F.count("*").alias("n"), F.min("building_id").alias("building_id"))
+    held = F.nullif(F.trim(F.col("_key").cast("string")), F.lit(""))
+    keyed = warning(counted, "V1", held.isNull() | (F.col("n") > 1), "_key", "key empty or repeated, rows: ", F.col("n"))
     rooms = room_rules(tables["unit_type"], tables["unit_room"])
     totals = total_rules(tables["building"], tables["unit_type"], tables["floor_plate"])
-    return reduce(DataFrame.unionByName, [*keyed, rooms, totals, type_rules(tables["unit_type"]), price_rules(tables["price_obs"]), building_rules(tables["building"])])
+    return reduce(DataFrame.unionByName, [keyed, rooms, totals, type_rules(tables["unit_type"]), price_rules(tables["price_obs"]), building_rules(tables["building"])])

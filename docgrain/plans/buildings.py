@@ -72,9 +72,13 @@ def run_extractors(pages: DataFrame, extractors: list[tuple[Callable, tuple | No
 
 
 def page_cells(pages: DataFrame) -> DataFrame:
-    """Cells of all pages with what the pages are trusted for."""
+    """Cells of all pages with what the pages are trusted for; a page that can't be parsed has a row with an error."""
     about = pages.select("building_id", "page_idx", "url", "purpose", "title", "name", C.trust(F.col("purpose")).alias("trust"), C.confidence(F.col("purpose")).alias("confidence"))
-    return C.html_cells(pages, ["building_id", "page_idx"]).join(about, ["building_id", "page_idx"])
+    return C.page_cells(pages, ["building_id", "page_idx"]).join(about, ["building_id", "page_idx"])
+
+
+def good_cells(cells: DataFrame) -> DataFrame:
+    return cells.where("error IS NULL").drop("error") if "error" in cells.columns else cells
 
 
 LABELS = [(f, x, i) for f, words in D.FIELD_LABELS.items() for i, x in enumerate(words)]
@@ -244,13 +248,14 @@ def _merged(table: str, rows: DataFrame) -> DataFrame:
 def extract_guarded(pages: DataFrame, as_of: str, extractors: dict[str, list[Extractor]] | None = None, cells: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Merged records of each table, and an error row (table, extractor, hosts, error) for each extractor that failed.
 
-    A page belongs to the first site registered for its host, and only that site's extractors see it, beside the general
+    A page that can't be parsed has an error row too (``cells``, its address). A page belongs to the first site registered for its host, and only that site's extractors see it, beside the general
     ones, which see all. Plans are made one by one, so one that can't be made is left out at once. All extractors of a table
     run together; if that fails in a task, the rows of each are written as a stage of their own, and those that can be
     written are merged. A failure that none of them has alone is raised.
     """
     registered = EXTRACTORS if extractors is None else extractors
-    cells = stage(page_cells(pages), "cells") if cells is None else cells
+    every = stage(page_cells(pages), "cells") if cells is None else cells
+    cells = good_cells(every)
     sites, errors, out = _sites(registered), [], {}
     placed = lambda df: df.withColumn("_site", site_number(host_of("url"), sites))
     seen = lambda df, x: df if not x.hosts else placed(df).where(F.col("_site") == sites.index(x.hosts)).drop("_site")
@@ -283,7 +288,11 @@ def extract_guarded(pages: DataFrame, as_of: str, extractors: dict[str, list[Ext
                 raise
             union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), written) if written else None
             out[table] = _empty(pages, table) if union is None else stage(_merged(table, union), f"records-{table}")
-    return out, pages.sparkSession.createDataFrame(errors, ERRORS)
+    told = pages.sparkSession.createDataFrame(errors, ERRORS)
+    if "error" in every.columns:
+        broken = every.where("error IS NOT NULL").select(F.lit("cells").alias("table"), F.col("url").alias("extractor"), host_of("url").alias("hosts"), "error")
+        told = told.unionByName(broken)
+    return out, told
 
 
 def extract(pages: DataFrame, as_of: str, extractors: dict[str, list[Extractor]] | None = None, cells: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -357,7 +366,7 @@ def evidence(pages: DataFrame, tables: dict[str, DataFrame], cells: DataFrame |
 
     ``cells`` are those that the tables were extracted from, where they are at hand.
     """
-    cells = stage(page_cells(pages), "evidence-cells") if cells is None else cells
+    cells = good_cells(stage(page_cells(pages), "evidence-cells") if cells is None else cells)
     matches = C.label_matches(cells, LABELS)
     best = C.best_cell(matches.where(_valid(F.col("field"), F.col("value"))), "building_id", ORDER)
     fields = F.create_map(*[x for k, v in EVIDENCE_OF.items() for x in (F.lit(k), F.array(*[F.lit(f) for f in v]))])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docgrain.functions import domain, text
-from docgrain.operators import cells, terms
+from docgrain.operators import cells, dictionary, terms
 from docgrain.plans.registry import Tables, query, spread
 from docgrain.sources.stages import shared_dir
 from docgrain.sources import readers
@@ -224,6 +224,46 @@ def q_cells(spark, sf_dir):
     return cells.html_cells(pages, ["p_partkey"])
 
 
+@query("""WITH r AS (SELECT p_partkey, p_size, p_brand, p_type, p_name, p_partkey % 4 AS form FROM part)
+SELECT p_partkey, 'Brand' AS label, p_brand AS value, false AS failed FROM r WHERE form < 3 UNION ALL SELECT p_partkey, 'Name', p_name, false FROM r WHERE form < 3 UNION ALL SELECT p_partkey, 'Key', 'k' || p_partkey, false FROM r WHERE form < 3
+UNION ALL SELECT p_partkey, 'Sizes', 'Size ' || p_size || ' Type ' || p_type, false FROM r WHERE form = 1 UNION ALL SELECT p_partkey, 'Size', p_size::VARCHAR, false FROM r WHERE form < 3 UNION ALL SELECT p_partkey, 'Type', p_type, false FROM r WHERE form < 3
+UNION ALL SELECT p_partkey, '', '', true FROM r WHERE form = 3""")
+def q_nested_cells(spark, sf_dir):
+    """Pages with a table inside a cell, pages with one table after another, and pages that can't be parsed."""
+    form, size = F.col("p_partkey") % 4, F.col("p_size").cast("string")
+    row = lambda label, value: F.concat(F.lit(f"<tr><th>{label}</th><td>"), value, F.lit("</td></tr>"))
+    table = lambda *rows: F.concat(F.lit("<table class='x'>"), *rows, F.lit("</table>"))
+    inner = table(row("Size", size), row("Type", F.concat(F.lit("<b>"), "p_type", F.lit("</b>"))))
+    after = F.concat(F.lit("<dl><dt>Name</dt><dd>"), "p_name", F.lit("</dd></dl><script>no: 1</script><p>Key： k"), F.col("p_partkey").cast("string"), F.lit("</p>"))
+    html = F.when(form == 1, F.concat(table(row("Brand", F.col("p_brand")), row("Sizes", inner)), after)).when(form == 3, F.concat(table(row("Sizes", inner)), F.lit("<![odd[ x ]]>"))).otherwise(F.concat(table(row("Brand", F.col("p_brand"))), inner, after))
+    pages = Tables(spark, sf_dir).part.select("p_partkey", html.alias("html"))
+    return cells.page_cells(pages, ["p_partkey"]).select("p_partkey", "label", "value", F.col("error").isNotNull().alias("failed"))
+
+
+@query("""WITH w AS (SELECT string_split(text, ' ') AS ws FROM benchmark), t AS (SELECT DISTINCT unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS term FROM w UNION SELECT o_orderkey::VARCHAR FROM orders),
+m AS (SELECT doc_id, term FROM documents JOIN t ON contains(text, term) WHERE term <> '')
+SELECT doc_id, count(*) AS n_terms, first(term ORDER BY length(term) DESC, term) AS longest FROM m GROUP BY doc_id""")
+def q_dictionary_index(spark, sf_dir):
+    """A dictionary that is a table, of the benchmark's pairs of words and all order numbers, in all documents: how many terms
+    each one has, and the longest."""
+    t = Tables(spark, sf_dir)
+    words = F.split("text", " ")
+    pairs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1))))
+    known = t.benchmark.select(F.explode(pairs).alias("term")).unionByName(t.orders.select(F.col("o_orderkey").cast("string").alias("term"))).distinct()
+    found = dictionary.occurring(spread(t.documents.select("doc_id", "text")), "text", known, "term").groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.min(F.struct((-F.length("term")).alias("n"), "term")).alias("l"))
+    return found.select("doc_id", "n_terms", F.col("l.term").alias("longest"))
+
+
+@query("""SELECT c_custkey, a.n_name || ' の ' || b.n_name AS said FROM customer JOIN nation a ON a.n_nationkey = c_nationkey JOIN nation b ON b.n_nationkey = c_custkey % 25""")
+def q_rewrite_by_table(spark, sf_dir):
+    """Phrases in source script rewritten by a table of terms, some of which begin others: the longest is taken."""
+    t = Tables(spark, sf_dir)
+    coded = lambda c: F.concat(F.lit("国"), F.translate(c.cast("string"), "0123456789", "春夏秋冬山川森海空星"))
+    known = t.nation.select(coded(F.col("n_nationkey")).alias("term"), F.col("n_name").alias("translation"))
+    rows = t.customer.select("c_custkey", F.concat(coded(F.col("c_nationkey")), F.lit("の"), coded(F.col("c_custkey") % 25)).alias("phrase"))
+    return dictionary.rewrite_phrases(rows, "phrase", "said", known).select("c_custkey", "said")
+
+
 @query(f"WITH {URL_SQL} SELECT DISTINCT curl AS url, lower(regexp_extract(curl, '^https?://([^/?#]+)', 1)) AS host FROM c")
 def q_stream_dedup(spark, sf_dir):
     """The pages as a file stream: one row a canonical URL."""

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
+from docgrain import schemas
 from docgrain.functions import text
-from docgrain.operators import records
+from docgrain.operators import quality, records
 from docgrain.plans.page_queries import URL_SQL
 from docgrain.plans.registry import Tables, query
-from docgrain.sources.stages import shared_dir
+from docgrain.sources import readers, sinks
+from docgrain.sources.stages import shared_dir, stage
 from docgrain.sources.versions import VersionedTable
 from docgrain.streaming import ingest
 
@@ -75,3 +76,55 @@ def q_run_selection(spark, sf_dir):
     crawled = t.customer.select(F.col("c_custkey").alias("id"))
     asked = t.orders.select(F.col("o_custkey").alias("id")).unionByName(t.supplier.select((F.col("s_suppkey") + 1_000_000).alias("id")))
     return records.run_selection(crawled, asked, t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("id")), "id")
+
+
+@query(f"""WITH {URL_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS idx, min(page_id) OVER (PARTITION BY host) AS first FROM c)
+SELECT replace(host, '.', '_') AS building_id, 'p' || idx || '.txt' AS name, raw_url AS url, CASE WHEN first % 2 = 0 THEN 'Tower ' || host ELSE host END AS building_name,
+  length(html)::INT AS html_chars, length(raw_url || chr(10) || page_id)::INT AS text_chars FROM n WHERE page_id % 7 <> 0""")
+def q_crawl_folder(spark, sf_dir):
+    """Pages written as a crawl folder of their hosts, read again through manifests, bodies and identity, written as one file a
+    building and read from there: pages that were not fetched well don't come back."""
+    pages, at = Tables(spark, sf_dir).pages, _folder(spark, "crawl")
+    rows = pages.withColumn("host", text.host("url")).withColumn("idx", F.row_number().over(Window.partitionBy("host").orderBy("page_id"))).withColumn("building_id", F.replace(F.col("host"), F.lit("."), F.lit("_")))
+    named = lambda kind: F.concat(F.lit("p"), "idx", F.lit(kind))
+    crawled = rows.select(
+        "building_id", "idx", "url", F.lit("t").alias("title"), F.lit("official_overview").alias("purpose"), F.lit("2026-06-01").alias("accessed_at"), F.when(F.col("page_id") % 7 == 0, "http_error").otherwise("ok").alias("status"),
+        named(".txt").alias("text_file"), named(".html").alias("raw_file"), F.concat("url", F.lit("\n"), "page_id").alias("text"), "html",
+    )
+    per = rows.groupBy("building_id", "host").agg(F.min("page_id").alias("first"))
+    sinks.write_crawl(crawled, per.select("building_id", F.lit(True).alias("found"), F.when(F.col("first") % 2 == 0, F.concat(F.lit("Tower "), "host")).otherwise("").alias("building_name"), F.col("host").alias("project_name")), at)
+    read = readers.load_pages(spark, at, readers.manifests(spark, at))
+    identity = readers.resolved_identity(spark, at).select("building_id", F.when(F.col("building_name").startswith("Tower "), F.col("building_name")).otherwise(F.col("project_name")).alias("building_name"))
+    stacked = read.join(identity, "building_id").select("building_id", F.lit("page").alias("bang"), F.col("name").alias("record_key"), "url", "building_name", F.length("html").alias("html_chars"), F.length("text").alias("text_chars"))
+    sinks.write_per_building(stacked, f"{at}-files")
+    back = spark.read.csv(f"{at}-files", header=True, multiLine=True, escape='"')
+    return back.select("building_id", F.col("record_key").alias("name"), "url", "building_name", F.col("html_chars").cast("int").alias("html_chars"), F.col("text_chars").cast("int").alias("text_chars"))
+
+
+@query("""WITH p AS (SELECT 'b' || p_partkey AS b, p_partkey AS k, p_size AS z FROM part)
+SELECT b AS building_id, 'V2' AS rule, b || '__t' AS record, 'rooms ' || (70.0::DOUBLE + z) || ' > gross 100.0' AS message FROM p WHERE z > 30
+UNION ALL SELECT b, 'V3', b || '__t', 'walls ' || (30.0::DOUBLE - z) || ' %' FROM p WHERE z <= 30 AND NOT z BETWEEN 15 AND 25 UNION ALL SELECT b, 'V4', b || '__t', 'bedrooms 1 of 2' FROM p WHERE z % 2 = 1
+UNION ALL SELECT b, 'V5', b, 'units ' || (60 + z) || ' of 100' FROM p WHERE NOT z BETWEEN 38 AND 42 UNION ALL SELECT b, 'V7', b, 'units by floor ' || (10 * z) || ' of 100' FROM p WHERE NOT z BETWEEN 9 AND 11
+UNION ALL SELECT b, 'V6', b, 'shares sum to 50.0' FROM p WHERE z = 13 UNION ALL SELECT b, 'V8', b || '__t', 'area basis missing' FROM p WHERE z % 5 = 0 UNION ALL SELECT b, 'V9', b || '__t', 'net ' || (60.0::DOUBLE + z) || ' > gross 100.0' FROM p WHERE z > 40
+UNION ALL SELECT b, 'V10', 'p' || k, 'missing: market' FROM p WHERE z % 4 = 0 UNION ALL SELECT b, 'V11', 'p' || k, 'no price' FROM p WHERE z % 6 = 0 UNION ALL SELECT b, 'V12', b, 'latitude = ' || (4.0::DOUBLE * z) FROM p WHERE z > 22
+UNION ALL SELECT min(b), 'V1', 'h' || z, 'key empty or repeated, rows: ' || count(*) FROM p GROUP BY z HAVING count(*) > 1
+UNION ALL SELECT min(b), 'V1', NULL, 'key empty or repeated, rows: ' || count(*) FROM p WHERE z = 7 HAVING count(*) > 0""")
+def q_all_warnings(spark, sf_dir):
+    """All rules over seven tables written from the parts, as one list."""
+    z = F.col("p_size")
+    part = Tables(spark, sf_dir).part.select("p_partkey", "p_size", F.concat(F.lit("b"), "p_partkey").alias("building_id"))
+    key = lambda kind: F.concat("building_id", F.lit(kind))
+    rooms = F.array(F.struct(F.lit("r1").alias("c"), F.lit("bep").alias("room_type"), F.lit(40.0).alias("area_m2")), F.struct(F.lit("r2").alias("c"), F.lit("phong_ngu_2").alias("room_type"), (z + 30.0).alias("area_m2")))
+    made = {
+        "building": part.select("building_id", F.lit(100).alias("num_units_total"), (z * 4.0).alias("latitude")),
+        "unit_type": part.select(key("__t").alias("unit_type_id"), "building_id", (z + 60).alias("num_units_of_type"), F.when(z == 13, 50.0).otherwise(100.0).alias("share_of_total_pct"), F.lit(100.0).alias("area_gross_m2"), (z + 60.0).alias("area_net_m2"), F.when(z % 5 != 0, "thong_thuy").alias("area_basis_reported"), (z % 2 + 1).alias("bedrooms")),
+        "unit_room": part.select(key("__t").alias("unit_type_id"), F.explode(rooms).alias("r")).select(F.concat("unit_type_id", F.lit("__"), "r.c").alias("room_id"), "unit_type_id", "r.room_type", "r.area_m2"),
+        "floor_plate": part.select(key("__f").alias("floor_plate_id"), "building_id", F.lit("1-10").alias("floor_range"), z.alias("units_per_floor")),
+        "handover_item": part.select(F.concat(F.lit("h"), z).alias("handover_id"), "building_id"),
+        "amenity": part.select(F.when(z != 7, key("__a")).alias("amenity_id"), "building_id"),
+        "price_obs": part.select(
+            F.concat(F.lit("p"), "p_partkey").alias("price_id"), "building_id", F.when(z % 4 != 0, "so_cap").alias("market"), F.lit("JPY").alias("currency"), F.lit("per_unit").alias("price_unit"), F.lit("khong_ro").alias("price_basis"),
+            F.lit("2026-05").alias("period"), F.when(z % 6 != 0, 1.0).alias("price_avg"),
+        ),
+    }
+    return quality.check({name: stage(records.project(rows, schemas.TABLES[name]), f"checked-{name}") for name, rows in made.items()})

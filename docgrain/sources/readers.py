@@ -76,8 +76,18 @@ def missing_sources(buildings: DataFrame, sources: DataFrame) -> DataFrame:
     return buildings.join(sources.select("building_id").distinct(), "building_id", "left_anti").select("building_id", F.lit("no source file").alias("error"))
 
 
+def _crawl_file(pattern: str) -> str:
+    """A file of each building's folder: as crawlers leave it, or as ``sinks.write_crawl`` does, a folder of its name."""
+    return f"*/{{{pattern},file={pattern}}}"
+
+
+def _owner() -> Column:
+    path = F.col("_metadata.file_path")
+    return F.coalesce(F.nullif(F.regexp_extract(path, r"/building_id=([^/]*)/file=[^/]*/[^/]*$", 1), F.lit("")), F.element_at(F.split(path, "/"), -2))
+
+
 def manifests(spark: SparkSession, raw_dir: str) -> DataFrame:
-    return spark.read.schema(schemas.MANIFEST).json(f"{raw_dir}/*/manifest.json", multiLine=True)
+    return spark.read.schema(schemas.MANIFEST).json(f"{raw_dir}/{_crawl_file('manifest.json')}", multiLine=True)
 
 
 def manifest_sources(manifest: DataFrame) -> DataFrame:
@@ -87,7 +97,10 @@ def manifest_sources(manifest: DataFrame) -> DataFrame:
 def load_pages(spark: SparkSession, raw_dir: str, manifest: DataFrame) -> DataFrame:
     """Pages that were fetched well, with the bodies of their text and HTML files; a missing file is an empty body."""
     good = manifest_sources(manifest).where("status = 'ok' AND text_file IS NOT NULL")
-    body = lambda pattern, name: spark.read.text(f"{raw_dir}/*/{pattern}", wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("building_id"), F.col("_metadata.file_name").alias(name + "_file"), F.col("value").alias(name))
+    path, written = F.col("_metadata.file_path"), r"/file=([^/]*)/[^/]*$"
+    name_of = F.coalesce(F.nullif(F.regexp_extract(path, written, 1), F.lit("")), F.col("_metadata.file_name"))
+    value = F.when(path.rlike(written), F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value"))  # the end of its only row
+    body = lambda pattern, name: spark.read.text(f"{raw_dir}/{_crawl_file(pattern)}", wholetext=True).select(_owner().alias("building_id"), name_of.alias(name + "_file"), value.alias(name))
     joined = good.join(body("*.txt", "text"), ["building_id", "text_file"], "left").join(body("*.html", "raw"), ["building_id", "raw_file"], "left")
     return joined.select(
         "building_id", F.col("idx").alias("page_idx"), F.col("text_file").alias("name"), "url", "purpose", F.coalesce("page_title", "title").alias("title"),
@@ -97,15 +110,15 @@ def load_pages(spark: SparkSession, raw_dir: str, manifest: DataFrame) -> DataFr
 
 def resolved_identity(spark: SparkSession, raw_dir: str) -> DataFrame:
     """building_id with its resolved names; without a name the id in title case."""
-    rows = spark.read.schema(schemas.RESOLVED).json(f"{raw_dir}/*/sources.json", multiLine=True).withColumn("building_id", F.element_at(F.split("_metadata.file_path", "/"), -2))
+    rows = spark.read.schema(schemas.RESOLVED).json(f"{raw_dir}/{_crawl_file('sources.json')}", multiLine=True).withColumn("building_id", _owner())
     name = F.coalesce(blank_to_null("resolved.building_name"), F.initcap(F.replace(F.col("building_id"), F.lit("_"), F.lit(" "))))
     return rows.select("building_id", name.alias("building_name"), *[F.col(f"resolved.{c}") for c in ("building_name_local", "project_name", "country", "city", "official_website", "developer")])
 
 
 def saved_floorplans(spark: SparkSession, raw_dir: str) -> DataFrame:
     """One row a plan, with its rooms."""
-    rows = spark.read.schema(schemas.FLOORPLANS).json(f"{raw_dir}/*/extract_floorplan.json", multiLine=True)
-    return rows.select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("building_id"), F.posexplode("plans").alias("plan_idx", "p")).select("building_id", "plan_idx", "p.*")
+    rows = spark.read.schema(schemas.FLOORPLANS).json(f"{raw_dir}/{_crawl_file('extract_floorplan.json')}", multiLine=True)
+    return rows.select(_owner().alias("building_id"), F.posexplode("plans").alias("plan_idx", "p")).select("building_id", "plan_idx", "p.*")
 
 
 def saved_records(spark: SparkSession, path: str, table: str) -> DataFrame:
