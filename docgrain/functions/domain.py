@@ -15,6 +15,10 @@ def _int(s: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract(s, pattern, group).try_cast("int")
 
 
+# The patterns in the expressions of this file are fixed values: of storeys, years and layouts, of companies and districts, of
+# heights and ceilings, of counters, of the words of addresses and of the marks of a state.
+
+
 def floors(c: Column | str) -> Column:
     """struct(above, below); without an above-ground word the first "N floors built" counts, a basement's too."""
     return let(clean(c), _floors)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docgrain.functions.text import clean, clean_literal, let
 
+#: The patterns of numbers and of the marks of a range.
 NUMBER = r"[-+]?\d[\d,]*(?:\.\d+)?"
 RANGE_MARK = r"[~〜～]|\bto\b|—|–"
 #: Square metres in one unit of area.

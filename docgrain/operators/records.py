@@ -149,8 +149,9 @@ def run_selection(ids: DataFrame, only: DataFrame | None, done: DataFrame, key:
 
 
 def select_run(ids: DataFrame, only: DataFrame | None, done: DataFrame, limit: int | None, key: str = "building_id") -> DataFrame:
-    """Wanted ids that are not done, in order, at most ``limit``; ``run_selection`` also has those that are done or absent."""
-    rows = run_selection(ids, only, done, key).where("state = 'run'").select(key).orderBy(key)
+    """Wanted rows of ``ids`` that are not done, in order, at most ``limit``; ``run_selection`` also tells which are done or absent."""
+    rows = ids if only is None else ids.join(only.select(key).distinct(), key, "left_semi")
+    rows = rows.join(done.select(key).distinct(), key, "left_anti").orderBy(key)
     return rows if limit is None else rows.limit(limit)
 
 

@@ -181,12 +181,12 @@ def q_skip_done(spark, sf_dir):
     return records.select_run(ids, only, done, None)
 
 
-@query("""WITH q AS (SELECT c_custkey, c_name AS query FROM customer), o AS (SELECT c_name AS query, 'o' || c_custkey AS id FROM customer WHERE c_custkey % 10 = 0), i AS (SELECT c_name AS query, 'i' || c_custkey AS id FROM customer WHERE c_custkey % 5 = 0)
-SELECT q.query, coalesce(o.id, i.id, regexp_replace(lower(q.query), '[^a-z0-9]+', '_', 'g')) AS building_id FROM q LEFT JOIN o USING (query) LEFT JOIN i USING (query)""")
+@query("""WITH q AS (SELECT c_custkey, c_name AS query FROM customer), o AS (SELECT c_name AS query, 'o' || c_custkey AS id FROM customer WHERE c_custkey % 10 = 0), i AS (SELECT c_name AS query, 'i' || c_custkey AS id FROM customer WHERE c_custkey % 5 = 0), s AS (SELECT c_name AS query, 's' || c_custkey AS id FROM customer WHERE c_custkey % 3 = 0)
+SELECT q.query, coalesce(o.id, i.id, s.id, regexp_replace(lower(q.query), '[^a-z0-9]+', '_', 'g')) AS building_id FROM q LEFT JOIN o USING (query) LEFT JOIN i USING (query) LEFT JOIN s USING (query)""")
 def q_resolve_ids(spark, sf_dir):
     c = Tables(spark, sf_dir).customer.select(F.col("c_name").alias("query"), "c_custkey")
     given = lambda n, p: c.where(F.col("c_custkey") % n == 0).select("query", F.concat(F.lit(p), F.col("c_custkey")).alias("building_id"))
-    return records.resolve_ids(c.select("query"), given(10, "o"), given(5, "i"), given(1, "s").limit(0), text.slug("query"))
+    return records.resolve_ids(c.select("query"), given(10, "o"), given(5, "i"), given(3, "s"), text.slug("query"))
 
 
 @query("""SELECT l_orderkey AS building_id, l_linenumber AS line, CASE WHEN l_partkey % 4 = 0 THEN 'u' || l_suppkey END AS source_url FROM lineitem""")

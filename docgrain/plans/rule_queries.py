@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docgrain.functions import domain, numbers, text
@@ -187,8 +188,9 @@ def q_stack_order(spark, sf_dir):
 def q_report_page(spark, sf_dir):
     """The third page of twenty of a report: by segment, ties by completeness, then by name in lower case."""
     rows = Tables(spark, sf_dir).customer.select("c_custkey", F.upper("c_name").alias("building_name"), "c_mktsegment", F.round("c_acctbal").alias("completeness"))
-    page = stack.report_page(rows, [F.desc("c_mktsegment")], page=2, size=20).collect()  # a page of a report is a bounded feature
-    return spark.createDataFrame([(r.c_custkey, r.building_name.lower(), 41 + i) for i, r in enumerate(page)], "c_custkey long, name string, place int")
+    page = stack.report_page(rows, [F.desc("c_mktsegment")], page=2, size=20)
+    place = F.row_number().over(Window.orderBy(F.desc("c_mktsegment"), F.desc("completeness"), F.lower("building_name"))) + 40  # over the twenty rows of the page
+    return page.select("c_custkey", F.lower("building_name").alias("name"), place.cast("int").alias("place"))
 
 
 @query("SELECT max(o_orderdate)::DATE::VARCHAR AS newest, (SELECT count(*) FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)) AS orders FROM orders")
