@@ -2,8 +2,10 @@
 
 Trusted positives are documents labelled 1; the unlabelled text is a sample of all training documents, good and bad, of
 which a prior share, estimated from the two samples alone, is positive. The non-negative unbiased risk
-``prior * E_p[l(z)] + max(0, E_u[l(-z)] - prior * E_p[l(-z)])`` with the logistic loss is minimised by mini-batches, so the
-score is a probability of label 1. Only the text is an input: shares of bytes, lengths and repetition of words and lines.
+``prior * E_p[l(z)] + max(0, E_u[l(-z)] - prior * E_p[l(-z)])`` with the logistic loss is minimised by mini-batches, once on
+each half of both samples. The half that a fit has not seen makes its values probabilities: by Bayes' rule the chance of
+label 1 at a value is prior times the density of positives there over that of the unlabelled. The score is the mean of both
+fits. Only the text is an input: shares of bytes, lengths and repetition of words and lines.
 """
 
 from __future__ import annotations
@@ -68,17 +70,18 @@ def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     return np.array([np.frombuffer(r.x, np.float32) for r in rows]).reshape(-1, FEATURES)
 
 
-def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 0, least: float = 0.05) -> float:
-    """The share of positives among the unlabelled, from the two samples alone: no label 0 is used.
+#: Shares of the positives at whose values the bins of the calibration are cut.
+CUTS = (0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.9, 0.95, 0.98, 0.99, 0.995)
 
-    A score fitted on one half of both samples ranks the other half. Above any threshold the unlabelled can hold no fewer
-    than prior times the share of positives there, so the least ratio of the two shares, with its margin of error, over
-    thresholds that leave at least ``least`` of the positives, is the estimate.
+
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.05) -> float:
+    """The share of positives among the unlabelled, from values of both that their fit has not seen: no label 0 is used.
+
+    Above any threshold the unlabelled can hold no fewer than prior times the share of positives there, so the least ratio
+    of the two shares, with its margin of error, over thresholds that leave at least ``least`` of the positives, is the
+    estimate.
     """
-    half = lambda x: (x[::2], x[1::2]) if len(x) > 1 else (x, x)
-    (p, p_held), (u, u_held) = half(positive), half(unlabelled)
-    pilot = fit(p, u, 0.5, seed=seed)
-    zp, zu = np.sort(score(pilot, p_held)), np.sort(score(pilot, u_held))
+    zp, zu = np.sort(positive), np.sort(unlabelled)
     cuts = zp[: max(1, int(len(zp) * (1 - least)))]
     share_p = 1 - np.searchsorted(zp, cuts, side="left") / len(zp)
     share_u = 1 - np.searchsorted(zu, cuts, side="left") / len(zu)
@@ -87,24 +90,53 @@ def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 0,
     return float(np.clip(share_u[at] / share_p[at], 0.05, 0.95))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 4000, batch: int = 512, rate: float = 0.01, decay: float = 1e-4, seed: int = 0) -> dict:
-    """Weights of a linear score that minimises the non-negative risk; Adam, fixed seed."""
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 2000, batch: int = 512, rate: float = 0.01, decay: float = 1e-4, seed: int = 0) -> dict:
+    """Weights of a linear value that minimises the non-negative risk; Adam, fixed seed."""
     mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-2
-    p, u = np.clip((positive - mean) / scale, -8, 8), np.clip((unlabelled - mean) / scale, -8, 8)
+    p, u = (np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))]).astype(np.float32) for x in (positive, unlabelled))
     random = np.random.default_rng(seed)
-    w = np.zeros(p.shape[1] + 1)
+    w = np.zeros(p.shape[1], np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for t in range(1, steps + 1):
-        xp, xu = (np.hstack([x[random.integers(0, len(x), batch)], np.ones((batch, 1))]) for x in (p, u))
+        xp, xu = (x[random.integers(0, len(x), batch)] for x in (p, u))
         zp, zu = xp @ w, xu @ w
         as_bad = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()  # the risk of the negatives among the unlabelled
-        of_bad = xu.T @ sigmoid(zu) / batch - prior * xp.T @ sigmoid(zp) / batch
-        grad = -prior * xp.T @ sigmoid(-zp) / batch + of_bad if as_bad >= 0 else -of_bad
+        of_bad = (xu.T @ sigmoid(zu) - prior * (xp.T @ sigmoid(zp))) / batch
+        grad = -prior * (xp.T @ sigmoid(-zp)) / batch + of_bad if as_bad >= 0 else -of_bad
         grad = grad + decay * w
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        w -= rate * (1 - t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return {"mean": mean, "scale": scale, "w": w, "prior": prior}
+        w = w - rate * (1 - t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    return {"mean": mean, "scale": scale, "w": w.astype(np.float64)}
+
+
+def value(fitted: dict, x: np.ndarray) -> np.ndarray:
+    """What a fit gives texts, unbounded; larger for label 1."""
+    return np.clip((x - fitted["mean"]) / fitted["scale"], -8, 8) @ fitted["w"][:-1] + fitted["w"][-1]
+
+
+def calibration(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Values and the chance of label 1 at each, from values that the fit has not seen.
+
+    Bins are cut at values of the positives; half a text is added to each bin's unlabelled ones. Beyond the values that
+    nearly all positives have the chance is what the outer bins say: little, where many unlabelled texts lie there.
+    """
+    edges = np.unique(np.quantile(positive, CUTS))
+    bins = np.r_[-np.inf, edges, np.inf]
+    p, u = np.histogram(positive, bins)[0] / len(positive), (np.histogram(unlabelled, bins)[0] + 0.5) / len(unlabelled)
+    return np.r_[edges[0], (edges[1:] + edges[:-1]) / 2, edges[-1]], np.clip(prior * p / u, 0, 1)
+
+
+def fit_halves(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 0) -> dict:
+    """The prior and both fits with their calibrations, each from the half that the other one learnt from."""
+    halves = [(x[::2], x[1::2]) if len(x) > 1 else (x, x) for x in (positive, unlabelled)]
+    pilot = fit(halves[0][0], halves[1][0], 0.5, steps=1000, seed=seed)
+    prior = estimated_prior(value(pilot, halves[0][1]), value(pilot, halves[1][1]))
+    parts = []
+    for k in (0, 1):
+        fitted = fit(halves[0][k], halves[1][k], prior, seed=seed)
+        parts.append(fitted | {"chance": calibration(value(fitted, halves[0][1 - k]), value(fitted, halves[1][1 - k]), prior)})
+    return {"prior": prior, "parts": parts}
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED, seed: int = 0) -> dict | None:
@@ -113,14 +145,20 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     good = labels.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("q")).where("q = 1")
     xp = _features_of(docs, _sample(good, positives, seed))
     xu = _features_of(docs, _sample(docs.where(~held_out() & F.col("doc_id").isNotNull()), unlabelled, seed + 1))
-    return fit(xp, xu, estimated_prior(xp, xu, seed), seed=seed) if len(xp) and len(xu) else None
+    # rows come in no order of their own: the halves are those of sorted rows
+    xp, xu = (x[np.lexsort(x.T[::-1])] for x in (xp, xu))
+    return fit_halves(xp, xu, seed) if len(xp) and len(xu) else None
 
 
 def score(model: dict | None, x: np.ndarray) -> np.ndarray:
+    """The mean chance of both fits; a hundredth follows the value itself, so that texts of equal chance keep its order."""
     if model is None:
         return np.full(len(x), 0.5)
-    z = np.clip((x - model["mean"]) / model["scale"], -8, 8)
-    return 1 / (1 + np.exp(-np.clip(z @ model["w"][:-1] + model["w"][-1], -30, 30)))
+    out = np.zeros(len(x))
+    for part in model["parts"]:
+        z, (at, chance) = value(part, x), part["chance"]
+        out += 0.99 * np.interp(z, at, chance) + 0.01 / (1 + np.exp(-np.clip(z - at[0], -30, 30)))
+    return np.clip(out / len(model["parts"]), 0, 1)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

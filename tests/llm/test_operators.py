@@ -457,6 +457,8 @@ def test_quality(spark, docs):
     assert abs(model["prior"] - sum(truth.values()) / len(truth)) < 0.15
     held = [(r.predicted, truth[r.doc_id]) for r in out if r.held_out and r.doc_id in truth]
     assert sum(p == q for p, q in held) / len(held) > 0.9
+    again = {r.doc_id: r.score for r in quality.score_documents(table.repartition(5), labels).collect()}
+    assert all(abs(again[r.doc_id] - r.score) < 1e-9 for r in out)
     odd = quality.score_documents(docs, labels).collect()
     assert len(odd) == docs.count()
     assert quality.good_rows(table, labels).columns == table.columns
@@ -464,6 +466,28 @@ def test_quality(spark, docs):
     assert {r.score for r in quality.score_documents(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_of_both_labels(spark):
+    """Held-out documents of either label, over ten thousand documents."""
+    sf = "/root/testdata/sf0.1"
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(r.predicted, truth[r.doc_id], r.score) for r in quality.op7_quality_pu(spark, sf).where("held_out").collect() if r.doc_id in truth]
+    share = lambda q: sum(p == q for p, y, _ in held if y == q) / sum(y == q for _, y, _ in held)
+    assert share(0) >= 0.95 and share(1) >= 0.98
+    bad, good = (np.array([z for _, y, z in held if y == q]) for q in (0, 1))
+    assert (good[:, None] > bad[None, :]).mean() > 0.99
+
+
+def test_quality_fit_by_halves():
+    """Two normal clouds: the prior, and the chance of label 1 as Bayes' rule has it for the true densities."""
+    r = np.random.default_rng(0)
+    good, bad = (lambda n: r.normal(size=(n, 4)) + 1.0), (lambda n: r.normal(size=(n, 4)) - 1.0)
+    model = quality.fit_halves(good(6000), np.vstack([good(4200), bad(1800)])[r.permutation(6000)])
+    assert abs(model["prior"] - 0.7) < 0.05
+    x = np.vstack([good(2000), bad(2000)])
+    true = 1 / (1 + 0.3 / 0.7 * np.exp(-2 * x.sum(1)))
+    assert np.abs(quality.score(model, x) - true).mean() < 0.06
+
+
 # 8 ----------------------------------------------------------------------------------------------------------------------
 def test_permutation(spark):
     for n in (1, 2, 3, 10, 97, 1000):
