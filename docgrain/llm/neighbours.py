@@ -28,11 +28,11 @@ CURVES, DIMENSIONS, BITS = 12, 4, 12
 #: place the cuts (about as many at most).
 SAMPLE, SAMPLE_QUERIES, SAMPLE_KEYS = 4096, 256, 1 << 17
 RECALL = 0.96
-#: Numbers of cells tried: no cell is to hold fewer rows, or sampled keys, than so many on average.
-CELLS = (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 768, 1024, 1536, 2048, 3072, 4096, 6144, 8192, 12288, 16384)
-ROWS_PER_CELL, KEYS_PER_CELL = 32, 8
+#: Rows that a cell is to hold at least, on average.
+ROWS_PER_CELL = 32
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 16_384, 4_096
-MOST_LENGTHS = 16
+#: Lengths of vectors that get curves of their own, the most frequent ones; the rest is compared exactly, in blocks.
+FITTED_LENGTHS = 16
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -72,23 +72,31 @@ class Curves:
         self.shift = [random.random(d) for _ in range(curves)]
         self.low = [(sample @ a).min(0) for a in self.axes]
         self.span = [np.maximum((sample @ a).max(0) - low, 1e-12) for a, low in zip(self.axes, self.low)]
-        self.cells, self.cuts = 1, [np.zeros(0, np.uint64)] * curves
+        self.cells, self.held = 1, [np.zeros(1)] * curves
 
     def cut(self, keys: np.ndarray, asked: np.ndarray, near: np.ndarray, most: float, recall: float) -> None:
-        """Cut curves to as many cells as leave ``recall`` of the pairs (``asked``, ``near``) together; rows of keys, columns of curves."""
-        if not len(near):
+        """Cut curves to as many cells, ``most`` at most, as leave ``recall`` of the pairs (``asked``, ``near``) together.
+
+        What is held are ordered keys of sampled rows (one column a curve); cells are equal shares of the rows as these keys
+        have it, in straight lines between them, so their number may grow with the table while the sample stays.
+        """
+        if not len(near) or not len(keys):
             return
-        ordered = np.sort(keys, axis=0)
-        for cells in CELLS:
-            if cells > most or cells * KEYS_PER_CELL > len(keys):
-                break
-            cuts = list(ordered[np.arange(1, cells) * len(keys) // cells].T)
+        self.held = list(np.sort(keys, axis=0).T.astype(np.float64))
+        cells = 4
+        while cells <= most:
             found = np.zeros(len(near), bool)
-            for c, edges in enumerate(cuts):
-                found |= np.abs(np.searchsorted(edges, near[:, c], side="right") - np.searchsorted(edges, asked[:, c], side="right")) <= 1
+            for c in range(len(self.held)):
+                found |= np.abs(self._cells(c, near[:, c], cells) - self._cells(c, asked[:, c], cells)) <= 1
             if found.mean() < recall:
                 break
-            self.cells, self.cuts = cells, cuts
+            self.cells = cells
+            cells = cells * 3 // 2 if cells & (cells - 1) == 0 else cells * 4 // 3
+
+    def _cells(self, curve: int, keys: np.ndarray, cells: int) -> np.ndarray:
+        held = self.held[curve]
+        at = np.interp(keys.astype(np.float64), held, (np.arange(len(held)) + 0.5) / len(held))
+        return np.minimum((at * cells).astype(np.int64), cells - 1)
 
     def all_keys(self, x: np.ndarray) -> np.ndarray:
         return np.stack([self.keys(c, x) for c in range(len(self.axes))], axis=1)
@@ -98,7 +106,7 @@ class Curves:
         return hilbert_keys(((unit + self.shift[curve]) / 2 * ((1 << BITS) - 1)).astype(np.int64))
 
     def cell(self, curve: int, x: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.cuts[curve], self.keys(curve, x), side="right")
+        return self._cells(curve, self.keys(curve, x), self.cells)
 
 
 def usable(vector: str) -> Column:
@@ -174,19 +182,20 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, recall:
     """query_id, rank, vec_id, score: the ``k`` nearest rows found for each row of ``vectors`` that ``queries`` holds for.
 
     Nearest is the largest inner product in double precision. Null, zero and non-finite vectors, and rows without an id,
-    take no part. Vectors are compared with those of their own length; more than ``MOST_LENGTHS`` lengths in one table are
-    an error. Rows that share an id count
-    as one candidate with their best score and never find each other; ties go to the smaller id; fewer candidates give
+    take no part. Vectors are compared with those of their own length; curves are fitted to the ``FITTED_LENGTHS`` most
+    frequent lengths, and vectors of others meet all of their length, in blocks. Rows that share an id count as one candidate with their best score and never find each other; ties go to the smaller id; fewer candidates give
     fewer rows; an empty table gives an empty result; other columns are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), queries.alias("is_query"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable("vector"))
-    lengths = sorted(r.n for r in rows.select(F.size("vector").alias("n")).distinct().limit(MOST_LENGTHS + 1).collect())
-    if len(lengths) > MOST_LENGTHS:
-        raise ValueError(f"vectors of more than {MOST_LENGTHS} lengths")
+    counted = rows.groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("rows"))
+    lengths = sorted(r.n for r in counted.orderBy(F.desc("rows"), "n").limit(FITTED_LENGTHS + 1).collect()[:FITTED_LENGTHS])
     if not lengths:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    found = reduce(DataFrame.unionByName, [_found(rows.where(F.size("vector") == n), k, recall, seed) for n in lengths])
+    parts = [_found(rows.where(F.size("vector") == n), k, recall, seed) for n in lengths]
+    if len(lengths) == FITTED_LENGTHS:
+        parts.append(_compared(rows.where(~F.size("vector").isin(lengths)), k))
+    found = reduce(DataFrame.unionByName, parts)
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -257,11 +266,28 @@ def _found(rows: DataFrame, k: int, recall: float, seed: int) -> DataFrame:
     fitted = fit(rows, k, recall, seed)
     placed = materialize(_cells(rows.select("vec_id", "vector"), fitted, 0), "nn-rows")
     asked = materialize(_cells(rows.where("is_query").select("vec_id", "vector"), fitted, 1), "nn-queries")
-    # one row a cell: at most curves x cells, both bounded
-    parts = lambda df, per, name: df.groupBy("curve", "cell").agg(F.ceil(F.count("*") / per).cast("int").alias(name))
-    plan = F.broadcast(parts(placed, ROWS_PER_BLOCK, "n_r").join(parts(asked, QUERIES_PER_BLOCK, "n_q"), ["curve", "cell"]))
-    spread = lambda df, own, other, a, b: df.join(plan, ["curve", "cell"]).withColumn(a, F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int")).withColumn(b, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-    block = ["curve", "cell", "r", "q"]
+    return _met(placed, asked, ["curve", "cell"], k)
+
+
+def _compared(rows: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score: the best of each block, all queries against all rows of their length."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.array(v, np.float64) for v in batch.column(1).to_pylist()]
+            arrays = [pa.array([len(v) for v in values], pa.int32()), batch.column(0), pa.array([v.tobytes() for v in values], pa.binary()), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(arrays, ["length", "vec_id", "vector", "is_query"])
+
+    packed = materialize(rows.mapInArrow(pack, "length int, vec_id long, vector binary, is_query boolean"), "nn-rest")
+    return _met(packed, materialize(packed.where("is_query"), "nn-rest-queries"), ["length"], k)
+
+
+def _met(placed: DataFrame, asked: DataFrame, group: list[str], k: int) -> DataFrame:
+    """query_id, vec_id, score: the best of each block that queries meet; large groups are cut into blocks of both sides."""
+    parts = lambda df, per, name: df.groupBy(*group).agg(F.ceil(F.count("*") / per).cast("int").alias(name))
+    plan = parts(placed, ROWS_PER_BLOCK, "n_r").join(parts(asked, QUERIES_PER_BLOCK, "n_q"), group)
+    spread = lambda df, own, other, a, b: df.join(plan, group).withColumn(a, F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int")).withColumn(b, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+    block = [*group, "r", "q"]
     left = spread(placed, "n_r", "n_q", "r", "q").select(*block, "vec_id", "vector")
     right = spread(asked, "n_q", "n_r", "q", "r").select(*block, "vec_id", "vector")
     return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(_nearest(k), "query_id long, vec_id long, score double")

@@ -163,6 +163,30 @@ def test_secrets_models(spark):
     assert len(found & set(range(60))) >= 57 and not found - set(range(60))
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_secrets_rates(spark, sf):
+    """Ordinary snake, camel and path names of 20 to 60 characters, and random strings of four alphabets, on models of whole tables."""
+    ratio = secrets.train(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet"))
+    r = random.Random(7)
+    vocabulary = "get set user name config value list index item count file path open close read write buffer token parse node tree build request response handler error message update delete insert query table column row batch stream event state cache key hash map filter sort group merge split join load save start stop time date first last next previous width height color image page text line word number default internal external service client server manager factory version".split()
+
+    def name(kind):
+        while True:
+            w = [r.choice(vocabulary) for _ in range(r.randint(3, 8))]
+            t = "_".join(w) if kind == 0 else w[0] + "".join(x.capitalize() for x in w[1:]) if kind == 1 else "/".join(w) if kind == 2 else "-".join(w)
+            if 20 <= len(t) <= 60:
+                return t
+
+    names = [name(i % 4) for i in range(800)]
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = [lower + digits, lower + lower.upper() + digits, lower + lower.upper() + digits + "+/", lower + lower.upper() + digits + "-_"]
+    strings = ["".join(r.choice(alphabets[i % 4]) for _ in range(r.randint(24, 60))) for i in range(800)]
+    rows = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(names + strings)], "doc_id long, text string")
+    found = {x.doc_id for x in secrets.scan_documents(rows, ratio).where("n_markov > 0").collect()}
+    assert sum(i < 800 for i in found) <= 16, [names[i] for i in found if i < 800]
+    assert sum(i >= 800 for i in found) >= 760
+
+
 def brute_markov(texts):
     """Model spans of each text from counts of character pairs, one text and one token at a time."""
     alphabet, token = secrets.ALPHABET.decode(), r"[A-Za-z0-9+/_=-]"
@@ -187,7 +211,9 @@ def brute_markov(texts):
         sums = {a: sum(counts[kind][a, b] for b in alphabet) for a in alphabet}
         tables[kind] = {(a, b): counts[kind][a, b] / sums[a] for a in alphabet for b in alphabet}
     ratio = {p: np.log(0.5 * tables[True][p] + 0.5 / n) - np.log(tables[False][p]) for p in tables[True]}
-    mean = lambda s: np.mean([ratio[p] for p in zip(s, s[1:])])
+    telling = lambda s: [p for p in zip(s, s[1:]) if not set(p) & set("+/_=-")]
+    lower = lambda s: [ratio[a.lower(), b.lower()] for a, b in telling(s) if not ("A" <= b <= "Z" and not "A" <= a <= "Z")]
+    mean = lambda s: min(np.mean([ratio[p] for p in telling(s)] or [0.0]), np.mean(lower(s) or [0.0]))
     out = []
     for t, span in zip(texts, marks):
         open_ = "".join("\n" if s else c for c, s in zip(t, span))
@@ -590,8 +616,19 @@ def test_neighbours_lengths_and_odd_values(spark):
         want = sorted(((float((good[q] * v).sum()), i) for i, v in good.items() if i != q and len(v) == len(good[q])), key=lambda c: (-c[0], c[1]))[:20]
         assert [i for i, _ in by[q]] == [i for _, i in want]
     assert 300 not in by and 320 not in by
-    with pytest.raises(ValueError):
-        neighbours.nearest_neighbours(spark.createDataFrame([(i, [1.0] * (i + 1)) for i in range(20)], "vec_id long, embedding array<double>"), F.lit(True))
+
+
+def test_neighbours_many_lengths(spark):
+    """Of forty lengths all are searched; those beyond the fitted ones meet all of their length."""
+    r = np.random.default_rng(8)
+    rows = [(i, r.normal(size=1 + i % 40).tolist()) for i in range(400)]
+    by = defaultdict(list)
+    found = neighbours.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, recall=2.0)
+    for g in sorted(found.collect(), key=lambda g: g["rank"]):
+        by[g.query_id].append(g.vec_id)
+    for q in range(0, 400, 20):
+        want = sorted(((float((np.array(rows[q][1]) * v).sum()), i) for i, v in rows if i != q and len(v) == len(rows[q][1])), key=lambda c: (-c[0], c[1]))[:20]
+        assert by[q] == [i for _, i in want]
 
 
 def test_neighbours_structured(spark):
