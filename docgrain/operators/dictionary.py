@@ -1,29 +1,89 @@
 """Dictionaries as tables: an inverted index on the first characters of terms meets the places of texts.
 
-Terms are a table however many they are, and no literal of a plan. Each term is filed under its first ``HEAD`` characters, a
-shorter one under itself; of a text the different runs of one to ``HEAD`` characters are sought, and only terms whose head
-stands in it are compared with it. A dictionary of a measured size below ``BROADCAST_BYTES`` is sent to the tasks, so texts are
-matched where they are read; a larger one is shuffled by heads with the runs of texts, and texts follow only for terms whose
-head was met.
+Terms are a table however many they are, and no literal of a plan. Each term is filed under its first ``HEAD`` bytes, a
+shorter one under itself. All places of a text are looked up, as vectors over Arrow batches, in ``BITS`` bits that tell which
+heads there are; those that may be one are joined with the terms, and only terms whose head stands in a text are compared
+with it. A dictionary of a measured size below ``BROADCAST_BYTES`` is sent to the tasks, so texts are
+matched where they are read; a larger one is shuffled by heads with those of texts, and texts follow only for terms whose head
+was met.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docgrain.functions import domain
 from docgrain.functions.text import CJK, clean, clean_literal, sentence_around, strip
 from docgrain.sources.stages import stage
 
 HEAD = 4
+BITS = 1 << 20
+SLICE = 1 << 20
 BROADCAST_BYTES = 16 << 20
 
 
-def _heads(text: str, lengths: list[int]) -> Column:
-    """The different runs of so many characters; those of a length are found in one pass over the text."""
-    runs = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
-    return F.array_distinct(F.concat(*runs))
+def _head_key(term: str) -> Column:
+    """The first ``HEAD`` bytes of a term as a number, with how many there are."""
+    raw = F.encode(term, "UTF-8")
+    n = F.least(F.octet_length(raw), F.lit(HEAD)).cast("long")
+    return F.conv(F.hex(F.substring(raw, 1, HEAD)), 16, 10).cast("long") + F.shiftleft(n, 32)
+
+
+def _bit(key):
+    """The place of a head among ``BITS``, for columns and for arrays alike."""
+    if isinstance(key, Column):
+        return key.bitwiseXOR(F.shiftright(key, 13)).bitwiseXOR(F.shiftright(key, 21)).bitwiseAND(F.lit(BITS - 1).cast("long"))
+    return (key ^ (key >> 13) ^ (key >> 21)) & (BITS - 1)
+
+
+def _heads_in(data: np.ndarray, at: np.ndarray, lengths: list[int], known: np.ndarray) -> np.ndarray:
+    """(text << 40 | head), each once and in order, of the heads in bytes ``data`` whose bit is known; text i is at[i] to at[i+1]."""
+    wide, found = data.astype(np.int64), []
+    for n in lengths:
+        if len(wide) < n:
+            continue
+        key = np.zeros(len(wide) - n + 1, np.int64)
+        for k in range(n):
+            key = key << 8 | wide[k : k + len(key)]
+        key |= n << 32
+        here = np.flatnonzero(known[_bit(key)])
+        owner = np.searchsorted(at, here, side="right") - 1
+        inside = here + n <= at[owner + 1]
+        found.append(owner[inside] << 40 | key[here[inside]])
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def _with_heads(texts: DataFrame, text: str, lengths: list[int], known: np.ndarray) -> DataFrame:
+    """``texts`` with the heads that stand in each text, as numbers; texts are taken in slices of about ``SLICE`` bytes."""
+    column, packed = texts.columns.index(text), np.packbits(known)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            values = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+            counts, heads, first = [], [], 0
+            while first < len(values):
+                offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+                last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE, side="right")) - 1)
+                at = offsets[first : last + 1] - offsets[first]
+                raw = values.buffers()[2]
+                data = np.frombuffer(raw, np.uint8)[offsets[first] : offsets[last]] if raw is not None and raw.size else np.zeros(0, np.uint8)
+                met = _heads_in(data, at, lengths, marked)
+                counts.append(np.bincount(met >> 40, minlength=last - first))
+                heads.append(met & ((1 << 40) - 1))
+                first = last
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads) if heads else [], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "_heads"])
+
+    return texts.mapInArrow(of, T.StructType([*texts.schema.fields, T.StructField("_heads", T.ArrayType(T.LongType()))]))
 
 
 def occurring(texts: DataFrame, text: str, terms: DataFrame, term: str, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -32,17 +92,19 @@ def occurring(texts: DataFrame, text: str, terms: DataFrame, term: str, most_byt
     Null texts and null or empty terms meet nothing; repeated texts and terms stay rows of their own. Columns of both sides
     must differ.
     """
-    filed = stage(terms.where(F.col(term) != "").withColumn("_head", F.left(term, F.lit(HEAD))), "dictionary")
-    # one row: the size, and which of at most HEAD lengths heads have
-    measured = filed.agg(F.sum(F.octet_length(term) + 64).alias("bytes"), F.collect_set(F.length("_head")).alias("lengths")).first()
-    runs_of = F.explode(_heads(text, sorted(measured.lengths) or [HEAD])).alias("_run")
+    filed = stage(terms.where(F.col(term) != "").withColumn("_head", _head_key(term)), "dictionary")
+    # one row: the size, and which of at most HEAD lengths heads have; then which of BITS bits are set
+    measured = filed.agg(F.sum(F.octet_length(term) + 64).alias("bytes"), F.collect_set(F.shiftright("_head", 32)).alias("lengths")).first()
+    known = np.zeros(BITS, bool)
+    known[[r[0] for r in filed.select(_bit(F.col("_head"))).distinct().collect()]] = True
     within = F.position(F.col(term), F.col(text)) > 0
+    same = F.col("_met") == F.col("_head")
     if (measured.bytes or 0) <= most_bytes:
-        sought = texts.where(F.col(text) != "").select("*", runs_of)
-        return sought.join(F.broadcast(filed), F.col("_run") == F.col("_head")).where(within).drop("_run", "_head")
+        sought = _with_heads(texts.where(F.col(text) != ""), text, sorted(measured.lengths), known)
+        return sought.select(*texts.columns, F.explode("_heads").alias("_met")).join(F.broadcast(filed), same).where(within).drop("_met", "_head")
     numbered = stage(texts.where(F.col(text) != "").withColumn("_text", F.monotonically_increasing_id()), "dictionary-texts")
-    met = numbered.select("_text", runs_of).join(filed, F.col("_run") == F.col("_head")).drop("_run", "_head")
-    return numbered.join(met, "_text").where(within).drop("_text")
+    runs = _with_heads(numbered.select("_text", text), text, sorted(measured.lengths), known).select("_text", F.explode("_heads").alias("_met"))
+    return numbered.join(runs.join(filed, same).drop("_met", "_head"), "_text").where(within).drop("_text")
 
 
 def dictionary_matches(texts: DataFrame, key: list[str], text: str, terms: DataFrame, term: str, hints: tuple = (), limit: int = 140) -> DataFrame:
