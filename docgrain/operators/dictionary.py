@@ -23,7 +23,7 @@ from docgrain.functions import domain
 from docgrain.functions.text import CJK, clean, clean_literal, sentence_around, strip
 from docgrain.sources.stages import stage
 
-HEAD = 4
+HEAD = 7
 BITS = 1 << 20
 SLICE = 1 << 20
 BROADCAST_BYTES = 16 << 20
@@ -33,31 +33,38 @@ def _head_key(term: str) -> Column:
     """The first ``HEAD`` bytes of a term as a number, with how many there are."""
     raw = F.encode(term, "UTF-8")
     n = F.least(F.octet_length(raw), F.lit(HEAD)).cast("long")
-    return F.conv(F.hex(F.substring(raw, 1, HEAD)), 16, 10).cast("long") + F.shiftleft(n, 32)
+    return F.conv(F.hex(F.substring(raw, 1, HEAD)), 16, 10).cast("long") + F.shiftleft(n, 8 * HEAD)
 
 
 def _bit(key):
     """The place of a head among ``BITS``, for columns and for arrays alike."""
     if isinstance(key, Column):
-        return key.bitwiseXOR(F.shiftright(key, 13)).bitwiseXOR(F.shiftright(key, 21)).bitwiseAND(F.lit(BITS - 1).cast("long"))
-    return (key ^ (key >> 13) ^ (key >> 21)) & (BITS - 1)
+        return key.bitwiseXOR(F.shiftright(key, 17)).bitwiseXOR(F.shiftright(key, 39)).bitwiseAND(F.lit(BITS - 1).cast("long"))
+    return (key ^ (key >> 17) ^ (key >> 39)) & (BITS - 1)
 
 
-def _heads_in(data: np.ndarray, at: np.ndarray, lengths: list[int], known: np.ndarray) -> np.ndarray:
-    """(text << 40 | head), each once and in order, of the heads in bytes ``data`` whose bit is known; text i is at[i] to at[i+1]."""
-    wide, found = data.astype(np.int64), []
-    for n in lengths:
+def _heads_in(data: np.ndarray, at: np.ndarray, lengths: list[int], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The text and the head, each pair once and in order of texts, of heads in bytes ``data`` whose bit is known; text i is
+    at[i] to at[i+1]."""
+    wide, key = data.astype(np.int64), np.zeros(len(data), np.int64)
+    owners, heads = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in range(1, max(lengths, default=0) + 1):
         if len(wide) < n:
-            continue
-        key = np.zeros(len(wide) - n + 1, np.int64)
-        for k in range(n):
-            key = key << 8 | wide[k : k + len(key)]
-        key |= n << 32
-        here = np.flatnonzero(known[_bit(key)])
-        owner = np.searchsorted(at, here, side="right") - 1
-        inside = here + n <= at[owner + 1]
-        found.append(owner[inside] << 40 | key[here[inside]])
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            break
+        key = key[: len(wide) - n + 1] << 8 | wide[n - 1 :]
+        if n in lengths:
+            head = key | n << 8 * HEAD
+            here = np.flatnonzero(known[_bit(head)])
+            owner = np.searchsorted(at, here, side="right") - 1
+            inside = here + n <= at[owner + 1]
+            owners.append(owner[inside])
+            heads.append(head[here[inside]])
+    owner, head = np.concatenate(owners), np.concatenate(heads)
+    order = np.lexsort((head, owner))
+    owner, head = owner[order], head[order]
+    new = np.ones(len(head), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (head[1:] != head[:-1])
+    return owner[new], head[new]
 
 
 def _with_heads(texts: DataFrame, text: str, lengths: list[int], known: np.ndarray) -> DataFrame:
@@ -75,9 +82,9 @@ def _with_heads(texts: DataFrame, text: str, lengths: list[int], known: np.ndarr
                 at = offsets[first : last + 1] - offsets[first]
                 raw = values.buffers()[2]
                 data = np.frombuffer(raw, np.uint8)[offsets[first] : offsets[last]] if raw is not None and raw.size else np.zeros(0, np.uint8)
-                met = _heads_in(data, at, lengths, marked)
-                counts.append(np.bincount(met >> 40, minlength=last - first))
-                heads.append(met & ((1 << 40) - 1))
+                owner, head = _heads_in(data, at, lengths, marked)
+                counts.append(np.bincount(owner, minlength=last - first))
+                heads.append(head)
                 first = last
             ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads) if heads else [], pa.int64()))
@@ -94,10 +101,11 @@ def occurring(texts: DataFrame, text: str, terms: DataFrame, term: str, most_byt
     """
     filed = stage(terms.where(F.col(term) != "").withColumn("_head", _head_key(term)), "dictionary")
     # one row: the size, and which of at most HEAD lengths heads have; then which of BITS bits are set
-    measured = filed.agg(F.sum(F.octet_length(term) + 64).alias("bytes"), F.collect_set(F.shiftright("_head", 32)).alias("lengths")).first()
+    measured = filed.agg(F.sum(F.octet_length(term) + 64).alias("bytes"), F.collect_set(F.shiftright("_head", 8 * HEAD)).alias("lengths")).first()
     known = np.zeros(BITS, bool)
     known[[r[0] for r in filed.select(_bit(F.col("_head"))).distinct().collect()]] = True
-    within = F.position(F.col(term), F.col(text)) > 0
+    # a term that is all head stands where its head does
+    within = (F.octet_length(term) <= HEAD) | (F.position(F.col(term), F.col(text)) > 0)
     same = F.col("_met") == F.col("_head")
     if (measured.bytes or 0) <= most_bytes:
         sought = _with_heads(texts.where(F.col(text) != ""), text, sorted(measured.lengths), known)
