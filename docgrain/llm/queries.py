@@ -24,4 +24,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {"op1_line_runs": lines.OP1_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op10_chat_format": chat.OP10_SQL, "op12_conversation_repair": repair.OP12_SQL}
+    return {"op1_line_runs": lines.OP1_SQL, "op4_decontaminate": decontaminate.OP4_SQL, "op5_repeated_substrings": substrings.OP5_SQL, "op10_chat_format": chat.OP10_SQL, "op12_conversation_repair": repair.OP12_SQL}

@@ -232,3 +232,20 @@ def dedup_substrings(docs: DataFrame, least: int = LEAST, keep_first: bool = Fal
 
 def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(read_table(spark, sf_dir, "documents"))
+
+
+#: Every window of 400 bytes by its digest; slow on large tables (some 25 s for 1,000 documents).
+OP5_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT *, length(h) // 2 AS n FROM d),
+w AS (SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS m FROM (SELECT r, h, unnest(range(0, greatest(n - 399, 0))) AS i FROM n)),
+s AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY m) AS c FROM w) WHERE c > 1),
+b AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM s),
+g AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k FROM b),
+spans AS (SELECT r, min(i) AS a, max(i) + 400 AS z FROM g GROUP BY r, k),
+gaps AS (SELECT r, coalesce(lag(z) OVER o, 0) AS a, a AS z FROM spans WINDOW o AS (PARTITION BY r ORDER BY a) UNION ALL SELECT n.r, coalesce(max(spans.z), 0), any_value(n.n) FROM n LEFT JOIN spans ON n.r = spans.r GROUP BY n.r),
+kept AS (SELECT gaps.r, string_agg(substr(h, 2 * gaps.a + 1, 2 * (gaps.z - gaps.a)), '' ORDER BY gaps.a) AS h FROM gaps JOIN n ON n.r = gaps.r GROUP BY gaps.r),
+told AS (SELECT r, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT n.doc_id, n.n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM n JOIN kept ON kept.r = n.r LEFT JOIN told ON told.r = n.r
+"""
