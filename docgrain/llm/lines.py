@@ -2,17 +2,19 @@
 
 A line that occurs once in the corpus can be part of no repeated run: it ends one, as the end of its document does, and its
 position needs no rank. Every other position is a suffix that reaches to the next such end. Ids of lines are their ranks;
-at depth d all positions that agree in d lines have one rank, which is the number of positions that sort before them, so
-it is at once their place in suffix order and the left end of the interval of common prefix d. The ranks of a position and
-of the one up to d lines further on give its rank at the next depth. A position whose rank is its own, or whose suffix ends
-within the depth, is in its final place and leaves; the others go on, so the work shrinks with each round, and the number of
-rounds is the logarithm of the longest repeated run. ``least`` is one of the depths.
+at depth d all positions that agree in d lines have one rank, which counts the positions that sort before them, so it names
+the interval of common prefix d by its left end. The ranks of a position and of those d, 2d and 3d lines further on give its
+rank at depth 4d: two doublings in one round (up to ``least``, which is one of the depths, rounds double once). A position
+whose rank is its own, or whose suffix ends within the depth, is in its final place; a document in which all are goes into
+no further round, so the work shrinks, and the number of rounds is half the logarithm of the longest repeated run.
 
 Positions that share an interval of depth ``least`` share a run of so many lines; the first, in order of document and line,
 is the copy that stays, and runs that begin later overlap to the stretches that are deleted. Neighbours in suffix order
-that parted after depth d share d lines or more; how many, the ranks of the smaller depths tell, the largest first. Where
-the lines before two neighbours are neighbours as well, they share one line more, so only the first of such a chain is
-looked up.
+that parted after depth d share d lines or more; how many, the ranks of that depth and the smaller ones tell, the largest
+first. Where the lines before two neighbours are neighbours as well, they share one line more, so only the first of such a
+chain is looked up.
+
+Of rows that are equal in id and text two take part: what holds of the second holds of every later one.
 
 Ranks are summed over ranges of sorted rows, and neighbours are found inside ranges; what passes from one range to the
 next is one row a range. No rank, interval or document needs to fit in one task but the lines of a document itself.
@@ -28,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docgrain.llm.common import WORD_PATTERN, materialize, read_table, text_or_empty
+from docgrain.llm.common import WORD_PATTERN, expand_counted, materialize, read_table, text_or_empty
 
 LEAST = 2
 #: Words of a line from which on a later copy of it goes even where the lines beside it are not repeated.
 ALONE = 5
 
-POSITION = ["doc_id", "h", "line"]
+ROW = ["doc_id", "h", "copy"]
+POSITION = [*ROW, "line"]
 
 
 def _split_intervals(classes: DataFrame, name: str, key: str = "next") -> DataFrame:
@@ -60,50 +63,64 @@ def _line_ranks(docs: DataFrame, alone: int | None) -> DataFrame:
     text = text_or_empty()
     long_enough = F.lit(False) if alone is None else F.col("whole") | (F.regexp_count("words", F.lit(WORD_PATTERN)) >= alone)
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("line", "words"), (F.instr(text, "\n") == 0).alias("whole"))
-    named = lines.select(*POSITION, F.unhex(F.md5("words")).alias("name"), long_enough.alias("single"))
+    named = lines.select("doc_id", "h", "line", F.unhex(F.md5("words")).alias("name"), long_enough.alias("single"))
     # names are counted before the shuffle, and written before they are joined: both sides then have a shuffle of their own,
     # and the positions of one very common line are split among tasks
-    classes = named.groupBy("name").agg(F.count("*").alias("n"), F.min(F.struct(*POSITION)).alias("first")).where("n > 1")
+    first = F.min(F.struct("doc_id", "h", F.lit(0).alias("copy"), "line")).alias("first")
+    classes = named.groupBy("name").agg(F.count("*").alias("n"), first).where("n > 1")
     ranks = _split_intervals(classes.withColumn("rank", F.lit(0).cast("long")), "1", "name").select("name", "first", F.col("place").alias("rank"))
-    found = named.join(materialize(ranks, "lines-1-ranks"), "name").select(*POSITION, "rank", "first", "single")
-    return materialize(found.repartition("doc_id", "h").dropDuplicates(POSITION), "lines-1")
+    found = named.join(materialize(ranks, "lines-1-ranks"), "name")
+    equal = found.groupBy("doc_id", "h", "line", "rank", "first", "single").agg(F.count("*").alias("n"))
+    return materialize(equal.withColumn("copy", F.explode(F.when(F.col("n") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).select(*POSITION, "rank", "first", "single"), "lines-1")
+
+
+def _followed(known: DataFrame, step: int, pieces: int) -> DataFrame:
+    """Positions of documents with live ones; the live ones (``on``) with ``next``, the ranks that stand 1 to ``pieces``
+    steps further on (-1 from the end of a suffix, or behind a rank that is final), and ``ends``."""
+    row = Window.partitionBy(*ROW)
+    met = [F.first(F.struct("rank", "ends", "on")).over(row.orderBy("line").rangeBetween(k * step, k * step)).alias(f"m{k}") for k in range(1, pieces + 1)]
+    live = known.select("*", *met, F.bool_or("on").over(row).alias("live")).where("live")
+    goes_on, ranks, ends = F.lit(True), [], F.lit(None).cast("long")
+    for k in range(1, pieces + 1):
+        ranks.append(F.when(goes_on, F.coalesce(f"m{k}.rank", F.lit(-1))).otherwise(-1).cast("long"))
+        goes_on = goes_on & F.coalesce(f"m{k}.on", F.lit(False))
+    for k in range(pieces, 0, -1):
+        ends = F.when(F.col(f"m{k}").isNull(), F.lit(k * step).cast("long")).when(F.col(f"m{k}.on"), ends).otherwise(F.col(f"m{k}.ends") + k * step)
+    return live.select(*POSITION, "rank", "level", F.when(F.col("on"), F.array(*ranks)).alias("next"), F.when(F.col("on"), ends).otherwise(F.col("ends")).alias("ends"), "on")
 
 
 def suffix_array(docs: DataFrame, least: int = LEAST, alone: int | None = None) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
     """The levels of the doubling, as (depth, positions that share their rank there), and the final order.
 
-    A level has doc_id, h, line, rank and first, the first position of the interval (at depths 1 and ``least``, else null). The order has rank, level (the last one that a position shares with its predecessor, null for none) and
-    ends, the lines up to the end of a suffix that ended among equal ones.
+    A level has doc_id, h, copy, line, rank and first, the first position of the interval (at depths 1 and ``least``, else
+    null). The order has rank, level (the last one that a position shares with its predecessor, null for none) and ends, the
+    lines up to the end of a suffix that ended among equal ones.
     """
     base = _line_ranks(docs, alone)
-    alive = base.select(*POSITION, "rank", "first", "single", F.lit(None).cast("int").alias("level"))
-    levels, final, depth = [], [], 1
+    known = base.select(*POSITION, "rank", F.lit(None).cast("int").alias("level"), F.lit(None).cast("long").alias("ends"), F.lit(True).alias("on"))
+    levels, final, depth = [(1, base.select(*POSITION, "rank", "first", "single"))], [], 1
     while True:
-        levels.append((depth, alive))
-        step = least - depth if depth < least < 2 * depth else depth
-        ahead = Window.partitionBy("doc_id", "h").orderBy("line").rangeBetween(step, step)
-        known = reduce(DataFrame.unionByName, [x.select(*POSITION, "rank", "ends", F.lit(None).cast("int").alias("level"), F.lit(False).alias("on")) for x in final], alive.select(*POSITION, "rank", F.lit(None).cast("long").alias("ends"), "level", F.lit(True).alias("on")))
-        met = F.first(F.struct("rank", "ends")).over(ahead)
-        ended = F.when(F.col("met").isNull(), F.lit(step)).otherwise(F.col("met.ends") + step).cast("long")
-        paired = known.withColumn("met", met).where("on").select(*POSITION, "rank", "level", F.coalesce("met.rank", F.lit(-1)).alias("next"), ended.alias("ends"))
-        paired = materialize(paired, f"lines-{depth}-pairs")
-        depth += step
+        step, pieces = (min(depth, least - depth), 1) if depth < least else (depth, 3)
+        paired = materialize(_followed(known, step, pieces), f"lines-{depth}-pairs")
+        live = paired.where("on").drop("on")
+        depth += step * pieces
         firsts = [F.min(F.struct(*POSITION)).alias("first")] if depth == least else []
-        classes = paired.groupBy("rank", "next").agg(F.count("*").alias("n"), *firsts)
-        placed = _split_intervals(classes, str(depth))
+        placed = _split_intervals(live.groupBy("rank", "next").agg(F.count("*").alias("n"), *firsts), str(depth))
         shared = (F.col("n") > 1) & F.col("ends").isNull()
         moved = F.when(F.col("place") == F.col("rank"), F.col("level")).otherwise(F.lit(len(levels) - 1))
-        first = F.col("first") if firsts else F.lit(None).cast(alive.schema["first"].dataType)
+        first = F.col("first") if firsts else F.lit(None).cast(base.schema["first"].dataType)
         going_on = Observation()
-        split = materialize(paired.join(placed, ["rank", "next"]).select(*POSITION, F.col("place").alias("rank"), "ends", moved.cast("int").alias("level"), shared.alias("shared"), first.alias("first")).observe(going_on, F.count_if("shared").alias("n")), f"lines-{depth}")
-        final.append(split.where("NOT shared"))
-        alive = split.where("shared").select(*POSITION, "rank", "first", "level")
+        split = live.join(placed, ["rank", "next"]).select(*POSITION, F.col("place").alias("rank"), moved.cast("int").alias("level"), "ends", shared.alias("on"), first.alias("first"))
+        split = materialize(split.observe(going_on, F.count_if("on").alias("n")), f"lines-{depth}")
+        final.append(split.where("NOT on"))
+        levels.append((depth, split.where("on").select(*POSITION, "rank", "first")))
         if depth >= least and not going_on.get["n"]:
-            return levels + [(depth, alive)], reduce(DataFrame.unionByName, [x.select(*POSITION, "rank", "level", "ends") for x in final])
+            return levels, reduce(DataFrame.unionByName, [x.select(*POSITION, "rank", "level", "ends") for x in final])
+        known = split.drop("first").unionByName(paired.where("NOT on").drop("next"))
 
 
 def common_prefixes(levels: list[tuple[int, DataFrame]], order: DataFrame) -> DataFrame:
-    """doc_id, h, line and other (the position before it in suffix order), lcp (lines that both share), where lcp > 0.
+    """doc_id, h, copy, line and other (the position before it in suffix order), lcp (lines that both share), where lcp > 0.
 
     Of a chain of positions whose neighbours stand side by side as well only the first is returned: its common prefix
     covers those of the others.
@@ -116,31 +133,40 @@ def common_prefixes(levels: list[tuple[int, DataFrame]], order: DataFrame) -> Da
     found = dealt.withColumn("_before", inner).join(F.broadcast(lasts), "_part").withColumn("other", F.coalesce("_before", "_last"))
     tied = F.col("other.rank") == F.col("rank")
     pairs = found.where(F.col("other").isNotNull() & (tied | F.col("level").isNotNull()))
-    back = F.first("other").over(Window.partitionBy("doc_id", "h").orderBy("line").rangeBetween(-1, -1))
-    goes_on = F.col("back.doc_id").eqNullSafe(F.col("other.doc_id")) & (F.col("back.h") == F.col("other.h")) & (F.col("back.line") == F.col("other.line") - 1)
+    back = F.first("other").over(Window.partitionBy(*ROW).orderBy("line").rangeBetween(-1, -1))
+    goes_on = F.col("back.doc_id").eqNullSafe(F.col("other.doc_id")) & (F.col("back.h") == F.col("other.h")) & (F.col("back.copy") == F.col("other.copy")) & (F.col("back.line") == F.col("other.line") - 1)
     heads = pairs.withColumn("back", back).where(F.col("back").isNull() | ~goes_on)
-    depths = F.array(*(F.lit(d) for d, _ in levels))
-    known = F.when(tied, F.col("ends")).otherwise(F.element_at(depths, F.col("level") + 1)).cast("long")
+    depths = [d for d, _ in levels]
+    known = F.when(tied, F.col("ends")).otherwise(F.element_at(F.array(*map(F.lit, depths)), F.col("level") + 1)).cast("long")
     heads = materialize(heads.select(*POSITION, "other", F.when(~tied, F.col("level")).alias("level"), known.alias("lcp")), "lines-heads")
-    top = heads.agg(F.max("level")).first()[0] or 0
-    done, open_rows = [heads.where("coalesce(level, 0) = 0")], None
-    for k in range(top - 1, -1, -1):
-        new = heads.where(F.col("level") == k + 1)
-        depth, level = levels[k]
+    top = heads.agg(F.max("level")).first()[0]
+    done, open_rows = [heads.where("level IS NULL")], None
+    for k in range(-1 if top is None else top, -1, -1):
+        new = heads.where(F.col("level") == k)
         open_rows = new if open_rows is None else open_rows.unionByName(new)
-        for side, at_line in (("a", F.struct("doc_id", "h", (F.col("line") + F.col("lcp")).alias("line"))), ("b", F.struct("other.doc_id", "other.h", (F.col("other.line") + F.col("lcp")).alias("line")))):
-            ranks = level.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("line").alias("_l"), F.col("rank").alias(side))
-            keyed = open_rows.withColumn("_at", at_line)
-            open_rows = keyed.join(ranks, F.col("_at.doc_id").eqNullSafe(F.col("_d")) & (F.col("_at.h") == F.col("_h")) & (F.col("_at.line") == F.col("_l")), "left").drop("_at", "_d", "_h", "_l")
-        longer = F.col("lcp") + F.when(F.col("a") == F.col("b"), depth).otherwise(0)
-        open_rows = materialize(open_rows.select(*POSITION, "other", "level", longer.alias("lcp")), f"lines-lcp-{k}")
+        open_rows = materialize(_longer(open_rows, levels[k][1], depths[k], -(-depths[k + 1] // depths[k]) - 1), f"lines-lcp-{k}")
     if open_rows is not None:
         done.append(open_rows)
     return reduce(DataFrame.unionByName, done).select(*POSITION, "other", "lcp")
 
 
+def _longer(pairs: DataFrame, level: DataFrame, depth: int, tries: int) -> DataFrame:
+    """``pairs`` with lcp raised by ``depth`` as often as the ranks behind it agree, up to ``tries`` times."""
+    ahead = lambda p, k: (F.col(p + "line") + F.col("lcp") + k * depth).cast("int").alias("line")
+    places = [F.struct(F.lit(f"{side}{k}").alias("side"), *[F.col(p + c).alias(c) for c in ROW], ahead(p, k)) for k in range(tries) for side, p in (("a", ""), ("b", "other."))]
+    asked = pairs.withColumn("_at", F.explode(F.array(*places)))
+    ranks = level.select(*[F.col(c).alias(f"_{c}") for c in [*POSITION, "rank"]])
+    same = F.col("_at.doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_at.h") == F.col("_h")) & (F.col("_at.copy") == F.col("_copy")) & (F.col("_at.line") == F.col("_line"))
+    told = [F.max(F.when(F.col("_at.side") == s + str(k), F.col("_rank"))).alias(f"_{s}{k}") for k in range(tries) for s in "ab"]
+    found = asked.join(ranks, same, "left").groupBy(*POSITION, "other", "level", "lcp").agg(*told)
+    more = F.lit(0)
+    for k in range(tries - 1, -1, -1):
+        more = F.when(F.col(f"_a{k}") == F.col(f"_b{k}"), more + depth).otherwise(0)
+    return found.select(*POSITION, "other", "level", (F.col("lcp") + more).cast("long").alias("lcp"))
+
+
 def later_copies(levels: list[tuple[int, DataFrame]], least: int, alone: int | None, base: DataFrame) -> DataFrame:
-    """doc_id, h, line, length: runs of ``least`` lines, and single lines if ``alone`` is given, that have an earlier copy."""
+    """doc_id, h, copy, line, length: runs of ``least`` lines, and single lines if ``alone`` is given, that have an earlier copy."""
     later = F.struct(*POSITION) > F.col("first")
     runs = next(x for depth, x in levels if depth == least).where(later).select(*POSITION, F.lit(least).alias("length"))
     return runs if alone is None else runs.unionByName(base.where("single").where(later).select(*POSITION, F.lit(1).alias("length")))
@@ -154,17 +180,17 @@ def dedup_lines(docs: DataFrame, least: int = LEAST, alone: int | None = None) -
     document, goes also when no line beside it is repeated along with it. ``n_runs`` and ``longest_run`` count the deleted
     stretches and the lines of the longest one; ``longest_match`` is the most lines in a row that start anywhere in the document and
     stand, in that order, at another place, in this document or another. Null texts are one empty line, as empty ones are;
-    null ids come first; equal rows count as one document and get equal results; an empty table gives an empty result; other
-    columns are ignored.
+    null ids come first; of rows with equal id and text one is the first and the others are its later copies; an empty table
+    gives an empty result; other columns are ignored.
     """
     levels, order = suffix_array(docs, least, alone)
     starts = later_copies(levels, least, alone, levels[0][1])
     shared = common_prefixes(levels, order)
-    ends = shared.select("doc_id", "h", "lcp").unionByName(shared.select("other.doc_id", "other.h", "lcp"))
+    ends = shared.select(*ROW, "lcp").unionByName(shared.select(*[f"other.{c}" for c in ROW], "lcp"))
     none = F.lit(None)
-    both = starts.withColumn("lcp", none.cast("long")).unionByName(ends.select("doc_id", "h", none.cast("int").alias("line"), none.cast("int").alias("length"), "lcp"))
+    both = starts.withColumn("lcp", none.cast("long")).unionByName(ends.select(*ROW, none.cast("int").alias("line"), none.cast("int").alias("length"), "lcp"))
     start = F.when(F.col("line").isNotNull(), F.struct("line", "length"))
-    found = both.groupBy("doc_id", "h").agg(F.collect_set(start).alias("starts"), F.max("lcp").alias("longest_match")).withColumnsRenamed({"doc_id": "_d", "h": "_h"})
+    found = both.groupBy(*ROW).agg(F.collect_set(start).alias("starts"), F.max("lcp").alias("longest_match")).withColumnsRenamed({"doc_id": "_d", "h": "_h", "copy": "_c"})
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["n_lines", "n_removed", "n_runs", "longest_run"]
@@ -182,10 +208,21 @@ def dedup_lines(docs: DataFrame, least: int = LEAST, alone: int | None = None) -
 
     text = text_or_empty()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["h"] == F.col("_h")), "left")
+    numbered = _numbered(keyed, levels[0][1].where("copy = 1").select("doc_id", "h").distinct())
+    joined = numbered.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")) & (F.col("copy") == F.col("_c")), "left")
     return joined.select("doc_id", "text", "starts", F.coalesce("longest_match", F.lit(0)).alias("longest_match")).mapInArrow(of, "doc_id long, longest_match long, n_lines long, n_removed long, n_runs long, longest_run long, kept_sha256 string")
 
 
+def _numbered(keyed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``keyed`` with ``copy``: 1 for all but one of the rows that are equal, else 0."""
+    if repeated.isEmpty():
+        return keyed.withColumn("copy", F.lit(0))
+    marked = keyed.join(repeated.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.lit(True).alias("_many")), keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["h"] == F.col("_h")), "left").drop("_d", "_h")
+    counted = marked.where("_many").groupBy("doc_id", "h", "text").agg(F.count("*").alias("_n"))
+    many = expand_counted(counted, "_n", "_i").select("doc_id", "h", "text", F.least(F.col("_i"), F.lit(1)).cast("int").alias("copy"))
+    return marked.where("_many IS NULL").select("doc_id", "h", "text", F.lit(0).alias("copy")).unionByName(many)
+
+
 def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(read_table(spark, sf_dir, "documents"), alone=ALONE)
 
