@@ -1,7 +1,8 @@
 """Sharding by a Feistel permutation with cycle walking over global row numbers (DataFrame functions only).
 
 Rows get a global number 0..n-1 that depends on their content alone: equal rows are counted, the distinct ones are
-numbered inside hash buckets of bounded size by a window, and each bucket starts where the buckets before it end.
+numbered inside hash buckets of bounded size by a window, and each bucket starts where the buckets before it end: these
+starts are summed in groups of buckets, and the groups by themselves, so no sum spans all buckets.
 A keyed Feistel network over Z_a x Z_b (a*b just above n) permutes the numbers; a value outside 0..n-1 is permuted
 again until it falls inside (cycle walking). ``shard = permuted mod shards``, ``slot = permuted div shards``: row
 counts of shards differ by one at most, slots have no gaps, and both can be computed from the row number alone.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from docgrain.llm.common import expand_counted, read_table, text_or_empty
 
 ROWS_PER_BUCKET = 50_000
-MAX_BUCKETS = 65_536
+BUCKETS_PER_GROUP = 4_096
 ROUNDS = 6
 #: a*b - n < a, so a walk leaves 0..n-1 with odds under 1/sqrt(n) a step.
 WALKS = 64
@@ -51,17 +52,20 @@ def row_number_starts(rows: DataFrame, n: int) -> DataFrame:
     """The distinct rows of ``rows`` with ``_copies`` and ``_start``: their numbers of 0..n-1 are _start, _start + 1, ...
 
     The same rows get the same numbers, however they are partitioned. Only columns that hash and order are allowed. No
-    window spans more than a bucket, and the table of bucket totals has at most ``MAX_BUCKETS`` rows, which bounds the
-    broadcast and the one task that sums it up.
+    window spans more than a bucket or a group of buckets, but the one over groups, which has a row for some 200 million
+    rows. Buckets grow in number with the table.
     """
     cols = rows.columns
-    buckets = max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
+    buckets = max(1, -(-n // ROWS_PER_BUCKET))
     counted = rows.groupBy(*cols).agg(F.count("*").alias("_copies")).withColumn("_bucket", F.pmod(F.xxhash64(*cols), F.lit(buckets)))
-    totals = counted.groupBy("_bucket").agg(F.sum("_copies").alias("_total"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    group = F.floor(F.col("_bucket") / F.lit(BUCKETS_PER_GROUP)).alias("_group")
+    totals = counted.groupBy("_bucket", group).agg(F.sum("_copies").alias("_total"))
+    before = lambda w: F.coalesce(F.sum("_total").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = totals.groupBy("_group").agg(F.sum("_total").alias("_total")).select("_group", before(Window.orderBy("_group")).alias("_first"))
+    near = totals.withColumn("_near", before(Window.partitionBy("_group").orderBy("_bucket")))
+    offsets = near.join(groups, "_group").select("_bucket", (F.col("_first") + F.col("_near")).alias("_offset"))
     inside = Window.partitionBy("_bucket").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.withColumn("_before", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(F.broadcast(offsets), "_bucket")
+    placed = counted.withColumn("_before", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(offsets, "_bucket")
     return placed.select(*cols, "_copies", (F.col("_offset") + F.col("_before")).alias("_start"))
 
 

@@ -549,6 +549,17 @@ def test_sharding(spark, docs):
     assert sharding.shard_documents(empty(spark)).count() == 0
 
 
+def test_shards_in_groups_of_buckets(spark, monkeypatch):
+    """Many buckets in many groups: numbers stay 0..n-1, each once, with equal rows among them, and do not hang on the partitions."""
+    monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 10)
+    monkeypatch.setattr(sharding, "BUCKETS_PER_GROUP", 4)
+    docs = spark.range(900).select((F.col("id") % 700).alias("doc_id"), F.lit("t").alias("text"))
+    got = sorted((x.doc_id, x.row_number, x.shard, x.slot) for x in sharding.shard_documents(docs).collect())
+    assert sorted(x[1] for x in got) == list(range(900))
+    assert sorted(x[2:] for x in got) == sorted((i % 8, i // 8) for i in range(900))
+    assert got == sorted((x.doc_id, x.row_number, x.shard, x.slot) for x in sharding.shard_documents(docs.repartition(5)).collect())
+
+
 # 9 ----------------------------------------------------------------------------------------------------------------------
 def test_hilbert_is_a_curve():
     for d, bits in ((2, 4), (3, 3), (4, 2)):
