@@ -1,11 +1,11 @@
 """Dictionaries as tables: an inverted index on the first characters of terms meets the places of texts.
 
-Terms are a table however many they are, and no literal of a plan. Each term is filed under its first ``HEAD`` bytes, a
-shorter one under itself. All places of a text are looked up, as vectors over Arrow batches, in ``BITS`` bits that tell which
-heads there are; those that may be one are joined with the terms, and only terms whose head stands in a text are compared
-with it. A dictionary of a measured size below ``BROADCAST_BYTES`` is sent to the tasks, so texts are
-matched where they are read; a larger one is shuffled by heads with those of texts, and texts follow only for terms whose head
-was met.
+Terms are a table however many they are, and no literal of a plan. Each term is filed under its first ``KEY`` bytes. All
+places of a text are looked up, as vectors over Arrow batches, in a sieve of the first ``HEAD`` bytes of terms, and what
+passes, for each length of terms, in a sieve of whole keys. The bytes that pass both are joined with the terms by equality, so
+a text is searched again only for terms longer than a key. A dictionary of a measured size below ``BROADCAST_BYTES`` is
+sent to the tasks, so texts are matched where they are read; a larger one is shuffled by keys with those found in texts. The sieves
+grow with the dictionary up to 4 MB; beyond about a million terms more places pass, and the join with the terms sorts them out.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,73 +24,124 @@ from docgrain.functions.text import CJK, clean, clean_literal, sentence_around,
 from docgrain.sources.stages import stage
 
 HEAD = 7
-BITS = 1 << 20
+KEY = 64
+HEAD_BITS = 20
+LEAST_BITS, MOST_BITS = 20, 25
 SLICE = 1 << 20
 BROADCAST_BYTES = 16 << 20
+#: Keys are hashed as polynomials at an odd number, modulo 2^64, so that prefix sums give the hash of every stretch.
+BASE = 0x9E3779B97F4A7C15
 
 
-def _head_key(term: str) -> Column:
-    """The first ``HEAD`` bytes of a term as a number, with how many there are."""
-    raw = F.encode(term, "UTF-8")
-    n = F.least(F.octet_length(raw), F.lit(HEAD)).cast("long")
-    return F.conv(F.hex(F.substring(raw, 1, HEAD)), 16, 10).cast("long") + F.shiftleft(n, 8 * HEAD)
-
-
-def _bit(key):
-    """The place of a head among ``BITS``, for columns and for arrays alike."""
-    if isinstance(key, Column):
-        return key.bitwiseXOR(F.shiftright(key, 17)).bitwiseXOR(F.shiftright(key, 39)).bitwiseAND(F.lit(BITS - 1).cast("long"))
-    return (key ^ (key >> 17) ^ (key >> 39)) & (BITS - 1)
-
-
-def _heads_in(data: np.ndarray, at: np.ndarray, lengths: list[int], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The text and the head, each pair once and in order of texts, of heads in bytes ``data`` whose bit is known; text i is
-    at[i] to at[i+1]."""
-    wide, key = data.astype(np.int64), np.zeros(len(data), np.int64)
-    owners, heads = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for n in range(1, max(lengths, default=0) + 1):
-        if len(wide) < n:
-            break
-        key = key[: len(wide) - n + 1] << 8 | wide[n - 1 :]
-        if n in lengths:
-            head = key | n << 8 * HEAD
-            here = np.flatnonzero(known[_bit(head)])
-            owner = np.searchsorted(at, here, side="right") - 1
-            inside = here + n <= at[owner + 1]
-            owners.append(owner[inside])
-            heads.append(head[here[inside]])
-    owner, head = np.concatenate(owners), np.concatenate(heads)
-    order = np.lexsort((head, owner))
-    owner, head = owner[order], head[order]
-    new = np.ones(len(head), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (head[1:] != head[:-1])
-    return owner[new], head[new]
-
-
-def _with_heads(texts: DataFrame, text: str, lengths: list[int], known: np.ndarray) -> DataFrame:
-    """``texts`` with the heads that stand in each text, as numbers; texts are taken in slices of about ``SLICE`` bytes."""
-    column, packed = texts.columns.index(text), np.packbits(known)
+def _powers(base: int, n: int) -> np.ndarray:
+    """base^0 to base^(n-1) modulo 2^64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
+
+
+def _head_bit(head: np.ndarray, n: int) -> np.ndarray:
+    """The place in the sieve of heads of ``n`` bytes, given as numbers."""
+    h = head | n << 8 * HEAD
+    return (h ^ (h >> 17) ^ (h >> 39)) & ((1 << HEAD_BITS) - 1)
+
+
+def _key_bit(h: np.ndarray, bits: int) -> np.ndarray:
+    """The place in the sieve of whole keys, of their hashes."""
+    return (((h ^ (h >> np.uint64(29))) * np.uint64(BASE)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _raw(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of large strings or binaries."""
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    held = values.buffers()[2]
+    return np.frombuffer(held, np.uint8) if held is not None and held.size else np.zeros(0, np.uint8), offsets
+
+
+def _sieve_rows(bits: int):
+    """For mapInArrow over keys: (kind, word, bits) of kind 0 for heads, 1 for whole keys, 2 for the lengths of keys."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        power = _powers(BASE, KEY)
+        for batch in batches:
+            raw, offsets = _raw(batch.column(0).cast(pa.large_binary()))
+            size = np.diff(offsets)
+            for n in np.unique(size).tolist():
+                part = raw[offsets[:-1][size == n][:, None] + np.arange(n)]
+                head = np.zeros(len(part), np.int64)
+                for j in range(min(n, HEAD)):
+                    head = head << 8 | part[:, j]
+                hashed = ((part.astype(np.uint64) + np.uint64(1)) * power[:n]).sum(axis=1, dtype=np.uint64)
+                at = [_head_bit(head, min(n, HEAD)), _key_bit(hashed, bits), np.array([n - 1])]
+                kind, bit = np.repeat([0, 1, 2], [len(a) for a in at]), np.concatenate(at)
+                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(bit >> 6, pa.int64()), pa.array(np.left_shift(np.int64(1), bit & 63), pa.int64())], ["kind", "word", "bits"])
+
+    return of
+
+
+def _sieve(filed: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """The sieves of heads and of whole keys, as words of 64 bits, and the lengths of keys, for ``n`` terms. What comes to the
+    driver are at most 2^19 words, as ``MOST_BITS`` bounds them."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (32 * n).bit_length()))
+    words = filed.select("_key").mapInArrow(_sieve_rows(bits), "kind int, word long, bits long").groupBy("kind", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    kind, word, value = (words.column(c).to_numpy() for c in ("kind", "word", "bits"))
+    head, whole = np.zeros(1 << HEAD_BITS - 6, np.int64), np.zeros(1 << bits - 6, np.int64)
+    head[word[kind == 0]] = value[kind == 0]
+    whole[word[kind == 1]] = value[kind == 1]
+    lengths = int(value[kind == 2].astype(np.uint64)[0]) if (kind == 2).any() else 0
+    return head, whole, [i + 1 for i in range(KEY) if lengths >> i & 1]
+
+
+def _once(owner: np.ndarray, what: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Each pair of text and bytes once, in order of texts."""
+    coded = what.dictionary_encode()
+    pair = np.unique(owner * len(coded.dictionary) + coded.indices.to_numpy())
+    return pair // max(1, len(coded.dictionary)), coded.dictionary.take(pa.array(pair % max(1, len(coded.dictionary)), pa.int64()))
+
+
+def _keys_in(raw: np.ndarray, offsets: np.ndarray, head_sieve: np.ndarray, whole: np.ndarray, lengths: list[int], power: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The text and the bytes, each pair once and in order of texts, that pass both sieves; text i is offsets[i] to
+    offsets[i+1]. Bytes are taken in slices, with what a key may need beyond, so long texts need no more memory."""
+    bits = len(whole).bit_length() + 5
+    owners, found = [np.zeros(0, np.int64)], [pa.array([], pa.binary())]
+    for first in range(int(offsets[0]), int(offsets[-1]), SLICE):
+        data = raw[first : min(first + SLICE + KEY - 1, int(offsets[-1]))]
+        wide, head = data.astype(np.int64), np.zeros(len(data), np.int64)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+        for n in range(1, min(HEAD, len(data), max(lengths, default=0)) + 1):
+            head = head[: len(wide) - n + 1] << 8 | wide[n - 1 :]
+            sized = [x for x in lengths if min(x, HEAD) == n]
+            here = np.flatnonzero(head_sieve[_head_bit(head[:SLICE], n)]) if sized else []
+            for size in sized:
+                at = here[here + size <= len(data)]
+                bit = _key_bit((sums[at + size] - sums[at]) * inverse[at], bits)
+                at = at[(whole[bit >> 6] >> (bit & 63)) & 1 == 1]
+                owner = np.searchsorted(offsets, at + first, side="right") - 1
+                inside = at + first + size <= offsets[owner + 1]
+                at, owner = at[inside], owner[inside]
+                if len(at):
+                    same = pa.Array.from_buffers(pa.binary(size), len(at), [None, pa.py_buffer(np.ascontiguousarray(data[at[:, None] + np.arange(size)]))])
+                    owner, same = _once(owner, same)
+                    owners.append(owner)
+                    found.append(same.cast(pa.binary()))
+    return _once(np.concatenate(owners), pa.concat_arrays(found))
+
+
+def _with_keys(texts: DataFrame, text: str, sieve: tuple[np.ndarray, np.ndarray, list[int]]) -> DataFrame:
+    """``texts`` with the bytes of each text that may be a key of a term."""
+    column, (head, whole, lengths) = texts.columns.index(text), sieve
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.unpackbits(packed).astype(bool)
+        head_sieve = np.unpackbits(head.view(np.uint8), bitorder="little").astype(bool)
+        power, inverse = _powers(BASE, SLICE + KEY), _powers(pow(BASE, -1, 1 << 64), SLICE + KEY)
         for batch in batches:
             values = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
-            counts, heads, first = [], [], 0
-            while first < len(values):
-                offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
-                last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE, side="right")) - 1)
-                at = offsets[first : last + 1] - offsets[first]
-                raw = values.buffers()[2]
-                data = np.frombuffer(raw, np.uint8)[offsets[first] : offsets[last]] if raw is not None and raw.size else np.zeros(0, np.uint8)
-                owner, head = _heads_in(data, at, lengths, marked)
-                counts.append(np.bincount(owner, minlength=last - first))
-                heads.append(head)
-                first = last
-            ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads) if heads else [], pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "_heads"])
-
-    return texts.mapInArrow(of, T.StructType([*texts.schema.fields, T.StructField("_heads", T.ArrayType(T.LongType()))]))
+            owner, found = _keys_in(*_raw(values), head_sieve, whole, lengths, power, inverse)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(values)))])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], [*batch.schema.names, "_keys"])
+
+    return texts.mapInArrow(of, T.StructType([*texts.schema.fields, T.StructField("_keys", T.ArrayType(T.BinaryType()))]))
 
 
 def occurring(texts: DataFrame, text: str, terms: DataFrame, term: str, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -99,20 +150,18 @@ def occurring(texts: DataFrame, text: str, terms: DataFrame, term: str, most_byt
     Null texts and null or empty terms meet nothing; repeated texts and terms stay rows of their own. Columns of both sides
     must differ.
     """
-    filed = stage(terms.where(F.col(term) != "").withColumn("_head", _head_key(term)), "dictionary")
-    # one row: the size, and which of at most HEAD lengths heads have; then which of BITS bits are set
-    measured = filed.agg(F.sum(F.octet_length(term) + 64).alias("bytes"), F.collect_set(F.shiftright("_head", 8 * HEAD)).alias("lengths")).first()
-    known = np.zeros(BITS, bool)
-    known[[r[0] for r in filed.select(_bit(F.col("_head"))).distinct().collect()]] = True
-    # a term that is all head stands where its head does
-    within = (F.octet_length(term) <= HEAD) | (F.position(F.col(term), F.col(text)) > 0)
-    same = F.col("_met") == F.col("_head")
+    filed = stage(terms.where(F.col(term) != "").withColumn("_key", F.substring(F.col(term).cast("binary"), 1, KEY)), "dictionary")
+    measured = filed.agg(F.sum(F.octet_length(term) + F.octet_length("_key") + 64).alias("bytes"), F.count("*").alias("n")).first()
+    sieve = _sieve(filed, measured.n)
+    # a term that is all key stands where its key does
+    within = (F.octet_length(term) <= KEY) | (F.position(F.col(term), F.col(text)) > 0)
+    same = F.col("_met") == F.col("_key")
     if (measured.bytes or 0) <= most_bytes:
-        sought = _with_heads(texts.where(F.col(text) != ""), text, sorted(measured.lengths), known)
-        return sought.select(*texts.columns, F.explode("_heads").alias("_met")).join(F.broadcast(filed), same).where(within).drop("_met", "_head")
+        sought = _with_keys(texts.where(F.col(text) != ""), text, sieve)
+        return sought.select(*texts.columns, F.explode("_keys").alias("_met")).join(F.broadcast(filed), same).where(within).drop("_met", "_key")
     numbered = stage(texts.where(F.col(text) != "").withColumn("_text", F.monotonically_increasing_id()), "dictionary-texts")
-    runs = _with_heads(numbered.select("_text", text), text, sorted(measured.lengths), known).select("_text", F.explode("_heads").alias("_met"))
-    return numbered.join(runs.join(filed, same).drop("_met", "_head"), "_text").where(within).drop("_text")
+    runs = _with_keys(numbered.select("_text", text), text, sieve).select("_text", F.explode("_keys").alias("_met"))
+    return numbered.join(runs.join(filed, same).drop("_met", "_key"), "_text").where(within).drop("_text")
 
 
 def dictionary_matches(texts: DataFrame, key: list[str], text: str, terms: DataFrame, term: str, hints: tuple = (), limit: int = 140) -> DataFrame:

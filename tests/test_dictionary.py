@@ -19,6 +19,25 @@ def test_occurring(spark, most_bytes):
     assert sorted((x.id, x.k) for x in got.collect()) == sorted((i, k) for i, t in texts for w, k in terms if t and w and w in t)
 
 
+@pytest.mark.parametrize("most_bytes", [dictionary.BROADCAST_BYTES, 0])
+def test_occurring_long(spark, most_bytes):
+    """Terms longer than a key that agree in it, terms of equal bytes in one text, and a text of several slices whose terms lie
+    across their ends."""
+    stem = "x" * (dictionary.KEY - 1) + "é"
+    terms = [stem + "a", stem + "b", stem, "end of slice", "zzzzzzz", "z", "東京" * 40]
+    size = dictionary.SLICE
+    long = ("." * (size - 5) + "end of slice" + "-" * size + "z")[: 2 * size + 20]
+    texts = [(1, stem + "b"), (2, stem), (3, long), (4, "zzzzzz" + "東京" * 41), (5, "zzzzzzzz" * 3), (6, "end of slic"), (7, "e end of slice")]
+    frame = spark.createDataFrame(texts, "id int, text string").coalesce(1)
+    got = dictionary.occurring(frame, "text", spark.createDataFrame([(t,) for t in terms], "term string"), "term", most_bytes)
+    assert sorted((x.id, x.term) for x in got.collect()) == sorted((i, w) for i, t in texts for w in terms if w in t)
+
+
+def test_occurring_without_terms(spark):
+    terms = spark.createDataFrame([(None,), ("",)], "term string")
+    assert dictionary.occurring(spark.createDataFrame([(1, "a")], "id int, text string"), "text", terms, "term").count() == 0
+
+
 def test_matches_as_by_literals(spark):
     texts = spark.createDataFrame([(1, "床暖房を標準装備。ディスポーザーはオプション。"), (2, "プール完備　ＡＢＣ"), (3, None)], "id int, text string")
     terms = [("床暖房", "a"), ("ディスポーザー", "b"), ("ABC", "c"), ("暖房", "d")]
