@@ -53,17 +53,22 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
     return per.select("source", "source_size", "docs", target.alias("target"))
 
 
-def _settle(c: Column, x: Column, seed: int) -> Column:
-    """The two after the meeting, as struct(done, carry); ``c`` and ``x`` are struct(key, doc_id, copy, size, base, p)."""
-    w = lambda s: s["size"].cast("double")
-    room_c, has_c, room_x, has_x = (1 - c["p"]) * w(c), c["p"] * w(c), (1 - x["p"]) * w(x), x["p"] * w(x)
-    up, down = F.least(room_c, has_x), F.least(has_c, room_x)
-    to_c = uniform(c["key"], x["key"], F.lit(seed)) * (up + down) < down
-    pc = F.when(to_c, F.when(room_c <= has_x, F.lit(1.0)).otherwise(c["p"] + has_x / w(c))).otherwise(F.when(has_c <= room_x, F.lit(0.0)).otherwise(c["p"] - room_x / w(c)))
-    px = F.when(to_c, F.when(has_x <= room_c, F.lit(0.0)).otherwise(x["p"] - room_c / w(x))).otherwise(F.when(room_x <= has_c, F.lit(1.0)).otherwise(x["p"] + has_c / w(x)))
-    now = lambda s, p: F.struct(*[s[f].alias(f) for f in ("order", "key", "doc_id", "copy", "size", "base")], p.alias("p"))
-    whole = (pc == 0.0) | (pc == 1.0)
-    return F.when(whole, F.struct(now(c, pc).alias("done"), now(x, px).alias("carry"))).otherwise(F.struct(now(x, px).alias("done"), now(c, pc).alias("carry")))
+def _let(value: str, name: str, then: str) -> str:
+    return f"transform(array({value}), {name} -> {then})[0]"
+
+
+def _meeting(c: str, x: str, seed: int) -> str:
+    """SQL of struct(done, carry): of two documents that meet the settled one, and the one that goes on. Documents are
+    struct(order, key, doc_id, copy, size, base, p). Text is planned much faster than columns of this depth."""
+    rooms = "struct(b.c, b.x, (1 - b.c.p) * double(b.c.size) AS room_c, b.c.p * double(b.c.size) AS has_c, (1 - b.x.p) * double(b.x.size) AS room_x, b.x.p * double(b.x.size) AS has_x)"
+    chance = f"double(pmod(xxhash64(m.c.key, m.x.key, {seed}), {1 << 52}L)) / double({1 << 52}L)"
+    gains = f"struct(m, {chance} * (least(m.room_c, m.has_x) + least(m.has_c, m.room_x)) < least(m.has_c, m.room_x) AS to_c)"
+    new_c = "if(g.to_c, if(g.m.room_c <= g.m.has_x, 1D, g.m.c.p + g.m.has_x / double(g.m.c.size)), if(g.m.has_c <= g.m.room_x, 0D, g.m.c.p - g.m.room_x / double(g.m.c.size)))"
+    new_x = "if(g.to_c, if(g.m.has_x <= g.m.room_c, 0D, g.m.x.p - g.m.room_c / double(g.m.x.size)), if(g.m.room_x <= g.m.has_c, 1D, g.m.x.p + g.m.has_c / double(g.m.x.size)))"
+    now = lambda d: "named_struct(" + ", ".join(f"'{f}', n.m.{d}.{f}" for f in ("order", "key", "doc_id", "copy", "size", "base")) + f", 'p', n.new_{d})"
+    ends = f"if(n.new_c = 0D OR n.new_c = 1D, struct({now('c')} AS done, {now('x')} AS carry), struct({now('x')} AS done, {now('c')} AS carry))"
+    met = _let(f"struct(g.m, {new_c} AS new_c, {new_x} AS new_x)", "n", ends)
+    return _let(f"struct({c} AS c, {x} AS x)", "b", _let(rooms, "m", _let(gains, "g", met)))
 
 
 def _fold(units: DataFrame, seed: int) -> DataFrame:
@@ -72,13 +77,9 @@ def _fold(units: DataFrame, seed: int) -> DataFrame:
     item = F.struct((-F.col("size")).alias("order"), "key", "doc_id", "copy", "size", "base", "p")
     blocks = units.groupBy("source", "block").agg(F.array_sort(F.collect_list(item)).alias("items"))
     kind = blocks.schema["items"].dataType.elementType.simpleString()
-    start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.element_at("items", 1).alias("carry"))
-
-    def meet(s: Column, x: Column) -> Column:
-        pair = F.transform(F.array(F.struct(s["carry"].alias("c"), x.alias("x"))), lambda p: _settle(p["c"], p["x"], seed))[0]
-        return F.struct(F.concat(s["done"], F.array(pair["done"])).cast(f"array<{kind}>").alias("done"), pair["carry"].cast(kind).alias("carry"))
-
-    folded = F.aggregate(F.slice("items", F.lit(2), F.size("items")), start, meet)
+    start = f"struct(cast(array() AS array<{kind}>) AS done, element_at(items, 1) AS carry)"
+    meet = _let(_meeting("s.carry", "i", seed), "r", f"struct(cast(concat(s.done, array(r.done)) AS array<{kind}>) AS done, cast(r.carry AS {kind}) AS carry)")
+    folded = F.expr(f"aggregate(slice(items, 2, size(items)), {start}, (s, i) -> {meet})")
     return blocks.select("source", "block", folded.alias("f")).select("source", "block", "f.done", "f.carry")
 
 
@@ -100,22 +101,27 @@ def _by_class(units: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classed(units), materialize(per.withColumn("rest", F.coalesce(F.sum("mass").over(shorter), F.lit(0)).cast("double")), "mix-classes")
 
 
+def _settled(folded: DataFrame) -> DataFrame:
+    return folded.select("source", F.explode("done").alias("d")).select("source", "d.*").drop("order")
+
+
 def _fold_class(level: DataFrame, most: int, seed: int, name: str) -> tuple[list[DataFrame], DataFrame]:
-    """(settled documents of each level, one residual a source)."""
+    """(settled documents of each level but the last, the last level: one block a source, not yet written)."""
     height, left = 1, -(-most // (FAN_IN // 2))
     while left > 1:
         height, left = height + 1, -(-left // FAN_IN)
     settled = []
-    for k in range(height):
+    for k in range(height - 1):
         folded = materialize(_fold(level, seed + k), f"mix-{name}-{k}")
-        settled.append(folded.select("source", F.explode("done").alias("d")).select("source", "d.*").drop("order"))
+        settled.append(_settled(folded))
         level = folded.select("source", F.floor(F.col("block") / FAN_IN).cast("long").alias("block"), "carry.*").drop("order")
-    return settled, level.drop("block")
+    return settled, _fold(level, seed + height - 1)
 
 
-def _met(state: DataFrame, residual: DataFrame, rest: DataFrame, seed: int) -> DataFrame:
-    """The residual of a class meets the shorter documents of its source: both fractions after that, q and p."""
-    r = residual.select(F.col("source").alias("_s"), "key", "doc_id", "copy", "size", F.col("p").alias("q"))
+def _met(state: DataFrame, last: DataFrame, rest: DataFrame, seed: int) -> DataFrame:
+    """The residual of a class meets the shorter documents of its source: both fractions after that, q and p, beside the
+    documents that the last level has settled (null where a source has none of the class)."""
+    r = last.select(F.col("source").alias("_s"), "done", "carry.key", "carry.doc_id", "carry.copy", "carry.size", F.col("carry.p").alias("q"))
     rows = state.join(r, _same("source", "_s"), "left").drop("_s").join(rest.select(F.col("source").alias("_s"), "rest"), _same("source", "_s"), "left").drop("_s")
     w, m, p, q = F.col("size").cast("double"), F.coalesce("rest", F.lit(0.0)), F.col("p"), F.col("q")
     room_q, has_q, room_p, has_p = (1 - q) * w, q * w, (1 - p) * m, p * m
@@ -124,7 +130,7 @@ def _met(state: DataFrame, residual: DataFrame, rest: DataFrame, seed: int) -> D
     bounded = lambda x: F.least(F.lit(1.0), F.greatest(F.lit(0.0), x))
     new_q = F.when(up + down == 0, q).when(gains, F.when(room_q <= has_p, 1.0).otherwise(q + up / w)).otherwise(F.when(has_q <= room_p, 0.0).otherwise(q - down / w))
     new_p = F.when(q.isNull() | (up + down == 0), p).when(gains, F.when(has_p <= room_q, 0.0).otherwise(p - up / m)).otherwise(F.when(room_p <= has_q, 1.0).otherwise(p + down / m))
-    return rows.select("source", "base", "key", "doc_id", "copy", "size", bounded(new_q).alias("q"), bounded(new_p).alias("p"))
+    return rows.select("source", "base", "done", "key", "doc_id", "copy", "size", bounded(new_q).alias("q"), bounded(new_p).alias("p"))
 
 
 def pivotal_copies(sizes: DataFrame, targets: DataFrame, seed: int = 0) -> DataFrame:
@@ -146,10 +152,10 @@ def pivotal_copies(sizes: DataFrame, targets: DataFrame, seed: int = 0) -> DataF
         now = state.select(F.col("source").alias("_s"), "base", "p").join(here.select(F.col("source").alias("_t"), "docs"), F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
         wide = units.where(F.col("class") == c).join(now, _same("source", "_s"))
         level = wide.withColumn("block", F.pmod("key", F.ceil(F.col("docs") / (FAN_IN // 2)).cast("long"))).select("source", "block", "key", "doc_id", "copy", "size", "base", "p")
-        done, residual = _fold_class(level, most, seed, f"class-{c}")
-        met = materialize(_met(state, residual, here, seed), f"mix-met-{c}")
+        done, last = _fold_class(level, most, seed, f"class-{c}")
+        met = materialize(_met(state, last, here, seed), f"mix-met-{c}")
         coin = F.when((F.col("q") == 1.0) | ((F.col("q") > 0.0) & (uniform(F.col("key"), F.lit(seed), F.lit("last")) < F.col("q"))), 1.0).otherwise(0.0)
-        settled += [*done, met.where("key IS NOT NULL").select("source", "key", "doc_id", "copy", "size", "base", coin.alias("p"))]
+        settled += [*done, _settled(met), met.where("key IS NOT NULL").select("source", "key", "doc_id", "copy", "size", "base", coin.alias("p"))]
         state = met.select("source", "base", "p")
     taken = every.where("size = 0").select("source", "doc_id", "copy", "size", F.lit(0).alias("copies"))
     for part in settled:
