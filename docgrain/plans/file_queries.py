@@ -19,8 +19,10 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 
 def _texts(lines: DataFrame, path: str) -> str:
-    """Text files of ``line``, whose order inside a file is that of ``ord``."""
-    lines.repartitionByRange("ord").sortWithinPartitions("ord").select("line").write.text(path)
+    """Text files of ``line``, whose order inside a file is that of ``ord``; the lines of one first field of ``ord``, such as
+    a table with its header, stay in one file however many files there are."""
+    first = f"ord.{lines.schema['ord'].dataType.names[0]}"
+    lines.repartitionByRange(first).sortWithinPartitions("ord").select("line").write.text(path)
     return path
 
 

@@ -58,3 +58,17 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_name_lists_in_many_files(spark, duck):
+    """No table loses its header to another file, wherever the files begin."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in ("7", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = [(r.name,) for r in QUERIES["q_name_lists"](spark, SF).collect()]
+            assert rows(got) == rows(duck.sql(SQL["q_name_lists"]).fetchall())
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
