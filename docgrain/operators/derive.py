@@ -64,14 +64,28 @@ def usd_per_m2(rows: DataFrame, fx: DataFrame) -> DataFrame:
     return joined.withColumn("price_usd_per_m2", value)
 
 
+def exact_ratio(part: Column, whole: Column, places: int) -> Column:
+    """``part / whole`` of whole numbers, rounded half up to ``places`` in whole numbers too, so ties do not hang on the last bit."""
+    of = F.nullif(F.abs(whole), F.lit(0).cast("decimal(38,0)"))
+    size = F.call_function("div", F.abs(part) * F.lit(2 * 10**places) + of, of * 2)
+    return F.when(F.signum(part) * F.signum(whole) < 0, -size).otherwise(size) / 10**places
+
+
 def price_index(rows: DataFrame, key: str, primary: str = "so_cap", secondary: str = "thu_cap") -> DataFrame:
-    """Mean dollars of both markets, and the premium of the second where both have one and the same basis and tax."""
-    priced = F.nullif(F.col("price_usd_per_m2"), F.lit(0.0)).isNotNull()
-    mean = lambda m: F.avg(F.when(priced & (F.col("market") == m), F.col("price_usd_per_m2")))
+    """Mean dollars of both markets, and the premium of the second where both have one and the same basis and tax.
+
+    Prices are summed as whole millionths of a dollar, so no order of summing changes a mean; what is no finite number, or has
+    more than 15 digits before its point, is no price.
+    """
+    price = F.nullif(F.col("price_usd_per_m2"), F.lit(0.0)).try_cast("decimal(21,6)")
+    priced, millionths = price.isNotNull(), (price * 1_000_000).cast("decimal(21,0)")
+    of = lambda f, m: f(F.when(F.col("market") == m, millionths)).cast("decimal(38,0)")
     kinds = F.count_distinct(F.when(priced & F.col("market").isin(primary, secondary), F.struct("price_basis", "includes_vat")))
-    agg = rows.groupBy(key).agg(mean(primary).alias("_p"), mean(secondary).alias("_s"), kinds.alias("_k"))
-    premium = F.when(F.col("_k") == 1, F.round((F.try_divide(F.col("_s"), F.col("_p")) - 1) * 100, 1))
-    return agg.select(key, F.round("_p", 1).alias("usd_primary"), F.round("_s", 1).alias("usd_secondary"), premium.alias("premium_pct"))
+    agg = rows.groupBy(key).agg(*[of(f, m).alias(c) for m, cs in ((primary, ("_p", "_np")), (secondary, ("_s", "_ns"))) for f, c in zip((F.sum, F.count), cs)], kinds.alias("_k"))
+    dollars = lambda total, n: exact_ratio(F.col(total), F.col(n) * 1_000_000, 1)
+    base = F.col("_p") * F.col("_ns")
+    premium = F.when(F.col("_k") == 1, exact_ratio((F.col("_s") * F.col("_np") - base) * 100, base, 1))
+    return agg.select(key, dollars("_p", "_np").alias("usd_primary"), dollars("_s", "_ns").alias("usd_secondary"), premium.alias("premium_pct"))
 
 
 def growth_yoy(rows: DataFrame, key: str, year: str, value: str) -> DataFrame:

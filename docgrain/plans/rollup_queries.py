@@ -51,10 +51,14 @@ FX_SQL = "fx(currency, usd_rate) AS (VALUES " + ", ".join(f"('{c}', {r!r})" for
 
 @query(f"""WITH {FX_SQL}, l AS (SELECT l_suppkey, CASE l_linestatus WHEN 'F' THEN 'so_cap' ELSE 'thu_cap' END AS market, CASE l_suppkey % 3 WHEN 0 THEN 'VND' WHEN 1 THEN 'JPY' ELSE 'XXX' END AS currency,
 CASE WHEN l_linenumber % 2 = 0 THEN l_extendedprice ELSE (l_extendedprice + (l_extendedprice + 100)) / 2 END AS avg, CASE WHEN l_suppkey % 7 = 0 AND l_returnflag = 'R' THEN 'gross' ELSE 'net' END AS basis FROM lineitem),
-p AS (SELECT *, round(avg * usd_rate, 2) AS usd FROM l LEFT JOIN fx USING (currency)), a AS (SELECT l_suppkey, avg(CASE WHEN market = 'so_cap' AND usd <> 0 THEN usd END) AS p, avg(CASE WHEN market = 'thu_cap' AND usd <> 0 THEN usd END) AS s, count(DISTINCT CASE WHEN usd <> 0 THEN basis END) AS k FROM p GROUP BY l_suppkey)
-SELECT l_suppkey, round(p, 1) AS usd_primary, round(s, 1) AS usd_secondary, CASE WHEN k = 1 THEN round((s / p - 1) * 100, 1) END AS premium_pct FROM a""")
+p AS (SELECT *, (round((avg * usd_rate)::VARCHAR::DECIMAL(38, 20), 2) * 100)::HUGEINT AS cents FROM l LEFT JOIN fx USING (currency)),
+a AS (SELECT l_suppkey, sum(CASE WHEN market = 'so_cap' AND cents <> 0 THEN cents END) AS p, count(CASE WHEN market = 'so_cap' AND cents <> 0 THEN 1 END)::HUGEINT AS np, sum(CASE WHEN market = 'thu_cap' AND cents <> 0 THEN cents END) AS s, count(CASE WHEN market = 'thu_cap' AND cents <> 0 THEN 1 END)::HUGEINT AS ns,
+count(DISTINCT CASE WHEN cents <> 0 THEN basis END) AS k FROM p GROUP BY l_suppkey), b AS (SELECT *, s * np - p * ns AS d, nullif(p * ns, 0) AS base FROM a)
+SELECT l_suppkey, sign(p) * ((abs(p) * 20 + np * 100) // (np * 200)) / 10 AS usd_primary, sign(s) * ((abs(s) * 20 + ns * 100) // (ns * 200)) / 10 AS usd_secondary,
+CASE WHEN k = 1 THEN sign(d) * sign(base) * ((abs(d) * 2000 + abs(base)) // (abs(base) * 2)) / 10 END AS premium_pct FROM b""")
 def q_price_benchmark(spark, sf_dir):
-    """Lines as prices of two markets in three currencies, one of which has no rate; some suppliers mix two bases."""
+    """Lines as prices of two markets in three currencies, one of which has no rate; some suppliers mix two bases. Means and
+    premiums are rounded half up from whole cents."""
     from docgrain.functions.numbers import average_price
 
     t, key = Tables(spark, sf_dir).lineitem, F.col("l_suppkey")

@@ -72,3 +72,13 @@ def test_name_lists_in_many_files(spark, duck):
     finally:
         for k, v in held.items():
             spark.conf.set(k, v)
+
+
+def test_price_means_hang_on_no_order(spark):
+    """A mean that lies just between two tenths is rounded up, though its sum in doubles ends below; a premium alike."""
+    from docgrain.operators import derive
+
+    usd = [("a", "so_cap", x) for x in (4.25, 6.81, 1.78, 3.76)] + [("a", "thu_cap", 4.15), ("b", "so_cap", 200.0), ("b", "thu_cap", 199.9), ("c", "thu_cap", float("nan")), ("c", "so_cap", 0.0)]
+    data = spark.createDataFrame(usd, "k string, market string, price_usd_per_m2 double").selectExpr("*", "'net' AS price_basis", "CAST(NULL AS boolean) AS includes_vat")
+    got = {r.k: tuple(r)[1:] for r in derive.price_index(data, "k").collect()}
+    assert got == {"a": (4.2, 4.2, 0.0), "b": (200.0, 199.9, -0.1), "c": (None, None, None)}
