@@ -1,4 +1,8 @@
-"""Typed records: coercion with rejects, sanitising, coalescing merge, keys, foreign keys, provenance."""
+"""Typed records: coercion with rejects, sanitising, coalescing merge, keys, foreign keys, provenance.
+
+Both sides of the joins here grow with the records. They ask for a merge: what Spark estimates of a few columns of a well
+compressed table is far below what its rows take, and a broadcast would gather them in the driver.
+"""
 
 from __future__ import annotations
 
@@ -60,10 +64,11 @@ def one_provenance(provenance: DataFrame, key: list[str], filled: DataFrame) ->
     return kept.withColumn("_n", F.row_number().over(Window.partitionBy(*key, "field").orderBy("ord"))).where("_n = 1").drop("_n")
 
 
-def coalesce_merge(rows: DataFrame, key: list[str], fields: list[str], order: list[str], provenance: str | None = None) -> DataFrame:
-    """One row a key: of each field the first value that is not null, with the evidence that came with it."""
+def coalesce_merge(rows: DataFrame, key: list[str], fields: list[str], order: list[str], provenance: str | None = None, first: str | None = None) -> DataFrame:
+    """One row a key: of each field the first value that is not null, with the evidence that came with it; ``first`` names a
+    column for the place of the key's first row."""
     rank = F.struct(*order)
-    pick = []
+    pick = [F.min(rank).alias(first)] if first else []
     for f in fields:
         ord_ = F.when(F.col(f).isNotNull(), rank)
         pick.append(F.min_by(f, ord_).alias(f))
@@ -80,8 +85,8 @@ def unique_keys(rows: DataFrame, base: str, order: list[str], out: str) -> DataF
     several = rows.groupBy(base).count().where("count > 1").select(F.col(base).alias("_b"))
     part = lambda k: F.regexp_extract(base, r"(?s)^(.*)_([1-9]\d{0,8})$", k)
     real = rows.select(base).distinct().select(part(1).alias("_b"), part(2).try_cast("int").alias("_i")).where("_i >= 2")
-    taken = real.join(several, "_b").groupBy("_b").agg(F.array_sort(F.collect_list("_i")).alias("_taken"))
-    joined = numbered.join(taken, numbered[base] == F.col("_b"), "left")
+    taken = real.join(several.hint("merge"), "_b").groupBy("_b").agg(F.array_sort(F.collect_list("_i")).alias("_taken"))
+    joined = numbered.join(taken.hint("merge"), numbered[base] == F.col("_b"), "left")
     number = F.aggregate(F.coalesce("_taken", F.array().cast("array<int>")), F.col("_k"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
     return joined.withColumn(out, F.when(F.col("_k") == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("_"), number))).drop("_k", "_b", "_taken")
 
@@ -92,7 +97,7 @@ def resolve_foreign_key(rows: DataFrame, code: str, targets: DataFrame, target_c
     exact = targets.groupBy(*scope, F.col(target_code).alias("_code")).agg(F.max_by(target_id, order).alias("_exact"))
     loose = targets.groupBy(*scope, F.lower(F.trim(target_code)).alias("_low")).agg(F.max_by(target_id, order).alias("_loose"))
     keyed = rows.withColumn("_code", F.col(code)).withColumn("_low", F.lower(F.trim(code)))
-    joined = keyed.join(exact, [*scope, "_code"], "left").join(loose, [*scope, "_low"], "left")
+    joined = keyed.join(exact.hint("merge"), [*scope, "_code"], "left").join(loose.hint("merge"), [*scope, "_low"], "left")
     return joined.withColumn(target_id, F.coalesce("_exact", "_loose")).drop("_code", "_low", "_exact", "_loose")
 
 
@@ -100,12 +105,12 @@ def override(rows: DataFrame, better: DataFrame, key: list[str]) -> DataFrame:
     """``better`` and those of ``rows`` whose key, compared null-safe, it does not have."""
     other = better.select(*[F.col(k).alias(f"_o_{k}") for k in key]).distinct()
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in key])
-    return rows.join(other, same, "left_anti").unionByName(better, allowMissingColumns=True)
+    return rows.join(other.hint("merge"), same, "left_anti").unionByName(better, allowMissingColumns=True)
 
 
 def fallback(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """``rows`` and, for keys that have none, those of ``other``."""
-    return rows.unionByName(other.join(rows.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
+    return rows.unionByName(other.join(rows.select(key).distinct().hint("merge"), key, "left_anti"), allowMissingColumns=True)
 
 
 def file_index(sources: DataFrame) -> DataFrame:

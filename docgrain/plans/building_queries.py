@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docgrain import schemas
 from docgrain.operators import records
 from docgrain.plans import buildings
-from docgrain.plans.registry import Tables, query
+from docgrain.plans.registry import Tables, query, spread
 
 IDENTITY = "building_id string, building_name string, building_name_local string, project_name string, country string, city string, official_website string, developer string"
 VERIFIED = "building_id string, type_code string, room_code string, area_m2 double"
@@ -33,14 +33,14 @@ def written_pages(part: DataFrame) -> DataFrame:
 
 def _tables(spark, sf_dir) -> dict[str, DataFrame]:
     """The tables from pages alone."""
-    found = buildings.extract(written_pages(Tables(spark, sf_dir).part.repartition("p_partkey")), "2026-06-01")
+    found = buildings.extract(written_pages(spread(Tables(spark, sf_dir).part)), "2026-06-01")
     return buildings.assemble(found, spark.createDataFrame([], IDENTITY), spark.createDataFrame([], "building_id string, plan_idx int, " + _plan_fields()), spark.createDataFrame([], VERIFIED), "2026-06-01")
 
 
 def _full_tables(spark, sf_dir) -> dict[str, DataFrame]:
     """The seven tables, with plans, rooms checked by hand and names that the parts give."""
     part = Tables(spark, sf_dir).part
-    found = buildings.extract(written_pages(part.repartition("p_partkey")), "2026-06-01")
+    found = buildings.extract(written_pages(spread(part)), "2026-06-01")
     named = part.select("p_partkey", "p_size", "p_name", F.concat(F.lit("b"), F.col("p_partkey")).alias("building_id"))
     identity = records.project(named.withColumnsRenamed({"p_name": "building_name_local"}).withColumn("developer", F.concat(F.lit("D"), F.col("p_size"))), IDENTITY)
     room = lambda code, area: F.struct(F.lit(code).alias("room_code"), area.cast("double").alias("area_m2"))
@@ -138,7 +138,7 @@ def q_site_building(spark, sf_dir):
     registry = {"building": list(buildings.EXTRACTORS["building"])}
     buildings.extractor("building", 0, ("site-a.jp",), registry)(_own_units)
     buildings.extractor("building", 0, ("site-b.jp", "site-a.jp"), registry)(_own_launch)
-    rows = buildings.extract(contested_pages(Tables(spark, sf_dir).part.repartition("p_partkey")), "2026-06-01", registry)["building"]
+    rows = buildings.extract(contested_pages(spread(Tables(spark, sf_dir).part)), "2026-06-01", registry)["building"]
     return rows.select("building_id", "num_units_total", "land_area_m2", "year_handover", "year_launch")
 
 
@@ -163,7 +163,7 @@ def q_failed_extractor(spark, sf_dir):
     buildings.extractor("amenity", 0, ("site-b.jp",), registry)(_fails_in_a_task)
     buildings.extractor("handover_item", 0, None, registry)(_fails_in_its_plan)
     buildings.extractor("unit_type", 0, None, registry)(_fails_at_once)
-    pages = written_pages(Tables(spark, sf_dir).part.repartition("p_partkey")).withColumn("url", F.when(F.col("building_id").endswith("7"), "https://x.site-b.jp/a").otherwise(F.col("url")))
+    pages = written_pages(spread(Tables(spark, sf_dir).part)).withColumn("url", F.when(F.col("building_id").endswith("7"), "https://x.site-b.jp/a").otherwise(F.col("url")))
     tables, errors = buildings.extract_guarded(pages, "2026-06-01", registry)
     none = F.lit(None).cast("string")
     counts = [rows.agg(F.count("*").alias("n")).select(F.lit(t).alias("name"), none.alias("extractor"), none.alias("hosts"), "n") for t, rows in tables.items()]

@@ -73,8 +73,10 @@ def run_extractors(pages: DataFrame, extractors: list[tuple[Callable, tuple | No
 
 def page_cells(pages: DataFrame) -> DataFrame:
     """Cells of all pages with what the pages are trusted for; a page that can't be parsed has a row with an error."""
-    about = pages.select("building_id", "page_idx", "url", "purpose", "title", "name", C.trust(F.col("purpose")).alias("trust"), C.confidence(F.col("purpose")).alias("confidence"))
-    return C.page_cells(pages, ["building_id", "page_idx"]).join(about, ["building_id", "page_idx"])
+    about = ["url", "purpose", "title", "name", "trust", "confidence"]
+    known = pages.where("building_id IS NOT NULL AND page_idx IS NOT NULL").withColumns({"trust": C.trust(F.col("purpose")), "confidence": C.confidence(F.col("purpose"))})
+    cells = C.page_cells(known, ["building_id", "page_idx", *about])
+    return cells.select("building_id", "page_idx", *[c for c in cells.columns if c not in ("building_id", "page_idx", *about)], *about)
 
 
 def good_cells(cells: DataFrame) -> DataFrame:
@@ -113,7 +115,7 @@ def building(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
     features = F.array_compact(F.array(*[F.when(F.col(f"_t{i}"), F.lit(t)) for i, t in enumerate(D.SIGNATURE_TERMS)]))
     handed, units, storeys = F.col("handed"), F.col("units"), F.col("storeys")
     ids = pages.select("building_id").distinct()
-    rows = ids.join(wide, "building_id", "left").join(scanned, "building_id", "left")
+    rows = ids.join(wide.hint("merge"), "building_id", "left").join(scanned.hint("merge"), "building_id", "left")
     rows = rows.withColumn("handed", F.coalesce(domain.year("_handover"), domain.year("_completion"))).withColumn("units", numbers.int_of("_num_units_total")).withColumn("storeys", domain.floors("_structure"))
     return rows.select(
         "building_id", F.trim(F.substring_index("_address", "地図", 1)).alias("address"), domain.district("_address").alias("district"), units.alias("num_units_total"),
@@ -168,7 +170,8 @@ def unit_type(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
 
 def text_blocks(pages: DataFrame, span: int = 8) -> DataFrame:
     """Types as lines of text: a code line, then its layout, area and price within the next lines."""
-    lines = pages.select("building_id", "page_idx", "url", "purpose", C.trust(F.col("purpose")).alias("trust"), F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line")).withColumn("line", clean("line"))
+    coded = pages.where(clean("text").rlike(r"[A-Z][-‐]\d"))  # no other text has a code line
+    lines = coded.select("building_id", "page_idx", "url", "purpose", C.trust(F.col("purpose")).alias("trust"), F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line")).withColumn("line", clean("line"))
     ahead = C.look_ahead(lines, ["building_id", "page_idx"], "line_no", "line", span).where(F.col("line").rlike(r"^[A-Z]{1,3}[-‐]\d{1,3}[A-Za-z]{0,4}$"))
     plan = r"(?i)\d\s*(?:LDK|DK|SLDK|K|R)"
     rows = ahead.where(F.array_join("window", " ").rlike(plan))
@@ -201,10 +204,10 @@ def price_obs(pages: DataFrame, cells: DataFrame, as_of: str) -> DataFrame:
     """Prices a unit: those of single types, and one range for the building; under a million yen, or without a period, none."""
     matches = C.label_matches(cells, LABELS).where(_valid(F.col("field"), F.col("value")))
     per_page = Window.partitionBy("building_id", "page_idx", "field").orderBy("label_rank", "kv_idx")
-    picked = matches.where(F.col("field").isin("price", "period")).withColumn("_n", F.row_number().over(per_page)).where("_n = 1")
+    picked = stage(matches.where(F.col("field").isin("price", "period")).withColumn("_n", F.row_number().over(per_page)).where("_n = 1").drop("_n"), "picked")
     periods = picked.where("field = 'period'").select("building_id", "page_idx", domain.period("value").alias("period"))
     usable = lambda df: df.where(~F.col("purpose").isin("price_secondary", "market_report", "news_report"))
-    dated = lambda df: df.join(periods, ["building_id", "page_idx"], "left").withColumn("period", F.coalesce("period", F.lit(as_of[:7])))
+    dated = lambda df: df.join(periods.hint("merge"), ["building_id", "page_idx"], "left").withColumn("period", F.coalesce("period", F.lit(as_of[:7])))
     source = F.when(F.col("purpose").isin(schemas.OFFICIAL), "cdt_official").otherwise("portal_niem_yet")
     same = [F.lit("so_cap").alias("market"), F.lit("JPY").alias("currency"), F.lit("per_unit").alias("price_unit"), F.lit("khong_ro").alias("price_basis"), "period", source.alias("source_type"), F.col("url").alias("listing_url")]
     types = dated(usable(text_blocks(pages))).withColumn("price_avg", numbers.money_jpy("price")).where("price_avg >= 1e6")
@@ -234,14 +237,14 @@ def _empty(pages: DataFrame, table: str) -> DataFrame:
 
 
 def _merged(table: str, rows: DataFrame) -> DataFrame:
-    """One record a key: better sources first, duplicates coalesced field by field."""
+    """One record a key: better sources first, duplicates coalesced field by field. Rows are dealt by building as they are
+    found, so a field is parsed once, not wherever the aggregate names it."""
     order = [c for c in ("src_rank", "trust", "page_idx", "ord") if c in rows.columns]
     key = ["building_id", *schemas.DEDUP_KEYS[table]]
     fields = [c for c in rows.columns if c not in {*key, *order}]
-    merged = records.coalesce_merge(rows, key, fields, order)
-    if len(order) > 1:
-        firsts = rows.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]}).groupBy(*key).agg(F.min(F.struct(*order)).alias("ord"))
-        merged = merged.join(firsts, key)
+    several = len(order) > 1
+    dealt = (rows.where("building_id IS NOT NULL") if several else rows).repartition("building_id")
+    merged = records.coalesce_merge(dealt, key, fields, order, first="ord" if several else None)
     return merged.withColumns({k: F.nullif(F.col(k), F.lit("")) for k in schemas.DEDUP_KEYS[table]})
 
 
@@ -345,11 +348,11 @@ def assemble(found: dict[str, DataFrame], identity: DataFrame, plans: DataFrame,
     brands = records.project(items, schemas.TABLES["handover_item"]).groupBy("building_id").agg(derive.distinct_list("brand").alias("handover_brands"))
     top = derive.top_rows(amenities, ["building_id"], ["ord"], 8).groupBy("building_id").agg(derive.highlights("ord", "amenity_name").alias("amenity_highlights"))
     count = amenities.groupBy("building_id").agg(F.count("*").alias("amenity_count"))
-    own = found["building"].join(identity.withColumnsRenamed({c: f"_{c}" for c in ("building_name_local", "project_name", "developer") if c in identity.columns}), "building_id", "left")
+    own = found["building"].join(identity.withColumnsRenamed({c: f"_{c}" for c in ("building_name_local", "project_name", "developer") if c in identity.columns}).hint("merge"), "building_id", "left")
     # what a record says itself comes first
     said = lambda c: F.nullif(F.col(c), F.lit("")) if c in found["building"].columns else F.lit(None).cast("string")
     own = own.withColumns({c: F.coalesce(said(c), F.col(f"_{c}")) for c in ("building_name_local", "project_name", "developer")})
-    buildings = reduce(lambda a, b: a.join(b, "building_id", "left"), [area, classes, mode, mix, typical, brands, top, count], own)
+    buildings = reduce(lambda a, b: a.join(b.hint("merge"), "building_id", "left"), [area, classes, mode, mix, typical, brands, top, count], own)
     tables = {"building": buildings, "unit_type": types, "unit_room": rooms, "floor_plate": plates, "handover_item": items, "amenity": amenities, "price_obs": prices}
     return {name: records.project(rows, schemas.TABLES[name]) for name, rows in tables.items()}
 

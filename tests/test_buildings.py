@@ -167,3 +167,15 @@ def test_cells_are_shared(spark, crawl, tables):
     cells_of = buildings.page_cells(pages)
     key = lambda df: sorted(map(str, df.collect()))
     assert key(buildings.evidence(pages, tables, cells_of)) == key(buildings.evidence(pages, tables))
+
+
+def test_pages_are_cut_once_and_nothing_is_gathered(spark):
+    """A record's rows are found once, and no join of tables that grow with the buildings is a broadcast, however small they look."""
+    from docgrain.plans import building_queries
+
+    rows = spark.createDataFrame([("b", 0, 1, 1, 0, 7), ("b", 0, 0, 1, 0, None), (None, 0, 0, 1, 0, 3)], "building_id string, src_rank int, trust int, page_idx int, ord int, num_units_total int")
+    merged = buildings._merged("building", rows)
+    assert [(r.building_id, r.num_units_total, r.ord.trust) for r in merged.collect()] == [("b", 7, 0)]
+    assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString()
+    plans = [df._jdf.queryExecution().executedPlan().toString() for t, df in building_queries._full_tables(spark, "/root/testdata/sf0.001").items() if t != "price_obs"]
+    assert not any("BroadcastHashJoin" in p or "BroadcastNestedLoopJoin" in p for p in plans)
