@@ -5,12 +5,13 @@ places of a text are looked up, as vectors over Arrow batches, in a sieve of the
 passes, for each length of terms, in a sieve of whole keys. The bytes that pass both are joined with the terms by equality, so
 a text is searched again only for terms longer than a key. A dictionary of a measured size below ``BROADCAST_BYTES`` is
 sent to the tasks, so texts are matched where they are read; a larger one is shuffled by keys with those found in texts. The sieves
-grow with the dictionary up to 4 MB; beyond about a million terms more places pass, and the join with the terms sorts them out.
+grow with the dictionary up to 8 and 32 MB, which hold some ten million terms well; beyond that more places pass, and the join with
+the terms sorts them out. A task holds what it found in a few MB of texts, however large the dictionary is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ from docgrain.sources.stages import stage
 
 HEAD = 7
 KEY = 64
-HEAD_BITS = 20
-LEAST_BITS, MOST_BITS = 20, 25
+LEAST_BITS, MOST_HEAD_BITS, MOST_BITS = 20, 26, 28
+#: Sieves of heads up to this size are looked up a byte a place, larger ones a bit a place.
+UNPACKED_BITS = 23
 SLICE = 1 << 20
 BROADCAST_BYTES = 16 << 20
 #: Keys are hashed as polynomials at an odd number, modulo 2^64, so that prefix sums give the hash of every stretch.
@@ -40,15 +42,19 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
-def _head_bit(head: np.ndarray, n: int) -> np.ndarray:
+def _head_bit(head: np.ndarray, n: int, bits: int) -> np.ndarray:
     """The place in the sieve of heads of ``n`` bytes, given as numbers."""
-    h = head | n << 8 * HEAD
-    return (h ^ (h >> 17) ^ (h >> 39)) & ((1 << HEAD_BITS) - 1)
+    return ((head | n << 8 * HEAD).astype(np.uint64) * np.uint64(BASE) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _key_bit(h: np.ndarray, bits: int) -> np.ndarray:
-    """The place in the sieve of whole keys, of their hashes."""
-    return (((h ^ (h >> np.uint64(29))) * np.uint64(BASE)) >> np.uint64(64 - bits)).astype(np.int64)
+def _key_bits(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The two places in the sieve of whole keys, of their hashes."""
+    mixed = (h ^ (h >> np.uint64(29))) * np.uint64(BASE)
+    return [(x >> np.uint64(64 - bits)).astype(np.int64) for x in (mixed, (mixed ^ (mixed >> np.uint64(32))) * np.uint64(BASE))]
+
+
+def _held(words: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (words[bit >> 6] >> (bit & 63)) & 1 == 1
 
 
 def _raw(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +64,7 @@ def _raw(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(held, np.uint8) if held is not None and held.size else np.zeros(0, np.uint8), offsets
 
 
-def _sieve_rows(bits: int):
+def _sieve_rows(head_bits: int, bits: int):
     """For mapInArrow over keys: (kind, word, bits) of kind 0 for heads, 1 for whole keys, 2 for the lengths of keys."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,20 +78,20 @@ def _sieve_rows(bits: int):
                 for j in range(min(n, HEAD)):
                     head = head << 8 | part[:, j]
                 hashed = ((part.astype(np.uint64) + np.uint64(1)) * power[:n]).sum(axis=1, dtype=np.uint64)
-                at = [_head_bit(head, min(n, HEAD)), _key_bit(hashed, bits), np.array([n - 1])]
+                at = [_head_bit(head, min(n, HEAD), head_bits), np.concatenate(_key_bits(hashed, bits)), np.array([n - 1])]
                 kind, bit = np.repeat([0, 1, 2], [len(a) for a in at]), np.concatenate(at)
-                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(bit >> 6, pa.int64()), pa.array(np.left_shift(np.int64(1), bit & 63), pa.int64())], ["kind", "word", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int8()), pa.array(bit >> 6, pa.int32()), pa.array(np.left_shift(np.int64(1), bit & 63), pa.int64())], ["kind", "word", "bits"])
 
     return of
 
 
 def _sieve(filed: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """The sieves of heads and of whole keys, as words of 64 bits, and the lengths of keys, for ``n`` terms. What comes to the
-    driver are at most 2^19 words, as ``MOST_BITS`` bounds them."""
-    bits = min(MOST_BITS, max(LEAST_BITS, (32 * n).bit_length()))
-    words = filed.select("_key").mapInArrow(_sieve_rows(bits), "kind int, word long, bits long").groupBy("kind", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    driver are at most 2^22 and 2^20 words of 13 bytes, as ``MOST_BITS`` and ``MOST_HEAD_BITS`` bound them."""
+    head_bits, bits = (min(most, max(LEAST_BITS, (32 * n).bit_length())) for most in (MOST_HEAD_BITS, MOST_BITS))
+    words = filed.select("_key").mapInArrow(_sieve_rows(head_bits, bits), "kind byte, word int, bits long").groupBy("kind", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
     kind, word, value = (words.column(c).to_numpy() for c in ("kind", "word", "bits"))
-    head, whole = np.zeros(1 << HEAD_BITS - 6, np.int64), np.zeros(1 << bits - 6, np.int64)
+    head, whole = np.zeros(1 << head_bits - 6, np.int64), np.zeros(1 << bits - 6, np.int64)
     head[word[kind == 0]] = value[kind == 0]
     whole[word[kind == 1]] = value[kind == 1]
     lengths = int(value[kind == 2].astype(np.uint64)[0]) if (kind == 2).any() else 0
@@ -99,7 +105,7 @@ def _once(owner: np.ndarray, what: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return pair // max(1, len(coded.dictionary)), coded.dictionary.take(pa.array(pair % max(1, len(coded.dictionary)), pa.int64()))
 
 
-def _keys_in(raw: np.ndarray, offsets: np.ndarray, head_sieve: np.ndarray, whole: np.ndarray, lengths: list[int], power: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+def _keys_in(raw: np.ndarray, offsets: np.ndarray, in_heads: Callable, head_bits: int, whole: np.ndarray, lengths: list[int], power: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """The text and the bytes, each pair once and in order of texts, that pass both sieves; text i is offsets[i] to
     offsets[i+1]. Bytes are taken in slices, with what a key may need beyond, so long texts need no more memory."""
     bits = len(whole).bit_length() + 5
@@ -112,11 +118,12 @@ def _keys_in(raw: np.ndarray, offsets: np.ndarray, head_sieve: np.ndarray, whole
         for n in range(1, min(HEAD, len(data), max(lengths, default=0)) + 1):
             head = head[: len(wide) - n + 1] << 8 | wide[n - 1 :]
             sized = [x for x in lengths if min(x, HEAD) == n]
-            here = np.flatnonzero(head_sieve[_head_bit(head[:SLICE], n)]) if sized else []
+            here = np.flatnonzero(in_heads(_head_bit(head[:SLICE], n, head_bits))) if sized else []
             for size in sized:
                 at = here[here + size <= len(data)]
-                bit = _key_bit((sums[at + size] - sums[at]) * inverse[at], bits)
-                at = at[(whole[bit >> 6] >> (bit & 63)) & 1 == 1]
+                one, two = _key_bits((sums[at + size] - sums[at]) * inverse[at], bits)
+                once = _held(whole, one)
+                at = at[once][_held(whole, two[once])]
                 owner = np.searchsorted(offsets, at + first, side="right") - 1
                 inside = at + first + size <= offsets[owner + 1]
                 at, owner = at[inside], owner[inside]
@@ -128,20 +135,38 @@ def _keys_in(raw: np.ndarray, offsets: np.ndarray, head_sieve: np.ndarray, whole
     return _once(np.concatenate(owners), pa.concat_arrays(found))
 
 
-def _with_keys(texts: DataFrame, text: str, sieve: tuple[np.ndarray, np.ndarray, list[int]]) -> DataFrame:
-    """``texts`` with the bytes of each text that may be a key of a term."""
+def _pieces(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last row of runs of texts that together have some ``SLICE`` bytes, a longer text alone."""
+    first = 0
+    while first < len(offsets) - 1:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE, side="right")) - 1)
+        yield first, last
+        first = last
+
+
+def _with_keys(texts: DataFrame, text: str, sieve: tuple[np.ndarray, np.ndarray, list[int]], kept: list[str]) -> DataFrame:
+    """The columns ``kept`` of ``texts`` with the bytes of each text that may be a key of a term. Rows go back a few MB of
+    texts at a time, so what a task holds does not grow with what it finds in a batch."""
     column, (head, whole, lengths) = texts.columns.index(text), sieve
+    places, head_bits = [texts.columns.index(c) for c in kept], len(head).bit_length() + 5
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head_sieve = np.unpackbits(head.view(np.uint8), bitorder="little").astype(bool)
+        if head_bits <= UNPACKED_BITS:
+            in_heads = np.unpackbits(head.view(np.uint8), bitorder="little").astype(bool).__getitem__
+        else:
+            in_heads = lambda bit: _held(head, bit)
         power, inverse = _powers(BASE, SLICE + KEY), _powers(pow(BASE, -1, 1 << 64), SLICE + KEY)
         for batch in batches:
             values = pc.fill_null(batch.column(column).cast(pa.large_string()), "")
-            owner, found = _keys_in(*_raw(values), head_sieve, whole, lengths, power, inverse)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(values)))])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], [*batch.schema.names, "_keys"])
+            raw, offsets = _raw(values)
+            for first, last in _pieces(offsets):
+                owner, found = _keys_in(raw, offsets[first : last + 1], in_heads, head_bits, whole, lengths, power, inverse)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=last - first))])
+                rows = [batch.column(i).slice(first, last - first) for i in places]
+                yield pa.RecordBatch.from_arrays([*rows, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)], [*kept, "_keys"])
 
-    return texts.mapInArrow(of, T.StructType([*texts.schema.fields, T.StructField("_keys", T.ArrayType(T.BinaryType()))]))
+    fields = [texts.schema.fields[i] for i in places]
+    return texts.mapInArrow(of, T.StructType([*fields, T.StructField("_keys", T.ArrayType(T.BinaryType()))]))
 
 
 def occurring(texts: DataFrame, text: str, terms: DataFrame, term: str, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -157,11 +182,11 @@ def occurring(texts: DataFrame, text: str, terms: DataFrame, term: str, most_byt
     within = (F.octet_length(term) <= KEY) | (F.position(F.col(term), F.col(text)) > 0)
     same = F.col("_met") == F.col("_key")
     if (measured.bytes or 0) <= most_bytes:
-        sought = _with_keys(texts.where(F.col(text) != ""), text, sieve)
+        sought = _with_keys(texts.where(F.col(text) != ""), text, sieve, texts.columns)
         return sought.select(*texts.columns, F.explode("_keys").alias("_met")).join(F.broadcast(filed), same).where(within).drop("_met", "_key")
     numbered = stage(texts.where(F.col(text) != "").withColumn("_text", F.monotonically_increasing_id()), "dictionary-texts")
-    runs = _with_keys(numbered.select("_text", text), text, sieve).select("_text", F.explode("_keys").alias("_met"))
-    return numbered.join(runs.join(filed, same).drop("_met", "_key"), "_text").where(within).drop("_text")
+    runs = _with_keys(numbered.select("_text", text), text, sieve, ["_text"]).select("_text", F.explode("_keys").alias("_met"))
+    return numbered.join(runs.join(filed.hint("merge"), same).drop("_met", "_key").hint("merge"), "_text").where(within).drop("_text")
 
 
 def dictionary_matches(texts: DataFrame, key: list[str], text: str, terms: DataFrame, term: str, hints: tuple = (), limit: int = 140) -> DataFrame:

@@ -67,3 +67,27 @@ def test_nested_pages(spark):
     assert of(1) == [("a", "x b c d e f odd y"), ("b", "c d"), ("e", "f"), ("g", "h"), ("i", "j")]
     assert of(2) == [("b", "c d"), ("e", "f")] and of(4) == [] and of(5)[0] == ("a", "b c d e f odd")
     assert [r.id for r in got if r.error] == [3]
+
+
+def test_large_dictionary_lets_little_pass():
+    """Of two million terms in the sieves hardly a stretch of text passes that is no term, and a batch is cut into pieces."""
+    import numpy as np
+    import pyarrow as pa
+
+    n = 2_000_000
+    keys = np.char.mod("%d", np.arange(10**8, 10**8 + 13 * n, 13))
+    head_bits, bits = (min(m, (32 * n).bit_length()) for m in (dictionary.MOST_HEAD_BITS, dictionary.MOST_BITS))
+    head, whole = np.zeros(1 << head_bits - 6, np.int64), np.zeros(1 << bits - 6, np.int64)
+    for batch in dictionary._sieve_rows(head_bits, bits)([pa.RecordBatch.from_arrays([pa.array(keys.tolist()).cast(pa.binary())], ["_key"])]):
+        kind, word, value = (c.to_numpy() for c in batch.columns)
+        np.bitwise_or.at(head, word[kind == 0], value[kind == 0])
+        np.bitwise_or.at(whole, word[kind == 1], value[kind == 1])
+    text = "".join(str(x) for x in np.random.default_rng(1).integers(0, 10, 200_000))
+    raw, offsets = dictionary._raw(pa.array([text], pa.large_string()).cast(pa.large_binary()))
+    size = dictionary.SLICE + dictionary.KEY
+    power, inverse = dictionary._powers(dictionary.BASE, size), dictionary._powers(pow(dictionary.BASE, -1, 1 << 64), size)
+    _, found = dictionary._keys_in(raw, offsets, lambda bit: dictionary._held(head, bit), head_bits, whole, [9], power, inverse)
+    got, terms = {x.decode() for x in found.to_pylist()}, set(keys.tolist())
+    real = {text[i : i + 9] for i in range(len(text) - 8)} & terms
+    assert real <= got and len(got - real) < 0.005 * len(text)
+    assert list(dictionary._pieces(np.array([0, 5, 5, size, 3 * size, 3 * size + 1]))) == [(0, 2), (2, 3), (3, 4), (4, 5)]
