@@ -86,7 +86,14 @@ def _owner() -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(path, r"/building_id=([^/]*)/file=[^/]*/[^/]*$", 1), F.lit("")), F.element_at(F.split(path, "/"), -2))
 
 
-def manifests(spark: SparkSession, raw_dir: str) -> DataFrame:
+def _packed(spark: SparkSession, raw_dir: str, ending: str) -> DataFrame:
+    """Files of a crawl that ``sinks.write_crawl`` packed: building_id, file, value of those whose names end so."""
+    return spark.read.schema("building_id string, file string, value string").parquet(raw_dir).where(F.col("file").endswith(ending))
+
+
+def manifests(spark: SparkSession, raw_dir: str, packed: bool = False) -> DataFrame:
+    if packed:
+        return _packed(spark, raw_dir, "manifest.json").where("file = 'manifest.json'").select(F.from_json("value", schemas.MANIFEST).alias("m")).select("m.*")
     return spark.read.schema(schemas.MANIFEST).json(f"{raw_dir}/{_crawl_file('manifest.json')}", multiLine=True)
 
 
@@ -94,13 +101,15 @@ def manifest_sources(manifest: DataFrame) -> DataFrame:
     return manifest.select("building_id", F.explode("sources").alias("s")).select("building_id", "s.*")
 
 
-def load_pages(spark: SparkSession, raw_dir: str, manifest: DataFrame) -> DataFrame:
+def load_pages(spark: SparkSession, raw_dir: str, manifest: DataFrame, packed: bool = False) -> DataFrame:
     """Pages that were fetched well, with the bodies of their text and HTML files; a missing file is an empty body."""
     good = manifest_sources(manifest).where("status = 'ok' AND text_file IS NOT NULL")
     path, written = F.col("_metadata.file_path"), r"/file=([^/]*)/[^/]*$"
     name_of = F.coalesce(F.nullif(F.regexp_extract(path, written, 1), F.lit("")), F.col("_metadata.file_name"))
     value = F.when(path.rlike(written), F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value"))  # the end of its only row
     body = lambda pattern, name: spark.read.text(f"{raw_dir}/{_crawl_file(pattern)}", wholetext=True).select(_owner().alias("building_id"), name_of.alias(name + "_file"), value.alias(name))
+    if packed:
+        body = lambda pattern, name: _packed(spark, raw_dir, pattern[1:]).select("building_id", F.col("file").alias(name + "_file"), F.col("value").alias(name)).hint("merge")
     joined = good.join(body("*.txt", "text"), ["building_id", "text_file"], "left").join(body("*.html", "raw"), ["building_id", "raw_file"], "left")
     return joined.select(
         "building_id", F.col("idx").alias("page_idx"), F.col("text_file").alias("name"), "url", "purpose", F.coalesce("page_title", "title").alias("title"),
@@ -108,9 +117,12 @@ def load_pages(spark: SparkSession, raw_dir: str, manifest: DataFrame) -> DataFr
     )
 
 
-def resolved_identity(spark: SparkSession, raw_dir: str) -> DataFrame:
+def resolved_identity(spark: SparkSession, raw_dir: str, packed: bool = False) -> DataFrame:
     """building_id with its resolved names; without a name the id in title case."""
-    rows = spark.read.schema(schemas.RESOLVED).json(f"{raw_dir}/{_crawl_file('sources.json')}", multiLine=True).withColumn("building_id", _owner())
+    if packed:
+        rows = _packed(spark, raw_dir, "sources.json").where("file = 'sources.json'").select("building_id", F.from_json("value", schemas.RESOLVED).alias("s")).select("building_id", "s.*")
+    else:
+        rows = spark.read.schema(schemas.RESOLVED).json(f"{raw_dir}/{_crawl_file('sources.json')}", multiLine=True).withColumn("building_id", _owner())
     name = F.coalesce(blank_to_null("resolved.building_name"), F.initcap(F.replace(F.col("building_id"), F.lit("_"), F.lit(" "))))
     return rows.select("building_id", name.alias("building_name"), *[F.col(f"resolved.{c}") for c in ("building_name_local", "project_name", "country", "city", "official_website", "developer")])
 

@@ -33,13 +33,14 @@ def write_per_building(stacked: DataFrame, path: str, fmt: str = "csv") -> None:
     cells.write.mode("overwrite").partitionBy("building_id").option("header", True).format(fmt).save(path)
 
 
-def write_crawl(crawled: DataFrame, identity: DataFrame, path: str) -> None:
+def write_crawl(crawled: DataFrame, identity: DataFrame, path: str, packed: bool = False) -> None:
     """A crawl folder: of each building its manifest, its identity and the bodies of its pages, which the readers of crawl output read.
 
     ``crawled`` has building_id and, for each source, some of the fields of a manifest's sources, with ``text`` and ``html`` as
     the bodies of ``text_file`` and ``raw_file``; ``identity`` has building_id and fields of the resolved identity. A file
     is a folder ``building_id=.../file=<name>`` with its only part. Bodies meet in no row with others; a manifest, which is
-    one document, holds its building's sources in order of idx.
+    one document, holds its building's sources in order of idx. ``packed`` writes the same files as rows (building_id, file,
+    value) of one table instead, for crawls of so many pages that a file of each would cost more than its bytes.
     """
     fields = T.StructType.fromDDL(schemas.MANIFEST)["sources"].dataType.elementType
     listed = F.array_sort(F.collect_list(F.struct(*[(F.col(f.name) if f.name in crawled.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])))
@@ -48,7 +49,11 @@ def write_crawl(crawled: DataFrame, identity: DataFrame, path: str) -> None:
     manifest = file(per, F.lit("manifest.json"), F.to_json(F.struct("building_id", "accessed_at", "total", "ok", "sources")))
     known = file(identity, F.lit("sources.json"), F.to_json(F.struct(F.col("building_id").alias("query"), F.struct(*[c for c in identity.columns if c != "building_id"]).alias("resolved"))))
     bodies = [file(crawled.where(F.col(n).isNotNull() & F.col(b).isNotNull()), F.col(n), F.col(b)) for n, b in (("text_file", "text"), ("raw_file", "html"))]
-    reduce(DataFrame.unionByName, [manifest, known, *bodies]).write.mode("overwrite").partitionBy("building_id", "file").text(path)
+    files = reduce(DataFrame.unionByName, [manifest, known, *bodies])
+    if packed:
+        files.write.mode("overwrite").parquet(path)
+    else:
+        files.write.mode("overwrite").partitionBy("building_id", "file").text(path)
 
 
 def shard_of(df: DataFrame, shards: int, key: str = "building_id") -> DataFrame:

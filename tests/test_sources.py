@@ -132,3 +132,18 @@ def test_versions(spark, tmp_path):
     assert [r.k for r in table.read().collect()] == ["c"]
     table.vacuum(1)
     assert [r.k for r in table.read().collect()] == ["c"] and len(table.versions()) == 1
+
+
+def test_packed_crawl(spark, tmp_path):
+    """A packed crawl reads as one of a file a page does, in as few files as the table has."""
+    rows = [("a", 1, "ok", "p1.txt", "p1.html", "one\n", "<p>"), ("a", 2, "http_error", "p2.txt", "p2.html", "two", "<b>"), ("b", 1, "ok", "p1.txt", None, "three", None)]
+    crawled = spark.createDataFrame(rows, "building_id string, idx int, status string, text_file string, raw_file string, text string, html string").withColumns({"url": F.lit("u"), "title": F.lit("t"), "purpose": F.lit("x"), "accessed_at": F.lit("2026")})
+    identity = spark.createDataFrame([("a", "Tower"), ("b", "")], "building_id string, building_name string")
+    read = {}
+    for packed in (False, True):
+        at = str(tmp_path / str(packed))
+        sinks.write_crawl(crawled.coalesce(1), identity.coalesce(1), at, packed=packed)
+        pages = readers.load_pages(spark, at, readers.manifests(spark, at, packed=packed), packed=packed)
+        read[packed] = sorted(pages.collect()), sorted(readers.resolved_identity(spark, at, packed=packed).collect(), key=lambda r: r.building_id)
+    assert read[True] == read[False] and len(read[True][0]) == 2
+    assert len(list((tmp_path / "True").glob("*.parquet"))) <= 4
