@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgrain.functions.text import clean, clean_literal, let
+from docgrain.functions.text import clean, clean_literal, let, with_clean
 
 #: The patterns of numbers and of the marks of a range.
 NUMBER = r"[-+]?\d[\d,]*(?:\.\d+)?"
@@ -38,13 +38,18 @@ def int_of(c: Column | str, index: int = 0) -> Column:
     return F.round(num(c, index)).cast("int")
 
 
+def _area_units() -> list[tuple[str, float]]:
+    """Words and factors, longest word first."""
+    return [(clean_literal(u).lower(), AREA_UNITS[u]) for u in sorted(AREA_UNITS, key=lambda u: -len(u))]
+
+
 def _area(s: Column) -> Column:
-    units = F.array(*[F.struct(F.lit(clean_literal(u).lower()).alias("word"), F.lit(AREA_UNITS[u]).alias("factor")) for u in sorted(AREA_UNITS, key=lambda u: -len(u))])
+    units = F.array(*[F.struct(F.lit(word).alias("word"), F.lit(factor).alias("factor")) for word, factor in _area_units()])
 
     def of(low: Column) -> Column:
         # units are looked for as plain text; numbers only before those that are there
         held = F.filter(units, lambda u: F.instr(low, u["word"]) > 1)
-        before = lambda u: F.try_element_at(nums(F.substr(s, F.lit(1), F.instr(low, u["word"]) - 1), cleaned=True), F.lit(-1))
+        before = lambda u: F.try_element_at(nums(F.substr(low, F.lit(1), F.instr(low, u["word"]) - 1), cleaned=True), F.lit(-1))
         found = F.array_compact(F.transform(held, lambda u: F.round(before(u) * u["factor"], 2)))
         return F.coalesce(F.get(found, F.lit(0)), F.get(nums(s, cleaned=True), F.lit(0)))
 
@@ -56,6 +61,19 @@ def area_m2(c: Column | str) -> Column:
     return let(clean(c), _area)
 
 
+def with_area_m2(rows: DataFrame, name: str, text: Column) -> DataFrame:
+    """``area_m2`` of a text as a column, for large tables: in steps of plain expressions, which Spark compiles, unlike functions
+    over arrays. The longest unit held decides; only a text without a number before it needs the whole rule."""
+    units, low, unit = _area_units(), F.col("_low"), F.col("_unit")
+    held = F.coalesce(*[F.when(F.contains(low, F.lit(word)), i) for i, (word, _) in enumerate(units)])
+    words, factors = (F.array(*[F.lit(u[k]) for u in units]) for k in (0, 1))
+    before = F.coalesce(F.call_function("substring_index", low, F.get(words, unit), F.lit(1)), low)
+    x = to_number(F.try_element_at(F.regexp_extract_all(before, F.lit(NUMBER), F.lit(0)), F.when(unit.isNull(), 1).otherwise(-1)))
+    rows = with_clean(rows, "_low", text).withColumn("_low", F.lower("_low")).withColumn("_unit", held).withColumn("_x", x)
+    value = F.when(unit.isNull(), F.col("_x")).otherwise(F.coalesce(F.round(F.col("_x") * F.get(factors, unit), 2), _area(low)))
+    return rows.withColumn(name, value).drop("_low", "_unit", "_x")
+
+
 def _range(parts: Column, parse) -> Column:
     values = F.filter(F.transform(F.filter(parts, lambda p: F.trim(p) != ""), parse), lambda v: v.isNotNull())
     return let(values, lambda v: F.struct(F.array_min(v).alias("lo"), F.array_max(v).alias("hi")))

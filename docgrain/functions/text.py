@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Full-width characters and what each becomes (long dashes and the long-vowel mark become "-").
 FULL_WIDTH = "０１２３４５６７８９．，－―ー～〜％　（）：／"
 HALF_WIDTH = "0123456789.,---~~% ():/"
+#: What a text that ``strip`` changes begins or ends with (blanks; ``$`` also stands before a last line end).
+EDGES = [" ", "\t", "\n", "\x0b", "\f", "\r", "\x85", "\u2028", "\u2029"]
 #: Scripts of the sources (kana, Han, Hangul), for character classes.
 CJK = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7a3"
 
@@ -25,13 +27,27 @@ def strip(c: Column, chars: str = r"\s") -> Column:
     return F.regexp_replace(c, f"^[{chars}]+|[{chars}]+$", "")
 
 
-def clean(c: Column | str) -> Column:
-    """Half-width digits and signs, plain blanks, no zero-width characters; null becomes empty."""
+def _half_width(c: Column | str) -> Column:
     s = F.translate(F.coalesce(text_column(c).cast("string"), F.lit("")), FULL_WIDTH, HALF_WIDTH)
-    s = F.replace(F.replace(s, F.lit("\u00a0"), F.lit(" ")), F.lit("\u200b"), F.lit(""))
+    return F.replace(F.replace(s, F.lit("\u00a0"), F.lit(" ")), F.lit("\u200b"), F.lit(""))
+
+
+def _tidy(s: Column) -> Column:
     return strip(F.regexp_replace(s, "[ \\t\u3000]+", " "))
 
 
+def clean(c: Column | str) -> Column:
+    """Half-width digits and signs, plain blanks, no zero-width characters; null becomes empty."""
+    return _tidy(_half_width(c))
+
+
+def with_clean(rows: DataFrame, name: str, text: Column) -> DataFrame:
+    """``clean`` of a text as a column: the patterns only run on texts that hold what they change."""
+    s = F.col(name)
+    loose = F.contains(s, F.lit("\t")) | F.contains(s, F.lit("  ")) | F.left(s, F.lit(1)).isin(EDGES) | F.substr(s, F.lit(-1)).isin(EDGES)
+    return rows.withColumn(name, _half_width(text)).withColumn(name, F.when(loose, _tidy(s)).otherwise(s))
+
+
 def clean_literal(term: str) -> str:
     """``clean`` of a dictionary term, so that text and term are always compared in the same form."""
     return " ".join(term.translate(str.maketrans(FULL_WIDTH, HALF_WIDTH)).split(" ")).strip()

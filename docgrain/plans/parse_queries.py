@@ -23,8 +23,10 @@ def q_number_parse(spark, sf_dir):
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity, 2) AS m2, round(l_quantity * 3.30579, 2) AS tsubo, round(l_quantity * 1.62, 2) AS mats, round(l_quantity * 0.092903, 2) AS feet, round(l_quantity, 2) AS bare FROM lineitem""")
 def q_unit_convert(spark, sf_dir):
     t = spread(Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
-    area = lambda unit: numbers.area_m2(F.concat(F.lit("約"), S(F.col("l_quantity")), F.lit(unit)))
-    return t.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", area("㎡").alias("m2"), area("坪").alias("tsubo"), area(" 帖").alias("mats"), area(" sq ft").alias("feet"), area("").alias("bare"))
+    units = {"m2": "㎡", "tsubo": "坪", "mats": " 帖", "feet": " sq ft", "bare": ""}
+    for name, unit in units.items():
+        t = numbers.with_area_m2(t, name, F.concat(F.lit("約"), S(F.col("l_quantity")), F.lit(unit)))
+    return t.drop("l_quantity")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS lo, l_quantity + 5 AS hi, l_quantity AS one_lo, l_quantity AS one_hi FROM lineitem")

@@ -88,3 +88,25 @@ def test_phrases(spark):
     assert one(spark, "免震構造 27階建", rewrite) == "base isolation 27 tầng"
     assert one(spark, "plain", rewrite) == "plain"
     assert one(spark, "南青山 x 赤坂", lambda c: domain.residual_terms(F.col(c), F.col(c))) == ["南青山", "赤坂"]
+
+
+def test_area_numbers_stand_where_the_lowered_text_has_them(spark):
+    assert one(spark, "İİİ 10坪 5", numbers.area_m2) == 33.06  # İ is two characters in lower case
+    assert one(spark, "İİİ 10㎡ 5", numbers.area_range_m2) == (10.0, 10.0)
+
+
+def test_compiled_forms_equal_the_expressions(spark):
+    parts = ["約", "１２", "3.5", "1,200", "坪", "帖", "SQM", "sq ft", "sq\tft", "ft2", "平方メートル", "j", " ", "  ", "\t", "\n", "\u3000", "\x85", "\u2028", "\u200b", "İ", "-4"]
+    rows = spark.createDataFrame([(a + b + c,) for a in parts for b in parts for c in parts] + [(None,), ("",)], "s string")
+    got = numbers.with_area_m2(text.with_clean(rows, "cleaned", F.col("s")), "area", F.col("s"))
+    assert got.columns == ["s", "cleaned", "area"]
+    differ = got.where(~F.col("cleaned").eqNullSafe(text.clean("s")) | ~F.col("area").eqNullSafe(numbers.area_m2("s")))
+    assert differ.count() == 0
+    assert got.where("area IS NOT NULL").count() > 3000
+
+
+def test_unit_convert_parses_without_functions_over_arrays(spark):
+    """They run uncompiled; of each area only the rule for texts whose longest unit has no number before it may use them."""
+    plan = numbers.with_area_m2(spark.sql("SELECT '10坪' AS s"), "area", F.col("s"))._jdf.queryExecution().analyzed().toString()
+    steps = [x for x in plan.splitlines() if "lambda" in x]
+    assert len(steps) == 1 and "coalesce(round(" in steps[0]
