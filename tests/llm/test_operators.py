@@ -414,6 +414,17 @@ def test_substrings_odd(spark, docs):
     assert substrings.dedup_substrings(empty(spark)).count() == 0
 
 
+def test_substrings_planted(spark, tmp_path):
+    """Passages of over 50 words in two texts go whole from 400 bytes on, as n_removed says; n_bytes is the size before that."""
+    shared = [f" {words(51 + k, 900 + k)} " for k in range(40)]
+    texts = [f"{words(30, 1000 + i)} {i % 2}{shared[i // 2]}{i % 2} {words(25, 1100 + i)}" if i < 80 else words(100, 1000 + i) for i in range(200)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    gone = [shared[i // 2] if i < 80 and len(shared[i // 2]) >= 400 else "" for i in range(200)]
+    expected = [(i, len(t), len(g), int(g != ""), hashlib.sha256(t.replace(g, "").encode() if g else t.encode()).hexdigest()) for i, (t, g) in enumerate(zip(texts, gone))]
+    assert sorted(tuple(r) for r in substrings.op5_repeated_substrings(spark, str(tmp_path)).collect()) == expected
+    assert 10 < sum(g != "" for g in gone) < 70
+
+
 # 6 ----------------------------------------------------------------------------------------------------------------------
 def targets(sizes):
     w = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s)))}
