@@ -249,8 +249,8 @@ def q_dictionary_index(spark, sf_dir):
     t = Tables(spark, sf_dir)
     words = F.split("text", " ")
     pairs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1))))
-    known = t.benchmark.select(F.explode(pairs).alias("term")).unionByName(t.orders.select(F.col("o_orderkey").cast("string").alias("term"))).distinct()
-    found = dictionary.occurring(spread(t.documents.select("doc_id", "text")), "text", known, "term").groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.min(F.struct((-F.length("term")).alias("n"), "term")).alias("l"))
+    known = t.benchmark.select(F.explode(pairs).alias("term")).unionByName(t.orders.select(F.col("o_orderkey").cast("string").alias("term")))
+    found = dictionary.occurring(spread(t.documents.select("doc_id", "text")), "text", known, "term", kept=["doc_id"], once=True).groupBy("doc_id").agg(F.count("*").alias("n_terms"), F.min(F.struct((-F.length("term")).alias("n"), "term")).alias("l"))
     return found.select("doc_id", "n_terms", F.col("l.term").alias("longest"))
 
 

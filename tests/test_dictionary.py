@@ -1,6 +1,9 @@
 """Dictionaries as tables, and cells of nested tables."""
 
 import random
+import re
+import zlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +94,75 @@ def test_large_dictionary_lets_little_pass():
     real = {text[i : i + 9] for i in range(len(text) - 8)} & terms
     assert real <= got and len(got - real) < 0.005 * len(text)
     assert list(dictionary._pieces(np.array([0, 5, 5, size, 3 * size, 3 * size + 1]))) == [(0, 2), (2, 3), (3, 4), (4, 5)]
+
+
+@pytest.mark.parametrize("most_bytes", [dictionary.BROADCAST_BYTES, 1500, 0])
+@pytest.mark.parametrize("longest", [dictionary.KEY, dictionary.KEY + 9])
+def test_occurring_kept_columns(spark, most_bytes, longest):
+    """Texts that are not returned, frequent and rare terms, terms of all lengths, rows that come twice, null and repeated ids."""
+    r = random.Random(2)
+    texts = [(r.choice([1, 2, 3, None]), "".join(r.choice("abcé東 ") for _ in range(r.randint(0, 250)))) for _ in range(60)]
+    cuts = [(t, r.randint(0, 200)) for _, t in texts]
+    terms = {t[i : i + n] for (t, i), n in zip(cuts, range(1, longest + 1), strict=False)} | {"a", "é", "東", "ab", "zz", ""}
+    terms |= {t[i : i + 61] for t, i in cuts[:20]} | {"x" * longest, "a" * dictionary.KEY}
+    rows = [(w, len(w) % 2) for w in terms] + [("a", 1), ("a", 7), ("ab", 0), ("ab", 0), (None, 0)]
+    frame, known = spark.createDataFrame(texts, "id int, text string").repartition(3), spark.createDataFrame(rows, "term string, k int")
+    order = lambda found: sorted(map(tuple, found), key=str)
+    for once in (False, True):
+        expected = [(i, w, k) for i, t in texts for w, k in (set(rows) if once else rows) if w and w in t]
+        got = dictionary.occurring(frame, "text", known, "term", most_bytes, kept=["id"], once=once)
+        assert got.columns == ["id", "term", "k"] and order(got.collect()) == order(expected)
+    got = dictionary.occurring(frame, "text", known, "term", most_bytes)
+    assert order(got.collect()) == order([(i, t, w, k) for i, t in texts for w, k in rows if w and w in t])
+
+
+def test_index_by_a_large_dictionary_copies_no_texts(spark, tmp_path):
+    """More terms than may be sent to the tasks: little but the dictionary is written, and no copy of the texts."""
+    import __spark_entry__
+
+    r = random.Random(3)
+    n, letters = 300_000, "abcdefghijklmnopqrstuvwxyz"
+    text = lambda i: " ".join("".join(r.choices(letters, k=r.randint(2, 9))) for _ in range(1500)) + f" {i * 1499} red fox"
+    texts = [(i, text(i)) for i in range(300)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "red fox ran"), (2, "fox ran"), (3, None), (4, "one")], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.range(n).select(F.col("id").alias("o_orderkey")).unionByName(spark.range(9).select(F.col("id").alias("o_orderkey"))).write.parquet(f"{tmp_path}/orders.parquet")
+    shared, size = dictionary.stage(spark.range(1), "dictionary-none").inputFiles()[0].removeprefix("file:").split("/docgrain/")[0], lambda at: sum(p.stat().st_size for p in at.rglob("*.parquet"))
+    folders = lambda: {p for p in Path(shared, "docgrain").iterdir() if p.name.startswith("dictionary")}
+    before = folders()
+    found = __spark_entry__.queries()["q_dictionary_index"](spark, str(tmp_path))
+    got = {x.doc_id: (x.n_terms, x.longest) for x in found.collect()}
+    written = {p.name: size(p) for p in folders() - before}
+    assert sum(v for k, v in written.items() if not re.match("dictionary-[0-9a-f]{32}", k)) < 0.1 * size(tmp_path / "documents.parquet"), written
+    digits = lambda s: {s[a:b] for a in range(len(s)) for b in range(a + 1, len(s) + 1) if str(int(s[a:b])) == s[a:b] and int(s[a:b]) < n}
+    assert got == {i: (len(digits(str(i * 1499))) + 1, "red fox") for i, _ in texts}
+
+
+def test_many_numbers_let_no_words_pass():
+    """Words pass the sieves of two million numbers and some pairs of words only where a pair of that length begins as they do."""
+    import numpy as np
+    import pyarrow as pa
+
+    r = random.Random(4)
+    n, words = 2_000_000, ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 8))) for _ in range(300)]
+    keys = [str(x) for x in range(10**7, 10**7 + n)] + sorted({f"{r.choice(words)} {r.choice(words)}" for _ in range(3000)})
+    sizes = np.bincount([len(k) for k in keys])
+    regions, end = {}, 0
+    for size in np.flatnonzero(sizes).tolist():
+        regions[size] = end, max(dictionary.LEAST_PLACES, dictionary.PLACES * int(sizes[size]))
+        end += regions[size][1]
+    kept = [1 << dictionary.MOST_HEAD_BITS - 6, (end >> 6) + 1, 1 << dictionary.PREFIX_BITS]
+    held = [np.zeros(k, np.int64) for k in kept]
+    parts = dictionary._sieve_parts(kept, dictionary.MOST_HEAD_BITS, regions)(iter([pa.RecordBatch.from_arrays([pa.array(keys).cast(pa.binary())], ["_key"])]))
+    for batch in dictionary._sieve_merged(parts):
+        for kind, chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            got = np.frombuffer(zlib.decompress(packed), np.int64)
+            held[kind][chunk * dictionary.CHUNK :][: len(got)] = got
+    head, whole, prefixes = held
+    text = " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 8))) if r.random() < 0.5 else r.choice(words) for _ in range(30_000))
+    raw, offsets = dictionary._raw(pa.array([text], pa.large_string()).cast(pa.large_binary()))
+    size = dictionary.SLICE + dictionary.KEY
+    power, inverse = dictionary._powers(dictionary.BASE, size), dictionary._powers(pow(dictionary.BASE, -1, 1 << 64), size)
+    _, found = dictionary._keys_in(raw, offsets, lambda bit: dictionary._held(head, bit), dictionary.MOST_HEAD_BITS, whole, [*regions], power, inverse, regions, prefixes)
+    got, real = {x.decode() for x in found.to_pylist()}, {k for k in keys if not k.isdigit() and k in text}
+    assert real <= got and len(got - real) < 10
