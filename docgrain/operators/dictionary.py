@@ -296,25 +296,26 @@ def occurring(texts: DataFrame, text: str, terms: DataFrame, term: str, most_byt
     sought = sought.withColumn("_text", F.monotonically_increasing_id()) if numbered else sought
     sought = stage(_with_keys(sought, text, sieve, [*carried, *numbered]).where(F.size("_keys") > 0), "dictionary-texts")
     counted = stage(met(sought, []).groupBy(F.col("_met").alias("_key")).agg(F.length(F.bin(F.count("*"))).alias("_class")), "dictionary-keys")
-    lengths = counted.groupBy(F.octet_length("_key").alias("size")).agg(F.count("*").alias("n")).collect()
-    used = _passing(keyed, _sieve(counted.select("_key"), {x.size: x.n for x in lengths}))
+    keys = counted.groupBy("_class", F.octet_length("_key").alias("size")).agg(F.count("*").alias("n")).collect()
+    used = _passing(keyed, _sieve(counted.select("_key"), {x.size: sum(y.n for y in keys if y.size == x.size) for x in keys}))
     used = stage((used.distinct() if once else used).join(counted, "_key"), "dictionary-used")
-    # terms by the power of two of the texts that have their key: the most frequent classes that may be broadcast
+    # keys by the power of two of the texts that have them: the most frequent classes that, with their terms, may be broadcast
+    held = {x["_class"]: x.bytes for x in used.groupBy("_class").agg(F.sum(weight).alias("bytes")).collect()}
     common, total = None, 0
-    classes = sorted(used.groupBy("_class").agg(F.sum(weight).alias("bytes")).collect(), key=lambda x: -x["_class"])
-    for x in classes:
-        if (total := total + x.bytes) > most_bytes:
+    for c in sorted({x["_class"] for x in keys}, reverse=True):
+        total += held.get(c, 0) + sum(x.n * (x.size + 64) for x in keys if x["_class"] == c)
+        if total > most_bytes:
             break
-        common = x["_class"]
-    if classes and common is None:
+        common = c
+    if common is None:
         rest, left = used, met(sought, numbered or carried)
     else:
-        sent = used if common is None else used.where(F.col("_class") >= common)
-        near = returned(met(sought, carried).join(F.broadcast(sent), same))
-        if not classes or common == classes[-1]["_class"]:
+        near = returned(met(sought, carried).join(F.broadcast(used.where(F.col("_class") >= common)), same))
+        if common <= min(held, default=common):
             return near
         rest = used.where(F.col("_class") < common)
-        left = met(sought, numbered or carried).join(F.broadcast(sent.select("_key").distinct()), same, "left_anti")
+        # frequent bytes that are no term go here as well
+        left = met(sought, numbered or carried).join(F.broadcast(counted.where(F.col("_class") >= common).select("_key")), same, "left_anti")
     far = left.join(rest.hint("merge"), same)
     if numbered:
         far = sought.drop("_keys").join(far.select("_text", *terms.columns).hint("merge"), "_text")
