@@ -155,7 +155,7 @@ class Sieve(NamedTuple):
 
 def _sieve(keys: DataFrame, sizes: dict[int, int]) -> Sieve:
     """The sieve of a table of keys; ``sizes`` says how many there are of each length. What comes to the driver are the sieves
-    in packed chunks, 42 MB at most, as ``MOST_BITS`` and ``MOST_HEAD_BITS`` bound them."""
+    in packed chunks, 43 MB at most, as ``MOST_BITS`` and ``MOST_HEAD_BITS`` bound them."""
     n = sum(sizes.values())
     head_bits = min(MOST_HEAD_BITS, max(LEAST_BITS, (32 * n).bit_length()))
     regions, end = {}, 0
