@@ -40,7 +40,7 @@ PLACES, LEAST_PLACES = 64, 1 << 16
 CHUNK = 1 << 10
 #: Sieves of heads up to this size are looked up a byte a place, larger ones a bit a place.
 UNPACKED_BITS = 23
-SLICE = 1 << 20
+SLICE = 1 << 18
 BROADCAST_BYTES = 16 << 20
 #: Keys are hashed as polynomials at an odd number, modulo 2^64, so that prefix sums give the hash of every stretch.
 BASE = 0x9E3779B97F4A7C15
